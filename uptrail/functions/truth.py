@@ -97,6 +97,16 @@ class Operations:
         names = F.array(*[F.lit(s) for s in self.states])
         return F.get(names, code)
 
+    def op_code(self, op: Column | str) -> Column:
+        """Operation name to its number, a fixed-width value that aggregates well."""
+        names = sorted(self.tables)
+        if isinstance(op, str):
+            return F.lit(names.index(op))
+        return F.array_position(F.array(*[F.lit(n) for n in names]), op).cast("int") - 1
+
+    def op_number(self, op: str) -> int:
+        return sorted(self.tables).index(op)
+
     # -- combination -----------------------------------------------------------------------------
 
     def combine(self, op: str, a: int, b: int) -> int:
@@ -110,7 +120,7 @@ class Operations:
             cells = F.array(*[F.lit(x) for row in self.tables[name] for x in row])
             inside = (a >= 0) & (b >= 0)
             return F.when(inside, F.get(cells, a * self.size + b)).otherwise(UNDEFINED)
-        return self._by_op(op, lookup)
+        return self._by_op(op, lookup, sorted(self.tables))
 
     def table_frame(self, spark: SparkSession) -> DataFrame:
         """The defined cells as rows (op, a, b, x) of names."""
@@ -161,10 +171,12 @@ class Operations:
 
     # -- column expressions ----------------------------------------------------------------------
 
-    def fold_present(self, op: Column | str, present: list[Column], undefined: Column) -> Column:
+    def fold_present(self, op: Column | str, present: list[Column], undefined: Column,
+                     among: set[str] | None = None) -> Column:
         """Fold of the states marked present (one boolean column per code).
 
-        Null when nothing is present. For order-free tables only.
+        ``op`` is a name, or a column of operation numbers ``among`` the given ones. Null when
+        nothing is present. For order-free tables only.
         """
         def fold(name: str) -> Column:
             if self.kinds[name] == "rank":
@@ -178,14 +190,12 @@ class Operations:
                     for m in range(1, 1 << self.size)]
                 found = F.get(F.array(*[F.lit(x).cast("int") for x in by_mask]), mask)
             return F.when(undefined, F.lit(UNDEFINED)).otherwise(found)
-        return self._by_op(op, fold, kinds=("rank", "set"))
+        return self._by_op(op, fold, sorted(among or self.tables))
 
-    def _by_op(self, op: Column | str, build, kinds: tuple[str, ...] | None = None) -> Column:
+    def _by_op(self, op: Column | str, build, names: list[str]) -> Column:
         if isinstance(op, str):
             return build(op)
-        names = [n for n in sorted(self.tables) if kinds is None or self.kinds[n] in kinds]
-        choice = None
+        choice = F
         for name in names:
-            choice = (F.when(op == name, build(name)) if choice is None
-                      else choice.when(op == name, build(name)))
-        return choice if choice is not None else F.lit(None).cast("int")
+            choice = choice.when(op == self.op_number(name), build(name))
+        return choice
