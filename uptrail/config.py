@@ -111,7 +111,8 @@ class ReportInputs:
     """A report with its dimension tables.
 
     Tables are those of ``uptrail.schemas``. A topology with a ``date`` column is taken per day,
-    without one it holds for every day of the run. Exclusions are what
+    without one it holds for every day of the run. Downtimes have start_ts and end_ts, as
+    ``sources.tables.read_downtimes`` gives them; exclusions are what
     ``operators.requests.group_exclusions`` and ``monitor_exclusions`` give; None means none.
     """
 
@@ -143,8 +144,30 @@ def read_report_config(spark: SparkSession, path: str) -> ReportConfig:
     return ReportConfig.from_document(read_document(spark, path))
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], *columns: str) -> DataFrame:
+    """Rows of a configuration document as an inline table.
+
+    Spark knows the exact size of an inline table, so it can decide to broadcast it. A frame made
+    from a Python list has no known size, and a join with it would shuffle the other side.
+    """
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS STRING) AS `{c}`" for c in columns)
+        return spark.sql(f"SELECT {nulls} LIMIT 0")
+    names = ", ".join(f"`{c}`" for c in columns)
+    marks = ", ".join(
+        "(" + ", ".join(f":r{i}c{j}" for j in range(len(columns))) + ")" for i in range(len(rows)))
+    values = {f"r{i}c{j}": value for i, row in enumerate(rows) for j, value in enumerate(row)}
+    return spark.sql(f"SELECT * FROM VALUES {marks} AS v({names})", args=values)
+
+
+def truth_frame(spark: SparkSession, operations: Operations) -> DataFrame:
+    """The truth tables as rows (op, a, b, x) of names, undefined cells left out."""
+    return literal_frame(spark, operations.cells(), "op", "a", "b", "x")
+
+
+PROFILE_COLUMNS = ("service", "svc_op", "ag_group", "group_op", "total_op", "metric_op")
+
+
 def profile_frame(spark: SparkSession, profile: AvailabilityProfile) -> DataFrame:
     """The profile as rows, one per service."""
-    return spark.createDataFrame(
-        profile.rows(), "service string, svc_op string, ag_group string, group_op string, "
-                        "total_op string, metric_op string")
+    return literal_frame(spark, profile.rows(), *PROFILE_COLUMNS)

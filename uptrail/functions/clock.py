@@ -66,6 +66,11 @@ def date_text_int(date: Column) -> Column:
     return F.replace(date, F.lit("-"), F.lit("")).cast("int")
 
 
+def second_of(ts: Column) -> Column:
+    """Second of the day of a TIMESTAMP_NTZ."""
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
 def day_before(date: Column) -> Column:
     return F.date_sub(date, 1)
 

@@ -17,7 +17,7 @@ import itertools
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, functions as F
 
 UNDEFINED = -1
 SET_LIMIT = 12  # a set lookup has 2**states entries
@@ -28,6 +28,10 @@ UNKNOWN_STATES = ("MISSING", "UNKNOWN")
 DOWN_STATES = ("DOWNTIME",)
 
 
+def _texts(names: tuple[str, ...] | list[str]) -> Column:
+    return F.lit(list(names))
+
+
 @dataclass(frozen=True)
 class Operations:
     """States, default states and truth tables of one configuration document."""
@@ -89,20 +93,19 @@ class Operations:
 
     def state_code(self, name: Column) -> Column:
         """State name to code; a name that is not a state gives -1."""
-        names = F.array(*[F.lit(s) for s in self.states])
-        return F.coalesce(F.array_position(names, name).cast("int") - 1, F.lit(UNDEFINED))
+        return F.coalesce(F.array_position(_texts(self.states), name).cast("int") - 1,
+                          F.lit(UNDEFINED))
 
     def state_name(self, code: Column) -> Column:
         """State code to name; -1 gives null."""
-        names = F.array(*[F.lit(s) for s in self.states])
-        return F.get(names, code)
+        return F.get(_texts(self.states), code)
 
     def op_code(self, op: Column | str) -> Column:
         """Operation name to its number, a fixed-width value that aggregates well."""
         names = sorted(self.tables)
         if isinstance(op, str):
             return F.lit(names.index(op))
-        return F.array_position(F.array(*[F.lit(n) for n in names]), op).cast("int") - 1
+        return F.array_position(_texts(names), op).cast("int") - 1
 
     def op_number(self, op: str) -> int:
         return sorted(self.tables).index(op)
@@ -117,17 +120,16 @@ class Operations:
     def apply_op(self, op: Column | str, a: Column, b: Column) -> Column:
         """Truth-table lookup of two codes as a column expression."""
         def lookup(name: str) -> Column:
-            cells = F.array(*[F.lit(x) for row in self.tables[name] for x in row])
+            cells = F.lit([x for row in self.tables[name] for x in row])
             inside = (a >= 0) & (b >= 0)
             return F.when(inside, F.get(cells, a * self.size + b)).otherwise(UNDEFINED)
         return self._by_op(op, lookup, sorted(self.tables))
 
-    def table_frame(self, spark: SparkSession) -> DataFrame:
-        """The defined cells as rows (op, a, b, x) of names."""
-        rows = [(op, self.states[a], self.states[b], self.states[x])
+    def cells(self) -> list[tuple[str, str, str, str]]:
+        """The defined cells (op, a, b, x) as names."""
+        return [(op, self.states[a], self.states[b], self.states[x])
                 for op, grid in sorted(self.tables.items())
                 for a, row in enumerate(grid) for b, x in enumerate(row) if x != UNDEFINED]
-        return spark.createDataFrame(rows, "op string, a string, b string, x string")
 
     def rank(self, op: str) -> list[int] | None:
         """Codes from lowest to highest when the table is a maximum, else None."""
@@ -171,26 +173,29 @@ class Operations:
 
     # -- column expressions ----------------------------------------------------------------------
 
-    def fold_present(self, op: Column | str, present: list[Column], undefined: Column,
-                     among: set[str] | None = None) -> Column:
-        """Fold of the states marked present (one boolean column per code).
+    def fold_counts(self, counts: list[str], undefined: str, ops: set[str], op: str = "op") -> str:
+        """SQL text: fold of the states with a positive count (one count column per code).
 
-        ``op`` is a name, or a column of operation numbers ``among`` the given ones. Null when
+        ``op`` is the column of operation numbers, read when there are several ``ops``. Null when
         nothing is present. For order-free tables only.
         """
-        def fold(name: str) -> Column:
+        def fold(name: str) -> str:
             if self.kinds[name] == "rank":
-                highest_first = reversed(self.rank(name))
-                found = F.coalesce(*[F.when(present[c], F.lit(c)) for c in highest_first])
-            else:
-                mask = sum((F.when(present[c], F.lit(1 << c)).otherwise(0)
-                            for c in range(self.size)), F.lit(0))
-                by_mask = [None] + [
-                    self.fold_codes(name, [c for c in range(self.size) if m >> c & 1])
-                    for m in range(1, 1 << self.size)]
-                found = F.get(F.array(*[F.lit(x).cast("int") for x in by_mask]), mask)
-            return F.when(undefined, F.lit(UNDEFINED)).otherwise(found)
-        return self._by_op(op, fold, sorted(among or self.tables))
+                tests = " ".join(f"WHEN {counts[c]} > 0 THEN {c}" for c in reversed(self.rank(name)))
+                return f"CASE {tests} END"
+            mask = " + ".join(f"if({c} > 0, {1 << i}, 0)" for i, c in enumerate(counts))
+            by_mask = ["CAST(NULL AS INT)"] + [
+                str(self.fold_codes(name, [c for c in range(self.size) if m >> c & 1]))
+                for m in range(1, 1 << self.size)]
+            return f"get(array({', '.join(by_mask)}), {mask})"
+
+        names = sorted(ops)
+        if len(names) == 1:
+            found = fold(names[0])
+        else:
+            cases = " ".join(f"WHEN {self.op_number(n)} THEN {fold(n)}" for n in names)
+            found = f"CASE {op} {cases} END"
+        return f"CASE WHEN {undefined} > 0 THEN {UNDEFINED} ELSE {found} END"
 
     def _by_op(self, op: Column | str, build, names: list[str]) -> Column:
         if isinstance(op, str):

@@ -72,39 +72,33 @@ def overlay(timeline: DataFrame, covers: DataFrame, keys: list[str], operations:
 def _sweep(member_moves: DataFrame, keys: list[str], operations: Operations, ops: set[str],
            place: list[str] | None = None, cover_code: int | None = None) -> DataFrame:
     """``fold`` for order-free tables; no ``ops`` at all is for keys with a single member."""
-    def net(code: int) -> Column:
-        entered = F.when(F.col("new") == code, 1).otherwise(0)
-        left = F.when(F.col("old") == code, 1).otherwise(0)
-        return F.sum(entered - left)
-
     counts = [f"n_state_{code}" for code in range(operations.size)]
-    sums = [net(code).alias(name) for code, name in enumerate(counts)]
-    sums.append(net(UNDEFINED).alias("n_undefined"))
-    running = [*counts, "n_undefined"]
+    names = [*counts, "n_undefined"]
+    sums = [F.expr(f"sum(if(new = {code}, 1, 0) - if(old = {code}, 1, 0)) AS {name}")
+            for code, name in zip([*range(operations.size), UNDEFINED], names)]
     if cover_code is not None:
         sums.append(F.sum("cover").alias("n_cover"))
-        running.append("n_cover")
+        names.append("n_cover")
     if len(ops) > 1:
         sums.append(F.max("op").alias("op"))
     summed = member_moves.groupBy(*keys, "pos").agg(*sums)
     if place is not None:
         summed = summed.repartition(*place)
 
-    upto = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    op = [F.max("op").over(upto).alias("op")] if len(ops) > 1 else []
-    states = summed.select(*keys, "pos", *op, *[F.sum(c).over(upto).alias(c) for c in running])
-    present = [F.col(name) > 0 for name in counts]
-    undefined = F.col("n_undefined") > 0
+    columns = ", ".join(f"`{k}`" for k in keys)
+    upto = f"OVER (PARTITION BY {columns} ORDER BY pos ROWS UNBOUNDED PRECEDING)"
+    counted = [f"sum({name}) {upto} AS {name}" for name in names]
+    if len(ops) > 1:
+        counted.append(f"max(op) {upto} AS op")
     if ops:
-        which = next(iter(ops)) if len(ops) == 1 else F.col("op")
-        code = operations.fold_present(which, present, undefined, ops)
+        code = operations.fold_counts(counts, "n_undefined", ops)
     else:
-        only = F.coalesce(*[F.when(p, F.lit(code)) for code, p in enumerate(present)])
-        code = F.when(undefined, F.lit(UNDEFINED)).otherwise(only)
-    states = states.withColumn("code", code).where(F.col("code").isNotNull())
+        tests = " ".join(f"WHEN {name} > 0 THEN {c}" for c, name in enumerate(counts))
+        code = f"CASE WHEN n_undefined > 0 THEN {UNDEFINED} {tests} END"
+    states = summed.selectExpr(*[f"`{k}`" for k in keys], "pos", *counted)
+    states = states.withColumn("code", F.expr(code)).where("code IS NOT NULL")
     if cover_code is not None:
-        covered = F.when(F.col("n_cover") > 0, F.lit(cover_code)).otherwise(F.col("code"))
-        states = states.withColumn("code", covered)
+        states = states.withColumn("code", F.expr(f"if(n_cover > 0, {cover_code}, code)"))
     return compact(states.select(*keys, "pos", "code"), keys)
 
 
@@ -113,13 +107,11 @@ def period_moves(periods: DataFrame, keys: list[str], end: int) -> DataFrame:
 
     ``periods`` has keys, pos_from and pos_to (both included); ``end`` is the number of positions.
     """
-    steps = F.array_compact(F.array(
-        F.struct(F.col("pos_from").alias("pos"), F.lit(1).alias("cover")),
-        F.when(F.col("pos_to") + 1 < end,
-               F.struct((F.col("pos_to") + 1).alias("pos"), F.lit(-1).alias("cover")))))
+    steps = F.array(F.struct(F.col("pos_from").alias("pos"), F.lit(1).alias("cover")),
+                    F.struct((F.col("pos_to") + 1).alias("pos"), F.lit(-1).alias("cover")))
     null_int = F.lit(None).cast("int")
     return (periods.where(F.col("pos_from") <= F.col("pos_to"))
-            .select(*keys, F.explode(steps).alias("step"))
+            .select(*keys, F.explode(steps).alias("step")).where(F.col("step.pos") < end)
             .select(*keys, F.lit(None).cast("string").alias("member"),
                     null_int.alias("op"), F.col("step.pos").alias("pos"),
                     null_int.alias("new"), null_int.alias("old"), F.col("step.cover")))

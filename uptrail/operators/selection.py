@@ -27,9 +27,10 @@ def trim_metric_data(md: DataFrame, text: bool = False) -> DataFrame:
 
 
 def with_time(md: DataFrame) -> DataFrame:
-    """Add the date and the second of the day of each row."""
-    return md.withColumns({"date": clock.text_date(md.timestamp),
-                           "second": clock.seconds_of_day(md.timestamp)})
+    """Add the date and the second of the day of each row, where not there yet."""
+    parts = {"date": clock.text_date(F.col("timestamp")),
+             "second": clock.seconds_of_day(F.col("timestamp"))}
+    return md.withColumns({name: part for name, part in parts.items() if name not in md.columns})
 
 
 def for_date(md: DataFrame, first: str, last: str | None = None) -> DataFrame:

@@ -49,16 +49,14 @@ def place_rows(rows: DataFrame, operations: Operations, options: Options, first:
         return (rows.where(F.col("date").between(F.date_sub(low, 1), high))
                 .withColumn("pos", F.when(F.col("date") == low, own).otherwise(CARRY))
                 .withColumns({"row_date": F.col("date"), "date": low}))
-    own_entry = F.when(F.col("date") >= low,
-                       F.struct(F.col("date").alias("date"), own.alias("pos")))
-    next_entry = F.when(F.col("date") < high,
-                        F.struct(F.date_add("date", 1).alias("date"), F.lit(CARRY).alias("pos")))
-    entry = F.explode(F.array_compact(F.array(own_entry, next_entry)))
+    entries = F.explode(F.array(
+        F.struct(F.col("date").alias("date"), own.alias("pos")),
+        F.struct(F.date_add("date", 1).alias("date"), F.lit(CARRY).alias("pos"))))
     return (rows.where(F.col("date").between(F.date_sub(low, 1), high))
-            .withColumn("entry", entry)
+            .withColumn("entry", entries)
             .withColumns({"row_date": F.col("date"), "date": F.col("entry.date"),
                           "pos": F.col("entry.pos")})
-            .drop("entry"))
+            .drop("entry").where(F.col("date").between(low, high)))
 
 
 def slot_states(placed: DataFrame, keys: list[str], operations: Operations) -> DataFrame:
@@ -127,8 +125,7 @@ def day_spans(periods: DataFrame, first: str, last: str, options: Options) -> Da
                            F.least(F.to_date("end_ts"), high))
 
     def slot(ts: str) -> Column:
-        second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-        return clock.ts_slot(second, options.interval, options.slots)
+        return clock.ts_slot(clock.second_of(F.col(ts)), options.interval, options.slots)
 
     spans = periods.where(F.col("start_ts") <= F.col("end_ts")).withColumn("date", F.explode(days))
     return spans.withColumns({
@@ -140,12 +137,10 @@ def day_spans(periods: DataFrame, first: str, last: str, options: Options) -> Da
 def with_downtimes(downtimes: DataFrame, first: str, last: str, options: Options) -> DataFrame:
     """Downtime slots per day and endpoint: date, service, hostname, pos_from, pos_to.
 
-    With ``options.downtimes == "first"`` the earliest period of the endpoint's day, else all.
+    ``downtimes`` has service, hostname, start_ts, end_ts. With ``options.downtimes == "first"`` the
+    earliest period of the endpoint's day, else all.
     """
-    spans = day_spans(
-        downtimes.select("service", "hostname", clock.parse_ts(F.col("start_time")).alias("start_ts"),
-                         clock.parse_ts(F.col("end_time")).alias("end_ts")),
-        first, last, options)
+    spans = day_spans(downtimes, first, last, options)
     keys = ["date", "service", "hostname"]
     if options.downtimes == "all":
         return spans.select(*keys, "pos_from", "pos_to")

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from uptrail.config import Options, ReportInputs
+from uptrail.config import PROFILE_COLUMNS, Options, ReportInputs, literal_frame
 from uptrail.functions import clock
 from uptrail.operators import selection, slots, topology
 from uptrail.operators.selection import ENDPOINT
@@ -52,8 +52,8 @@ class Dimensions:
     def weights(self) -> DataFrame:
         def of(r: ReportInputs) -> DataFrame:
             if r.weights is None:
-                spark = r.endpoint_groups.sparkSession
-                return spark.createDataFrame([], "group string, weight int")
+                none = literal_frame(r.endpoint_groups.sparkSession, [], "group", "weight")
+                return none.withColumn("weight", F.col("weight").cast("int"))
             return topology.first_weight(newest(r.weights, self.last), r.config.weight)
         return self._union(of)
 
@@ -93,15 +93,11 @@ def build(spark: SparkSession, reports: list[ReportInputs], first: str, last: st
         mapping += [(r.config.id, *row) for row in r.profile.rows()]
         places.append(topology_of(r, first, last).withColumn("report", report))
         selected.append(selected_of(r, first, last).withColumn("report", report))
-    mapping = spark.createDataFrame(
-        mapping, "report string, service string, svc_op string, ag_group string, "
-                 "group_op string, total_op string, metric_op string")
-    downtimes = [(r, r.downtimes) for r in reports if r.downtimes is not None]
+    mapping = literal_frame(spark, mapping, "report", *PROFILE_COLUMNS)
+    downtimes = [downtimes_of(r, first, last, options) for r in reports if r.downtimes is not None]
     return Dimensions(
         reports, first, last, _union(checks), mapping, _union(places), _union(selected),
-        _union([slots.with_downtimes(d, first, last, options)
-                .withColumn("report", F.lit(r.config.id)) for r, d in downtimes])
-        if downtimes else None,
+        _union(downtimes) if downtimes else None,
         _exclusions(reports, "group_exclusions"), _exclusions(reports, "monitor_exclusions"))
 
 
@@ -112,6 +108,14 @@ def topology_of(r: ReportInputs, first: str, last: str) -> DataFrame:
     return per_day(eg.select(*ENDPOINT, "group", *day).distinct(), first, last)
 
 
+def downtimes_of(r: ReportInputs, first: str, last: str, options: Options) -> DataFrame:
+    """Downtime slots of the report's endpoints, per day."""
+    known = r.endpoint_groups.where(F.col("type") == r.config.egroup).select(*ENDPOINT)
+    mine = r.downtimes.join(known, ENDPOINT, "left_semi")
+    return (slots.with_downtimes(mine, first, last, options)
+            .withColumn("report", F.lit(r.config.id)))
+
+
 def selected_of(r: ReportInputs, first: str, last: str) -> DataFrame:
     """(service, hostname, date) of endpoints that pass the tag filters and the group test."""
     eg = selection.filter_endpoint_tags(r.endpoint_groups, r.config.egroup_tags)

@@ -21,10 +21,8 @@ def relevant_rows(md: DataFrame, dims: Dimensions, operations: Operations, optio
 
     The profile tests act here; the topology test waits until rows are pre-aggregated.
     """
-    md = md.where(F.col("date").between(F.lit(clock.shift(dims.first, -1)).cast("date"),
-                                        F.lit(dims.last).cast("date")))
-    rows = md.withColumns({"second": clock.seconds_of_day(F.col("timestamp")),
-                           "code": operations.state_code(F.col("status"))})
+    md = selection.for_date(selection.with_time(md), clock.shift(dims.first, -1), dims.last)
+    rows = md.withColumn("code", operations.state_code(F.col("status")))
     if options.strict:
         counted = dims.checks.join(dims.mapping.select("report", "service"),
                                    ["report", "service"], "left_semi")
@@ -35,18 +33,26 @@ def relevant_rows(md: DataFrame, dims: Dimensions, operations: Operations, optio
     placed = slots.place_rows(rows.where("second IS NOT NULL"), operations, options, dims.first,
                               dims.last, discrete)
     if options.strict and dims.monitor_exclusions is not None:
-        placed = _without_excluded(placed, dims.monitor_exclusions)
+        placed = _without_excluded(placed, dims.monitor_exclusions, dims.first, dims.last)
     return placed
 
 
-def _without_excluded(placed: DataFrame, exclusions: DataFrame) -> DataFrame:
-    p, x = placed.alias("p"), exclusions.alias("x")
-    ts = clock.parse_ts(F.col("p.timestamp"))
-    hit = ((F.col("p.report") == F.col("x.report"))
-           & (F.col("p.monitoring_host") == F.col("x.monitoring_host"))
-           & (ts >= F.col("x.start_ts")) & (ts <= F.col("x.end_ts"))
-           & F.col("p.date").between(F.col("x.from_date"), F.col("x.to_date")))
-    return p.join(x, hit, "left_anti")
+def _without_excluded(placed: DataFrame, exclusions: DataFrame, first: str, last: str) -> DataFrame:
+    """Anti-join on report, host and day; the second of the day is then in the period or not."""
+    low, high = F.lit(clock.shift(first, -1)).cast("date"), F.lit(last).cast("date")
+    x_days = clock.day_range(F.greatest(F.to_date("start_ts"), low),
+                             F.least(F.to_date("end_ts"), high))
+    x = exclusions.withColumn("x_date", F.explode(x_days)).select(
+        F.col("report").alias("x_report"), F.col("monitoring_host").alias("x_host"), "x_date",
+        F.when(F.to_date("start_ts") < F.col("x_date"), 0)
+         .otherwise(clock.second_of(F.col("start_ts"))).alias("x_from"),
+        F.when(F.to_date("end_ts") > F.col("x_date"), clock.DAY_SECONDS)
+         .otherwise(clock.second_of(F.col("end_ts"))).alias("x_to"), "from_date", "to_date")
+    hit = ((F.col("report") == F.col("x_report")) & (F.col("monitoring_host") == F.col("x_host"))
+           & (F.col("row_date") == F.col("x_date"))
+           & F.col("second").between(F.col("x_from"), F.col("x_to"))
+           & F.col("date").between(F.col("from_date"), F.col("to_date")))
+    return placed.join(x, hit, "left_anti")
 
 
 def in_selected(df: DataFrame, dims: Dimensions) -> DataFrame:

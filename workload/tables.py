@@ -11,7 +11,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.config import AvailabilityProfile, Options, ReportConfig, ReportInputs
+from uptrail.config import (AvailabilityProfile, Options, ReportConfig, ReportInputs,
+                            literal_frame)
 from uptrail.functions import clock
 from uptrail.operators import requests as rq
 from uptrail.sources.defaults import tenant_operations
@@ -53,10 +54,12 @@ class Tables:
     """The derived tables of one data directory."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path, self.frames = spark, path, {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self.frames:
+            self.frames[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self.frames[name]
 
     @cached_property
     def days(self) -> tuple[str, str]:
@@ -65,10 +68,10 @@ class Tables:
         return low.date().isoformat(), high.date().isoformat()
 
     def metric_data(self) -> DataFrame:
-        """Probe results, with the date column of a partitioned table."""
+        """Probe results, with the date a stored table is partitioned by, and the second of the day."""
         even = F.col("event_id") % 2 == 0
         error = F.col("event_type") == "error"
-        second = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+        second = clock.second_of(F.col("ts"))
         host = h()
         return self.read("events").select(
             clock.format_ts(F.to_date("ts"), second).alias("timestamp"),
@@ -81,7 +84,7 @@ class Tables:
              .when(F.col("value") < 3, "UNKNOWN").otherwise("OK").alias("status"),
             named("mon-", F.col("event_id") % 3).alias("monitoring_host"),
             F.col("event_type").alias("summary"), F.col("props").alias("message"),
-            F.to_date("ts").alias("date"))
+            F.to_date("ts").alias("date"), second.alias("second"))
 
     def endpoint_groups(self) -> DataFrame:
         """Hosts that report (in one or two sites, and a project), and supplier hosts that never do."""
@@ -130,26 +133,19 @@ class Tables:
         return tree.unionByName(customers).unionByName(world)
 
     def metric_profiles(self) -> DataFrame:
-        return self.spark.createDataFrame(METRIC_PROFILES,
-                                          "profile string, service string, metric string")
+        return literal_frame(self.spark, METRIC_PROFILES, "profile", "service", "metric")
 
     def downtimes(self) -> DataFrame:
         """One downtime per order, 1 to 30 hours long, on the days of the events."""
         key = F.col("o_orderkey")
         first = F.lit(self.days[0]).cast("date").cast("timestamp_ntz")
-        start = F.timestamp_add("SECOND", (key % 30 * 86400 + key % 23 * 3600 + key % 50 * 60)
-                                .cast("int"), first)
+        offset = (key % 30 * 86400 + key % 23 * 3600 + key % 50 * 60).cast("int")
         length = F.when(key % 10 == 0, 30 * 3600).otherwise(3600 * (1 + key % 7)).cast("int")
-        end = F.timestamp_add("SECOND", length, start)
-
-        def text(ts) -> F.Column:
-            second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-            return clock.format_ts(F.to_date(ts), second)
-
         return self.read("orders").select(
             named("host-", F.col("o_custkey")).alias("hostname"),
             named("svc-", F.col("o_custkey") % 3).alias("service"),
-            text(start).alias("start_time"), text(end).alias("end_time"))
+            F.timestamp_add("SECOND", offset, first).alias("start_ts"),
+            F.timestamp_add("SECOND", offset + length, first).alias("end_ts"))
 
     def weights(self) -> DataFrame:
         return (self.read("supplier").join(
@@ -181,14 +177,16 @@ class Tables:
                      F.lit(":00")).alias("timestamp"),
             F.array(source).alias("exclude_monitoring_source"))
 
-    def report(self, config: ReportConfig = REPORT_1, profile: AvailabilityProfile = PROFILE_1,
-               recomputations: bool = True) -> ReportInputs:
-        requests = self.requests() if recomputations else None
-        return ReportInputs(
-            config, profile, self.metric_profiles(), self.endpoint_groups(), self.group_groups(),
-            self.weights(), self.downtimes(),
-            rq.group_exclusions(requests) if recomputations else None,
-            rq.monitor_exclusions(requests) if recomputations else None)
+    @cached_property
+    def dimensions(self) -> tuple[DataFrame, ...]:
+        requests = self.requests()
+        return (self.metric_profiles(), self.endpoint_groups(), self.group_groups(),
+                self.weights(), self.downtimes(), rq.group_exclusions(requests),
+                rq.monitor_exclusions(requests))
+
+    def report(self, config: ReportConfig = REPORT_1,
+               profile: AvailabilityProfile = PROFILE_1) -> ReportInputs:
+        return ReportInputs(config, profile, *self.dimensions)
 
     def reports(self) -> list[ReportInputs]:
         return [self.report(), self.report(REPORT_2, PROFILE_2)]
