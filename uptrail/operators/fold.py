@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from uptrail.functions.truth import UNDEFINED, Operations
 
-BLOCKS = 24  # position blocks of a day in an ordered fold
+# An ordered fold cuts the positions of a key into blocks of about this many changes.
+BLOCK_CHANGES = 100_000
+MAX_BLOCKS = 288
 
 
 def moves(timeline: DataFrame, keys: list[str], member: str, op: Column) -> DataFrame:
@@ -61,6 +63,23 @@ def fold(member_moves: DataFrame, keys: list[str], operations: Operations, ops:
     return rows if covers is None else overlay(rows, covers, keys, operations, cover_code, place)
 
 
+def fold_states(df: DataFrame, keys: list[str], member: str, code: str, operations: Operations,
+                op: str) -> DataFrame:
+    """Fold the states of the rows of each key: keys, code.
+
+    For order-free tables a count per state decides; others fold in ascending ``member``.
+    """
+    if operations.kinds[op] == "ordered":
+        flat = df.select(*keys, F.col(member).alias("member"), operations.op_code(op).alias("op"),
+                         F.lit(0).alias("pos"), F.col(code).alias("new"))
+        return ordered_fold(flat, keys, operations).select(*keys, "code")
+    counts = [f"n_state_{c}" for c in range(operations.size)]
+    sums = [F.expr(f"sum(if(`{code}` = {c}, 1, 0)) AS {name}")
+            for c, name in zip([*range(operations.size), UNDEFINED], [*counts, "n_undefined"])]
+    folded = F.expr(operations.fold_counts(counts, "n_undefined", {op}))
+    return df.groupBy(*keys).agg(*sums).select(*keys, folded.alias("code"))
+
+
 def overlay(timeline: DataFrame, covers: DataFrame, keys: list[str], operations: Operations,
             code: int, place: list[str] | None = None) -> DataFrame:
     """Replace the state by ``code`` wherever a cover lies over a timeline."""
@@ -142,7 +161,7 @@ def ordered_fold(member_moves: DataFrame, keys: list[str], operations: Operation
     associative. So members are cut into runs by range partitioning on (keys, member), which keeps
     their order and splits a key with many members over many tasks; each run gives, per position,
     one map from the state before the run to the state after it; the few maps of a key are composed
-    in order. Positions are cut into blocks as well, so no task holds a whole key.
+    in order. The positions of a large key are cut into blocks as well, so no task holds all of it.
     """
     size = operations.size
     tables = {operations.op_number(op): _step_maps(operations, op)
@@ -153,8 +172,10 @@ def ordered_fold(member_moves: DataFrame, keys: list[str], operations: Operation
     # Member intervals, cut at block borders; each block starts with the state in force there.
     w = Window.partitionBy(*keys, "member").orderBy("pos")
     last = F.coalesce(F.lead("pos").over(w) - 1, F.col("limit"))
-    limit = member_moves.groupBy(*keys).agg((F.max("pos")).alias("limit"))
-    width = F.greatest(F.ceil((F.col("limit") + 1) / BLOCKS).cast("int"), F.lit(1))
+    limit = member_moves.groupBy(*keys).agg(F.max("pos").alias("limit"),
+                                            F.count("*").alias("changes"))
+    blocks = F.least(F.floor(F.col("changes") / BLOCK_CHANGES) + 1, F.lit(MAX_BLOCKS))
+    width = F.ceil((F.col("limit") + 1) / blocks).cast("int")
     spans = (member_moves.where("new IS NOT NULL").join(limit, keys)
              .select(*keys, "member", "op", "pos", "new", last.alias("last"),
                      width.alias("width"))

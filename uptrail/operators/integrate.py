@@ -57,9 +57,9 @@ def hourly(timeline: DataFrame, keys: list[str], operations: Operations, slots:
            interval: int) -> DataFrame:
     """Availability and reliability of each hour: intervals are cut at hour marks."""
     per_hour = max(HOUR_SLOTS_MINUTES // interval, 1)
-    hours = F.explode(F.sequence(F.floor(F.col("pos_from") / per_hour),
-                                 F.floor(F.col("pos_to") / per_hour)))
-    spans = (intervals(timeline, keys, slots).withColumn("hour", hours.cast("int"))
+    hours = F.explode(F.sequence(F.floor(F.col("pos_from") / per_hour).cast("int"),
+                                 F.floor(F.col("pos_to") / per_hour).cast("int")))
+    spans = (intervals(timeline, keys, slots).withColumn("hour", hours)
              .withColumn("pos_from", F.greatest(F.col("pos_from"), F.col("hour") * per_hour))
              .withColumn("pos_to", F.least(F.col("pos_to"), (F.col("hour") + 1) * per_hour - 1)))
     keys = [*keys, "hour"]

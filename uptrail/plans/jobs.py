@@ -17,13 +17,13 @@ from uptrail.sinks import store
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a fresh local one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = spark.sparkContext.getCheckpointDir()
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="run-")
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="run-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:

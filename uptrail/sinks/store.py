@@ -6,7 +6,7 @@ again, or running it on two attempts, leaves one copy, as an upsert on the resul
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Partition columns and row key of each result table.
 TABLES: dict[str, tuple[list[str], list[str]]] = {
@@ -29,9 +29,10 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: list[str],
      .partitionBy(*partitions).save(path))
 
 
-def salt(df: DataFrame, partitions: list[str], files: int = 16) -> F.Column:
+def salt(df: DataFrame, partitions: list[str], files: int = 16) -> Column:
     """Spread one partition over some tasks, so a large report is not one file from one task."""
-    rest = [c for c in df.columns if c not in partitions]
+    rest = [f.name for f in df.schema.fields
+            if f.name not in partitions and f.dataType.typeName() != "map"]
     return F.pmod(F.xxhash64(*rest), F.lit(files))
 
 

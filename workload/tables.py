@@ -67,7 +67,7 @@ class Tables:
         low, high = self.read("events").agg(F.min("ts"), F.max("ts")).first()
         return low.date().isoformat(), high.date().isoformat()
 
-    def metric_data(self) -> DataFrame:
+    def metric_data(self, *more: str) -> DataFrame:
         """Probe results, with the date a stored table is partitioned by, and the second of the day."""
         even = F.col("event_id") % 2 == 0
         error = F.col("event_type") == "error"
@@ -84,7 +84,7 @@ class Tables:
              .when(F.col("value") < 3, "UNKNOWN").otherwise("OK").alias("status"),
             named("mon-", F.col("event_id") % 3).alias("monitoring_host"),
             F.col("event_type").alias("summary"), F.col("props").alias("message"),
-            F.to_date("ts").alias("date"), second.alias("second"))
+            F.to_date("ts").alias("date"), second.alias("second"), *more)
 
     def endpoint_groups(self) -> DataFrame:
         """Hosts that report (in one or two sites, and a project), and supplier hosts that never do."""
@@ -190,3 +190,46 @@ class Tables:
 
     def reports(self) -> list[ReportInputs]:
         return [self.report(), self.report(REPORT_2, PROFILE_2)]
+
+    # -- older logs ------------------------------------------------------------------------------
+
+    def legacy_logs(self) -> DataFrame:
+        """Probe results in the older layout; four virtual organisations."""
+        vo = named("vo-", F.col("user_id") % 4)
+        return self._probes(
+            F.col("timestamp").alias("time_stamp"), "metric",
+            F.col("service").alias("service_flavour"), "hostname", "status", vo.alias("vo"),
+            F.concat(F.lit("/"), vo, F.lit("/Role=NULL")).alias("vofqan"),
+            F.lit("P1").alias("profile"), "date", "second")
+
+    def legacy_detail(self) -> DataFrame:
+        vo = named("vo-", F.col("user_id") % 4)
+        return self._probes(
+            "timestamp", named("ROC_", h() % 5).alias("roc"),
+            F.col("monitoring_host").alias("monitoring_box"), "metric",
+            F.col("service").alias("service_type"), "hostname", "status", vo.alias("vo"),
+            F.concat(F.lit("/"), vo, F.lit("/Role=NULL")).alias("vo_fqan"), "summary", "message",
+            "date", "second")
+
+    def _probes(self, *columns) -> DataFrame:
+        return self.metric_data("user_id").select(*columns)
+
+    def sites(self) -> DataFrame:
+        """Hosts of the events in the older topology layout."""
+        hosts = self.read("events").select(h().alias("h")).distinct()
+        return hosts.select(
+            named("host-", F.col("h")).alias("hostname"), named("svc-", F.col("h") % 3).alias("service"),
+            F.when(F.col("h") % 11 == 0, "N").otherwise("Y").alias("production"),
+            F.lit("Y").alias("monitored"), F.lit("grid").alias("scope"),
+            named("NATION_", F.col("h") % 5).alias("site"), named("ROC_", F.col("h") % 5).alias("roc"),
+            F.lit("Production").alias("infrastructure"), F.lit("Certified").alias("certification"),
+            F.lit("grid").alias("site_scope"))
+
+    def poems(self) -> DataFrame:
+        return self.metric_profiles().withColumnRenamed("service", "service_flavour")
+
+    def legacy_mapping(self) -> DataFrame:
+        rows = [("P1", PROFILE_1.name, service, group, group_op, PROFILE_1.total_op)
+                for service, _, group, group_op, _, _ in PROFILE_1.rows()]
+        return literal_frame(self.spark, rows, "profile", "availability_profile",
+                             "service_flavour", "ag_group", "group_op", "total_op")
