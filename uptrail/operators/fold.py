@@ -24,7 +24,7 @@ from uptrail.functions.truth import UNDEFINED, Operations
 
 # An ordered fold cuts the positions of a key into blocks of about this many changes.
 BLOCK_CHANGES = 100_000
-MAX_BLOCKS = 288
+MAX_BLOCKS = 1440
 
 
 def moves(timeline: DataFrame, keys: list[str], member: str, op: Column) -> DataFrame:

@@ -158,3 +158,13 @@ def alias_services(df: DataFrame, aliases: DataFrame) -> DataFrame:
     copies = (df.join(aliases, "service")
               .withColumn("service", F.col("alias")).select(*df.columns))
     return df.unionByName(copies)
+
+
+def flatten(df: DataFrame, bag: str) -> DataFrame:
+    """One row per element of an array column; rows with an empty one are dropped."""
+    return df.withColumn(bag, F.explode(bag))
+
+
+def flatten2(df: DataFrame, first: str, second: str) -> DataFrame:
+    """One row per pair of elements of two array columns of the same row."""
+    return flatten(flatten(df, first), second)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from uptrail.functions import clock
 
@@ -24,20 +24,26 @@ def latest_snapshot(df: DataFrame, date: str, max_back: int = 3) -> DataFrame:
     return df.where(F.col("date") == F.lit(newest)).drop("date")
 
 
+def newest_snapshot(df: DataFrame) -> DataFrame:
+    """Rows of the newest snapshot of all."""
+    newest = df.agg(F.max("date")).first()[0]
+    if newest is None:
+        raise SnapshotMissing("no snapshot at all")
+    return df.where(F.col("date") == F.lit(newest)).drop("date")
+
+
 def snapshots_for(df: DataFrame, first: str, last: str, max_back: int = 3) -> DataFrame:
     """For each day first..last, the rows of its newest snapshot, with that day as ``date``.
 
-    The days a snapshot serves are found on the few distinct dates: each serves from its own day
-    until the next snapshot, at most ``max_back`` days on.
+    A snapshot serves from its own day until the next one, at most ``max_back`` days on. That is
+    worked out on the distinct dates only, one row per day of the run.
     """
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
     near = df.where(F.col("date").between(F.date_sub(low, max_back), high))
-    dates = near.select("date").distinct()
-    following = (dates.alias("a").join(dates.alias("b"), F.col("a.date") < F.col("b.date"), "left")
-                 .groupBy(F.col("a.date").alias("date"))
-                 .agg(F.min(F.col("b.date")).alias("next")))
+    following = F.lead("date").over(Window.partitionBy(F.lit(0)).orderBy("date"))
     until = F.least(F.date_add("date", max_back), high,
-                    F.coalesce(F.date_sub("next", 1), high))
-    serves = following.select("date", F.explode(
-        clock.day_range(F.greatest("date", low), until)).alias("serves"))
-    return (near.join(serves, "date").drop("date").withColumnRenamed("serves", "date"))
+                    F.coalesce(F.date_sub("following", 1), high))
+    days = (near.select("date").distinct().withColumn("following", following)
+            .select("date", F.explode(clock.day_range(F.greatest("date", low), until))
+                    .alias("serves")))
+    return near.join(days, "date").drop("date").withColumnRenamed("serves", "date")

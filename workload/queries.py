@@ -16,7 +16,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 def register(sql: str | None = None, name: str | None = None):
     def add(fn: Callable[[Tables], DataFrame]):
         QUERIES[name or fn.__name__] = (
-            lambda spark, path: fn(Tables(spark, path)), o.query(sql) if sql else None)
+            lambda spark, path: fn(Tables.of(spark, path)), o.query(sql) if sql else None)
         return fn
     return add
 

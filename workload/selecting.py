@@ -504,3 +504,18 @@ def asof_state(t: Tables) -> DataFrame:
     rows = md.groupBy("service", "date", F.col("second").alias("pos")).agg(F.max(code).alias("code"))
     points = md.select("service", "date", (F.floor(F.col("second") / 600) * 600).cast("int").alias("pos"))
     return changes.asof_state(points, rows, ["service", "date"])
+
+
+@register("""SELECT DISTINCT eg.service, hostname, grp AS groups, metric AS metrics FROM eg
+             JOIN mp ON profile = 'P1' AND mp.service = eg.service WHERE "type" = 'SITES'""")
+def flatten2(t: Tables) -> DataFrame:
+    """Sites and metrics of each endpoint as two arrays, flattened one after the other."""
+    sites = t.endpoint_groups().where("type = 'SITES'").groupBy("service", "hostname").agg(
+        F.collect_set("group").alias("groups"))
+    bags = sites.join(topology.service_metrics(checks(t)).drop("profile"), "service")
+    return sel.flatten2(bags, "groups", "metrics")
+
+
+@register(f"SELECT s.service, s.hostname FROM {SNAPSHOTS} s WHERE s.date = (SELECT max(x.date) FROM {SNAPSHOTS} x)")
+def newest_snapshot(t: Tables) -> DataFrame:
+    return snapshots.newest_snapshot(topology_snapshots(t))

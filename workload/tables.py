@@ -8,6 +8,7 @@ derived table grows with the table it is made from.
 from __future__ import annotations
 
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,9 +51,17 @@ def named(prefix: str, number) -> F.Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
+_OPENED: WeakKeyDictionary = WeakKeyDictionary()
+
+
 class Tables:
     """The derived tables of one data directory."""
 
+    @classmethod
+    def of(cls, spark: SparkSession, path: str) -> "Tables":
+        """The tables of a session and path; schemas and the first and last day are read once."""
+        return _OPENED.setdefault(spark, {}).setdefault(path, cls(spark, path))
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.frames = spark, path, {}
 
