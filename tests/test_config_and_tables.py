@@ -162,7 +162,7 @@ def test_decode_envelope(spark):
     df = spark.createDataFrame([(good,), *[(b,) for b in bad]], "value string")
     rows = ingest.decode_envelope(df, "hdfs:/schemas/").collect()
     assert rows[0].body == "this has to be decoded"
-    assert rows[0].headers == {"argo_type": "metric_data", "argo_partition_date": "2015-03-01"}
+    assert rows[0].headers == {"attr_type": "metric_data", "attr_partition_date": "2015-03-01"}
     assert rows[0].schema_url == "hdfs:/schemas/metric_data.avsc" and rows[0].date == "2015-03-01"
     assert [r.body for r in rows[1:]] == [None] * 3 and [r.raw for r in rows[1:]] == bad
 

@@ -27,12 +27,12 @@ def union_logs(current: DataFrame, beacons: DataFrame) -> DataFrame:
     return current.unionByName(beacons)
 
 
-def host_timetables(logs: DataFrame, poems: DataFrame, downtimes: DataFrame | None,
+def host_timetables(logs: DataFrame, checks: DataFrame, downtimes: DataFrame | None,
                     operations: Operations, first: str, last: str,
                     options: Options = Options()) -> DataFrame:
     """Timeline per day, host, flavour and profile (keys, pos, code, prev).
 
-    ``poems`` has profile, service_flavour, metric: the metrics a profile calls for. Hosts are those
+    ``checks`` has profile, service_flavour, metric: the metrics a profile calls for. Hosts are those
     with a log row on the day or the day before.
     """
     rows = with_time(logs.withColumnRenamed("time_stamp", "timestamp"))
@@ -42,7 +42,7 @@ def host_timetables(logs: DataFrame, poems: DataFrame, downtimes: DataFrame | No
     states = slots.slot_states(placed, key, operations)
     missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
     called = (states.select(*HOST).distinct()
-              .join(poems.select("profile", "service_flavour", "metric").distinct(),
+              .join(checks.select("profile", "service_flavour", "metric").distinct(),
                     ["profile", "service_flavour"]).select(*key))
     seeds = called.unionByName(states.select(*key)).distinct().select(
         *key, F.lit(slots.SEED).alias("pos"), missing.alias("packed"))

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from uptrail import schemas
 
-HEADER_PREFIX = "argo_"  # fixed value: attribute headers carry this prefix
+HEADER_PREFIX = "attr_"
 ROLL = "30 minutes"
 
 
@@ -36,14 +36,15 @@ def decode_payload(data: Column) -> Column:
     return F.try_to_binary(data, F.lit("base64")).cast("string")
 
 
-def decode_envelope(df: DataFrame, schema_root: str = "") -> DataFrame:
+def decode_envelope(df: DataFrame, schema_root: str = "",
+                    prefix: str = HEADER_PREFIX) -> DataFrame:
     """Body and headers of each envelope.
 
-    Every attribute becomes a header; the reference to the payload's schema is one more. A message
+    Every attribute becomes a header, its name behind ``prefix``; the reference to the payload's schema is one more. A message
     that cannot be read keeps its raw text and has a null body.
     """
     parsed = F.from_json("value", schemas.ENVELOPE)
-    named = F.transform_keys("e.attributes", lambda k, _: F.concat(F.lit(HEADER_PREFIX), k))
+    named = F.transform_keys("e.attributes", lambda k, _: F.concat(F.lit(prefix), k))
     body = decode_payload(F.col("e.data"))
     reference = F.concat(F.lit(schema_root), F.try_element_at("e.attributes", F.lit("type")),
                          F.lit(".avsc"))

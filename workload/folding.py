@@ -453,13 +453,13 @@ def ingest_rejected(t: Tables) -> DataFrame:
     return ingest.rejected(landed(t))
 
 
-@register("""SELECT 'schemas/metric_data.avsc' AS schema_url, 'metric_data' AS argo_type,
-                    strftime(CAST(ts AS DATE), '%Y-%m-%d') AS argo_partition_date, count(*) AS messages
+@register("""SELECT 'schemas/metric_data.avsc' AS schema_url, 'metric_data' AS attr_type,
+                    strftime(CAST(ts AS DATE), '%Y-%m-%d') AS attr_partition_date, count(*) AS messages
              FROM events WHERE event_id % 50 <> 7 GROUP BY ALL""")
 def decode_envelope(t: Tables) -> DataFrame:
     decoded = ingest.decode_envelope(envelopes(t), "schemas/").where("body IS NOT NULL")
-    return decoded.groupBy("schema_url", F.col("headers")["argo_type"].alias("argo_type"),
-                           F.col("headers")["argo_partition_date"].alias("argo_partition_date")).agg(
+    return decoded.groupBy("schema_url", F.col("headers")["attr_type"].alias("attr_type"),
+                           F.col("headers")["attr_partition_date"].alias("attr_partition_date")).agg(
         F.count("*").alias("messages"))
 
 
@@ -527,7 +527,7 @@ LRATES = "availability, reliability, up, unknown, downtime"
 
 
 def timetables(t: Tables) -> DataFrame:
-    return legacy.host_timetables(t.legacy_logs(), t.poems(), t.downtimes(), OPERATIONS, *t.days)
+    return legacy.host_timetables(t.legacy_logs(), t.legacy_checks(), t.downtimes(), OPERATIONS, *t.days)
 
 
 @register(o.runs("l_hosts", "date, service, hostname").replace("SELECT date, service, hostname,",

@@ -234,7 +234,7 @@ class Tables:
             F.lit("Production").alias("infrastructure"), F.lit("Certified").alias("certification"),
             F.lit("grid").alias("site_scope"))
 
-    def poems(self) -> DataFrame:
+    def legacy_checks(self) -> DataFrame:
         return self.metric_profiles().withColumnRenamed("service", "service_flavour")
 
     def legacy_mapping(self) -> DataFrame:
