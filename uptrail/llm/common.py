@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +41,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path in the shared folder, and the path in it."""
+    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
@@ -110,6 +116,7 @@ class Rolling:
         return out
 
     def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self.powers(len(sums))
         return mix((sums[end] - sums[start]) * self.down[start])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import mixing, neighbours, tokens, urls, warc
+from uptrail.llm import bwt, mixing, neighbours, tokens, urls, warc
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -130,3 +130,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = lambda c: F.when(F.length(c) > 0, F.col(c).cast("long"))
     return back.select(number("key").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
                        number("refers").alias("refers_to"))
+
+
+# --- suffix-array dedup -------------------------------------------------------------------------
+
+@register()
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bwt.stripped(docs, "text", 400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

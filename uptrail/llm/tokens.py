@@ -14,8 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from uptrail.llm.common import Rolling, scratch, slices, utf8, written
-from uptrail.llm.warc import place
+from uptrail.llm.common import Rolling, place, scratch, slices, utf8, written
 
 MAGIC = b"PFOR0001"
 BLOCK = 256

@@ -10,10 +10,9 @@ from collections.abc import Iterable, Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from uptrail.llm.common import scratch, written
+from uptrail.llm.common import place, scratch, written
 
 # Fixed values of the format (ISO 28500).
 VERSION = b"WARC/1.1"
@@ -35,10 +34,6 @@ def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def place(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
-
-
 def record(key: str, uri: str | None, payload: bytes, kind: str, refers: str | None) -> bytes:
     """One compressed record. A revisit has the header of the answer, not its payload."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
