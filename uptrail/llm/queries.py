@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, mixing, neighbours, tokens, urls, warc
+from uptrail.llm import bwt, mixing, neighbours, quality, tokens, urls, warc
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -138,3 +138,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bwt.stripped(docs, "text", 400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# --- quality rules ------------------------------------------------------------------------------
+
+@register()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.judged(docs, carry=["doc_id"]).select("doc_id", *quality.COUNTS, "base_failed", "kept")
