@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, mixing, neighbours, quality, tokens, urls, warc
+from uptrail.llm import bwt, jaccard, mixing, neighbours, quality, tokens, urls, warc
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -146,3 +146,24 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality.judged(docs, carry=["doc_id"]).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+# --- n-gram Jaccard join ------------------------------------------------------------------------
+
+OP2_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+') AS l FROM documents),
+  s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(l) >= 3 THEN list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2])
+          WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END)) AS g FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+  l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+  e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+  r AS (WITH RECURSIVE r(d, t) AS (SELECT x, x FROM e UNION SELECT r.d, e.y FROM r JOIN e ON e.x = r.t) SELECT d, min(t) AS t FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(r.t, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.d = d.doc_id"""
+
+
+@register(OP2_SQL)
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.joined(docs).select("doc_id", "n_shingles", "component_id")
