@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from uptrail.llm.common import Rolling, mix, place, scratch, slices, utf8, written
+from uptrail.llm.common import Rolling, discard, mix, place, scratch, slices, utf8, written
 
 ROLL = Rolling(4)
 #: Bytes that decide about a cut, besides the radius on both sides.
@@ -70,7 +70,7 @@ def cut(data: np.ndarray, at: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarra
 
 
 def phrases(docs: DataFrame, length: int) -> DataFrame:
-    """_key, _size, _cuts, _codes of each text of at least that many bytes."""
+    """_key, _size, _lengths and _codes of the phrases, of each text of at least that many bytes."""
     r = radius_of(length)
 
     def cut_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,39 +83,40 @@ def phrases(docs: DataFrame, length: int) -> DataFrame:
                 kept = np.flatnonzero(np.diff(at) >= length)
                 yield pa.RecordBatch.from_arrays([
                     part.column("_key").take(pa.array(kept)), pa.array(np.diff(at)[kept], pa.int64()),
-                    pa.array([(bounds[ends[i]:ends[i + 1] + 1] - at[i]).astype(np.int32).tobytes() for i in kept], pa.binary()),
+                    pa.array([np.diff(bounds[ends[i]:ends[i + 1] + 1]).astype(np.int32).tobytes() for i in kept], pa.binary()),
                     pa.array([codes[ends[i]:ends[i + 1]].tobytes() for i in kept], pa.binary())],
-                    names=["_key", "_size", "_cuts", "_codes"])
+                    names=["_key", "_size", "_lengths", "_codes"])
 
     return docs.where(F.octet_length("_text") >= length).select("_key", "_text").mapInArrow(
-        cut_up, "_key binary, _size long, _cuts binary, _codes binary")
+        cut_up, "_key binary, _size long, _lengths binary, _codes binary")
 
 
 def save(folder: str, **arrays: np.ndarray) -> str:
     """A file of arrays in the shared folder. A task that runs again writes another one."""
     system, root = place(folder)
     system.create_dir(root, recursive=True)
-    name, data = f"{uuid.uuid4().hex}.npz", io.BytesIO()
-    np.savez(data, **arrays)
+    name = f"{uuid.uuid4().hex}.npz.zst"
     with system.open_output_stream(f"{root}/{name}") as out:
-        out.write(data.getbuffer())
+        out.write(packed(**arrays))
     return name
 
 
 def load(folder: str, name: str) -> dict[str, np.ndarray]:
     system, root = place(folder)
     with system.open_input_stream(f"{root}/{name}") as source:
-        return dict(np.load(io.BytesIO(source.read()), allow_pickle=False))
+        return unpacked(source.read())
 
 
 def packed(**arrays: np.ndarray) -> bytes:
     data = io.BytesIO()
     np.savez(data, **arrays)
-    return data.getvalue()
+    size = data.tell()
+    return size.to_bytes(8, "little") + pa.compress(data.getbuffer(), "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> dict[str, np.ndarray]:
-    return dict(np.load(io.BytesIO(data), allow_pickle=False))
+    raw = pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    return dict(np.load(io.BytesIO(raw), allow_pickle=False))
 
 
 def rows(items: list[tuple]) -> pa.Table:
@@ -173,12 +174,12 @@ class Merge:
     def start(self, docs: pa.Table) -> pa.Table:
         """Keeps the shard's documents in a file and asks which phrases are repeated."""
         shard = docs.column("_shard")[0].as_py()
-        cuts = [np.frombuffer(x, np.int32) for x in docs.column("_cuts").to_pylist()]
+        lengths = [np.frombuffer(x, np.int32) for x in docs.column("_lengths").to_pylist()]
         codes = np.concatenate([np.frombuffer(x, np.uint64) for x in docs.column("_codes").to_pylist()])
-        many = np.array([len(x) - 1 for x in cuts])
+        many = np.array([len(x) for x in lengths])
         weight = np.minimum(docs.column("_copies").to_numpy(), 2)
         keys = np.frombuffer(b"".join(docs.column("_key").to_pylist()), np.uint8)
-        file = save(self.folder, keys=keys, cuts=np.concatenate(cuts), many=many, codes=codes, weight=weight.astype(np.uint8))
+        file = save(self.folder, keys=keys, lengths=np.concatenate(lengths), many=many, codes=codes, weight=weight.astype(np.uint8))
         kinds, which = np.unique(codes, return_inverse=True)
         counts = np.bincount(which, weights=np.repeat(weight, many))
         return rows([("state", shard, None, file, None, None), *asked(shard, self.buckets, kinds, counts)])
@@ -190,9 +191,7 @@ class Merge:
         kinds, which = np.unique(docs["codes"], return_inverse=True)
         live = np.flatnonzero(answered(group, self.buckets, kinds)[which])
         doc = np.repeat(np.arange(len(docs["many"])), docs["many"])
-        first = np.cumsum(docs["many"] + 1) - docs["many"] - 1
-        edge = first[doc] + np.arange(len(doc)) - (np.cumsum(docs["many"]) - docs["many"])[doc]
-        size = (docs["cuts"][edge + 1] - docs["cuts"][edge]).astype(np.int64)
+        size = docs["lengths"]
         n = len(live)
         follows = np.zeros(n, bool)
         follows[:-1] = (np.diff(live) == 1) & (doc[live[1:]] == doc[live[:-1]])
@@ -216,7 +215,7 @@ class Merge:
         back[spot[1:][follows[:-1]]] = spot[:-1][follows[:-1]]
         code = docs["codes"][live[order]]
         static = save(self.folder, back=back.astype(np.int32), code=code, size=size[live[order]].astype(np.int32),
-                      weight=docs["weight"][doc[live[order]]], live=live[order].astype(np.int64))
+                      weight=docs["weight"][doc[live[order]]], live=live[order].astype(np.int32))
         new = np.ones(n, bool)
         new[1:] = code[1:] != code[:-1]
         low = np.flatnonzero(new)
@@ -226,7 +225,8 @@ class Merge:
 
     def extended(self, shard: int, file: str, state: dict, kept: np.ndarray, static: dict) -> pa.Table:
         """Marks the strings that are repeated, and makes one backward step from each of them."""
-        low, high, depth = state["low"][kept], state["high"][kept], int(state["depth"][0])
+        low, high = state["low"][kept].astype(np.int64), state["high"][kept].astype(np.int64)
+        depth = int(state["depth"][0])
         longest = state["longest"].copy()
         cover = np.repeat(np.arange(len(low)), high - low)
         member = np.arange(len(cover)) + (low - np.cumsum(high - low) + (high - low))[cover]
@@ -246,7 +246,8 @@ class Merge:
         weights = np.concatenate([[0], np.cumsum(static["weight"], dtype=np.int64)])
         codes = mix(state["code"][kept][own[head]] * STEP + code[head])
         inner = state["inner"][kept][own[head]] + static["size"][lows]
-        out = packed(low=lows, high=highs, code=codes, inner=inner, longest=longest, depth=np.array([depth + 1]))
+        out = packed(low=lows.astype(np.int32), high=highs.astype(np.int32), code=codes, inner=inner.astype(np.int32), longest=longest,
+                     depth=np.array([depth + 1]))
         order = np.unique(codes, return_inverse=True)
         counts = np.bincount(order[1], weights=weights[highs] - weights[lows]) if len(codes) else np.zeros(0)
         return rows([("state", shard, None, file, out, None), *asked(shard, self.buckets, order[0], counts)])
@@ -268,10 +269,14 @@ class Merge:
         """
         docs, state = load(self.folder, file.split("/")[0]), unpacked(data)
         static = load(self.folder, file.split("/")[1])
-        many, cuts = docs["many"], docs["cuts"].astype(np.int64)
+        many = docs["many"]
         first = np.cumsum(many + 1) - many - 1
         doc_of = np.repeat(np.arange(len(many)), many)
         edge = first[doc_of] + np.arange(len(doc_of)) - (np.cumsum(many) - many)[doc_of]
+        cuts = np.zeros(len(edge) + len(many), np.int64)
+        cuts[edge + 1] = docs["lengths"]
+        cuts = np.cumsum(cuts)
+        cuts -= np.repeat(cuts[first], many + 1)
         longest, code = np.zeros(len(cuts), np.int64), np.zeros(len(cuts), np.uint64)
         longest[edge[static["live"]]] = state["longest"]
         code[edge] = docs["codes"]
@@ -403,9 +408,15 @@ class Merge:
                                     names=["_key", "starts", "ends", "kept", "sha256"])
 
 
-def exchange(state: DataFrame) -> DataFrame:
-    """The states and the answers to what they ask."""
-    return state.where("kind = 'state'").union(state.where("kind = 'ask'").groupBy("bucket").applyInArrow(answer, ROWS))
+def dealt(state: DataFrame, column: str, parts: int):
+    """Groups by shard or bucket, spread over as many tasks: rows are few, but long to work on."""
+    return state.repartition(parts, column).groupBy(column)
+
+
+def exchange(state: DataFrame, parts: int):
+    """For each shard its state and the answers to what it asked."""
+    answers = dealt(state.where("kind = 'ask'"), "bucket", parts).applyInArrow(answer, ROWS)
+    return dealt(state.where("kind = 'state'").union(answers), "shard", parts)
 
 
 def repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
@@ -421,7 +432,7 @@ def repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame
     keyed = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_key", F.unhex(F.sha2("_text", 256)))
     schema = "_key binary, starts array<long>, ends array<long>, kept string, sha256 string"
     texts = written(phrases(keyed, length).groupBy("_key").agg(
-        F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_cuts").alias("_cuts"), F.first("_codes").alias("_codes")), "bwt-texts")
+        F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_lengths").alias("_lengths"), F.first("_codes").alias("_codes")), "bwt-texts")
     total = texts.agg(F.sum("_size")).first()[0] or 0
     if not total:
         return spark.createDataFrame([], schema)
@@ -429,22 +440,33 @@ def repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame
     folder = scratch(spark, "bwt-shards")
     m = Merge(folder, length, shards)
     shard = F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int")
-    state = written(texts.withColumn("_shard", shard).groupBy("_shard").applyInArrow(lambda t: m.start(t), ROWS), "bwt-0")
-    state = written(exchange(state).groupBy("shard").applyInArrow(lambda t: m.transform(t), ROWS), "bwt-1")
+    state = written(dealt(texts.withColumn("_shard", shard), "_shard", shards).applyInArrow(lambda t: m.start(t), ROWS), "bwt-0")
+    copied = written(texts.where("_copies > 1").select("_key", "_size"), "bwt-copied")
+    discard(texts)
+
+    def following(step, name: str) -> DataFrame:
+        new = written(exchange(state, shards).applyInArrow(step, ROWS), name)
+        discard(state)
+        return new
+
+    state = following(lambda t: m.transform(t), "bwt-1")
     depth = 1
     while not state.where("kind = 'ask'").isEmpty():
         depth += 1
-        state = written(exchange(state).groupBy("shard").applyInArrow(lambda t: m.refine(t), ROWS), f"bwt-{depth}")
-    state = written(state.groupBy("shard").applyInArrow(lambda t: m.judge(t), ROWS), "bwt-cells")
-    marks = written(exchange(state).groupBy("shard").applyInArrow(
+        state = following(lambda t: m.refine(t), f"bwt-{depth}")
+    ended = state
+    state = written(dealt(ended, "shard", shards).applyInArrow(lambda t: m.judge(t), ROWS), "bwt-cells")
+    discard(ended)
+    marks = written(exchange(state, shards).applyInArrow(
         lambda t: m.spans(t), "_key binary, _sure binary, _open binary, _shard int, _lone boolean"), "bwt-marks")
+    discard(state)
     # copies are brought down to one text before the join, so that no key is frequent in it
     single = keyed.where(F.octet_length("_text") >= length).groupBy("_key").agg(F.first("_text").alias("_text"))
     found = single.join(marks, "_key")
-    state = written(found.groupBy("_shard").applyInArrow(lambda t: m.windows(t), ROWS), "bwt-windows")
-    part = exchange(state).groupBy("shard").applyInArrow(lambda t: m.kept(t), schema)
+    state = written(dealt(found, "_shard", shards).applyInArrow(lambda t: m.windows(t), ROWS), "bwt-windows")
+    part = exchange(state, shards).applyInArrow(lambda t: m.kept(t), schema)
     nothing = F.array(F.lit(0).cast("long"))
-    whole = texts.where("_copies > 1").select("_key", nothing.alias("starts"), F.array("_size").alias("ends"), F.lit("").alias("kept"),
+    whole = copied.select("_key", nothing.alias("starts"), F.array("_size").alias("ends"), F.lit("").alias("kept"),
                                               F.sha2(F.lit(""), 256).alias("sha256"))
     return written(part.union(whole), "bwt-repeats")
 

@@ -41,6 +41,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a written table that nothing will read again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path in the shared folder, and the path in it."""
     return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))

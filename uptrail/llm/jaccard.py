@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from uptrail.llm.bwt import ROWS, asked, load, rows, save, state_of
+from uptrail.llm.bwt import ROWS, dealt, load, rows, save, state_of
 from uptrail.llm.common import LOWER, Rolling, mix, scratch, slices, utf8, word_bounds, written
 from uptrail.llm.components import components
 
@@ -141,9 +141,8 @@ def with_frequencies(found: DataFrame, name: str, judge, schema: str) -> DataFra
         file = save(folder, sets=np.frombuffer(b"".join(group.column("_set").to_pylist()), np.uint8), codes=codes,
                     many=np.array([len(x) // 8 for x in group.column("_codes").to_pylist()], np.int64), sizes=group.column("_n").to_numpy())
         kinds, counts = np.unique(codes, return_counts=True)
-        # a count stands in one byte: what is larger comes in several rows
         out = [("state", shard, None, file, None, None)]
-        return rows(out + asked_in_full(shard, shards, kinds, counts))
+        return rows(out + asked(shard, shards, kinds, counts))
 
     def answered(group: pa.Table) -> pa.Table:
         _, file, _ = state_of(group)
@@ -153,13 +152,13 @@ def with_frequencies(found: DataFrame, name: str, judge, schema: str) -> DataFra
         return judge([x.tobytes() for x in names], held["sizes"], held["many"], held["codes"], frequencies(group, shards, kinds)[which])
 
     state = found.withColumn("_shard", F.pmod(F.xxhash64("_set"), F.lit(shards)).cast("int"))
-    state = written(state.groupBy("_shard").applyInArrow(ask, ROWS), f"{name}-asked")
-    answers = state.where("kind = 'ask'").groupBy("bucket").applyInArrow(counted, ROWS)
-    return written(state.where("kind = 'state'").union(answers).groupBy("shard").applyInArrow(answered, schema), f"{name}-judged")
+    state = written(dealt(state, "_shard", shards).applyInArrow(ask, ROWS), f"{name}-asked")
+    answers = dealt(state.where("kind = 'ask'"), "bucket", shards).applyInArrow(counted, ROWS)
+    return written(dealt(state.where("kind = 'state'").union(answers), "shard", shards).applyInArrow(answered, schema), f"{name}-judged")
 
 
-def asked_in_full(shard: int, buckets: int, codes: np.ndarray, counts: np.ndarray) -> list[tuple]:
-    """As asked(), with counts up to 255."""
+def asked(shard: int, buckets: int, codes: np.ndarray, counts: np.ndarray) -> list[tuple]:
+    """Rows that carry the codes, in order, to the buckets which count them; counts up to 255."""
     full = np.minimum(counts, 255).astype(np.uint8)
     bucket = (codes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -269,7 +268,7 @@ def links(found: DataFrame, blocks: DataFrame, join: Join) -> DataFrame:
     small = sized.where(F.col("_rows") <= join.block)
     many = -(-small.count() // join.block) * 4 + 1
     groups = small.withColumn("_group", F.pmod(F.xxhash64("_block"), F.lit(many)))
-    out = groups.groupBy("_group").applyInArrow(solved(join), "a binary, b binary")
+    out = dealt(groups, "_group", many).applyInArrow(solved(join), "a binary, b binary")
     large = sized.where(F.col("_rows") > join.block)
     if large.isEmpty():
         return written(out, "jaccard-links")
