@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, jaccard, mixing, neighbours, quality, tokens, urls, warc
+from uptrail.llm import bwt, jaccard, mixing, neighbours, paragraphs, pieces, quality, tokens, urls, warc
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -167,3 +167,24 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.d = d.doc_id"""
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.joined(docs).select("doc_id", "n_shingles", "component_id")
+
+
+# --- substring dedup ----------------------------------------------------------------------------
+
+@register()
+def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# --- SentencePiece segmentations ----------------------------------------------------------------
+
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register()
+def op7_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.sampled(docs, piece_bpe(), sampling=pieces.Sampling(k=2, seed=5))
