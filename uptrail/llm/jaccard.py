@@ -298,8 +298,9 @@ def links(found: DataFrame, blocks: DataFrame, join: Join) -> DataFrame:
     return written(out.union(first).union(second), "jaccard-links")
 
 
-def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join = Join()) -> DataFrame:
-    """The rows with n_shingles and component_id, columns of these names replaced.
+def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join = Join(), group: str | None = None) -> DataFrame:
+    """The rows with n_shingles and component_id, columns of these names replaced. group: a column with
+    a name for each component besides, null for rows without words.
 
     Words are what white space (ASCII) separates, A-Z lower-cased. component_id is the smallest key
     that can be reached by links, the row's own included; rows with equal sets link. Rows without
@@ -313,17 +314,31 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join
     roots = resolved(made, slim, join)
     least = made.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_least"))
     whole = roots.join(least.withColumnRenamed("_set", "node"), "node").groupBy("root").agg(F.min("_least").alias("_whole"))
-    whole = written(roots.join(whole, "root").select("node", "_whole"), "jaccard-components")
+    whole = written(roots.join(whole, "root").select("node", "root", "_whole"), "jaccard-components")
     ids = written(least.join(whole, F.col("_set") == F.col("node"), "left").select(
-        F.col("_set").alias("_s"), F.coalesce("_whole", "_least").alias("_component")), "jaccard-ids")
+        F.col("_set").alias("_s"), F.coalesce("root", "_set").alias("_root"), F.coalesce("_whole", "_least").alias("_component")), "jaccard-ids")
     # rows with equal texts have equal sets, so the text's hash leads from the rows to them
     sets_ = made.select("_hash", "_n", "_set").groupBy("_hash").agg(F.first("_n").alias("_n"), F.first("_set").alias("_set"))
     of = written(sets_.join(ids, F.col("_set") == F.col("_s"), "left").select(
-        F.col("_hash").alias("_jaccard_h"), F.col("_n").alias("_jaccard_n"), F.col("_component").alias("_jaccard_c")), "jaccard-texts")
+        F.col("_hash").alias("_jaccard_h"), F.col("_n").alias("_jaccard_n"), F.col("_component").alias("_jaccard_c"), F.col("_root").alias("_jaccard_g")), "jaccard-texts")
     out = keyed.withColumn("_jaccard_hash", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
     out = out.join(of, F.col("_jaccard_hash") == F.col("_jaccard_h"))
     own = F.when(F.col("_jaccard_n") > 0, F.col("_jaccard_c")).otherwise(F.col(key))
-    return out.select(*keyed.columns, F.col("_jaccard_n").alias("n_shingles"), own.alias("component_id"))
+    named = [F.col("_jaccard_g").alias(group)] if group else []
+    return out.select(*keyed.columns, F.col("_jaccard_n").alias("n_shingles"), own.alias("component_id"), *named)
+
+
+def one_each(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join = Join(n=5, percent=80)) -> DataFrame:
+    """One row of each component: that with the smallest key. Rows without words all stay. Of rows
+    that repeat the smallest key, or have none but null keys, one stays."""
+    names = docs.columns
+    marked = joined(docs, text, key, join, "_jaccard_group")
+    lead = written(marked.where(F.col(key).eqNullSafe(F.col("component_id")) | F.col("_jaccard_group").isNull()), "jaccard-lead")
+    again = lead.where("_jaccard_group IS NOT NULL").groupBy(F.col("_jaccard_group").alias("_again")).count().where("count > 1").select("_again")
+    again = written(again, "jaccard-again")
+    same = lead["_jaccard_group"] == again["_again"]
+    tied = lead.join(again, same, "left_semi").dropDuplicates(["_jaccard_group"])
+    return lead.join(again, same, "left_anti").union(tied).select(*names)
 
 
 def resolved(made: DataFrame, slim: DataFrame, join: Join) -> DataFrame:

@@ -64,12 +64,12 @@ def budgets(leaves: DataFrame, levels: int, mix: Mix) -> DataFrame:
         if k > 1:
             keys = [c for i in range(1, k) for c in (f"_p{i}", f"_v{i}")]
             up[k - 1] = up[k].groupBy(*keys).agg(F.sum("can").alias("can"))
-    whole = F.lit(mix.budget).cast("long") if mix.budget is not None else F.floor(
-        F.col("all").cast(BIG) * mix.share[0] / mix.share[1]).cast("long")
-    top = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all")).select(whole.alias("_budget"), F.lit("").alias("_p0"))
+    if (whole := mix.budget) is None:  # one number
+        whole = int(leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]) * mix.share[0] // mix.share[1]
+    top = None
     for k in range(1, levels + 1):
-        nodes = up[k].withColumn("_p0", F.lit("")) if k == 1 else up[k]
-        nodes = nodes.where("weight > 0 AND can > 0").join(top, f"_p{k - 1}")
+        nodes = up[k].where("weight > 0 AND can > 0")
+        nodes = nodes.withColumns({"_p0": F.lit(""), "_budget": F.lit(whole).cast("long")}) if k == 1 else nodes.join(top, f"_p{k - 1}")
         own, order = Window.partitionBy(f"_p{k - 1}"), [F.col("can") / F.col("weight"), f"_p{k}"]
         past = own.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         rest = own.orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)

@@ -19,7 +19,9 @@ def register(sql: str | None = None):
 
 def load() -> dict:
     """name -> (query, SQL or None)."""
-    return dict(QUERIES)
+    import corpus_pipeline
+
+    return QUERIES | {"pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
 
 
 # --- mixing -------------------------------------------------------------------------------------
