@@ -10,6 +10,7 @@ from uptrail.operators import fold as fo
 from uptrail.plans.availability import GROUP, SERVICE, availability
 from uptrail.plans.rows import PLACE
 from uptrail.plans.status import status
+from uptrail.sources.snapshots import SnapshotMissing
 from uptrail.sources.defaults import grid_operations, tenant_operations
 
 D, P = "2024-03-31", "2024-03-30"  # the day of a clock change in Europe
@@ -117,6 +118,27 @@ def test_one_day_equals_range(spark):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, both.collect()))
 
 
+def test_dimensions_of_the_newest_snapshot(spark):
+    """Tables from the days before serve the day; of two snapshots only the newer one does."""
+    fx = Fixture(spark, tenant_operations(), 10)
+    old, new = F.lit(clock.shift(D, -3)).cast("date"), F.lit(clock.shift(D, -1)).cast("date")
+    r = fx.report
+    stale = lambda df, change: df.withColumn("date", new).unionByName(change(df).withColumn("date", old))
+    renamed = lambda c: (lambda df: df.withColumn(c, F.concat(F.lit("old-"), c)))
+    report = ReportInputs(
+        r.config, r.profile, stale(r.metric_profiles, renamed("metric")), stale(r.endpoint_groups, renamed("group")),
+        stale(r.group_groups, renamed("group")), stale(r.weights, lambda df: df.withColumn("weight", F.lit("1"))),
+        None if r.downtimes is None else stale(r.downtimes, lambda df: df.withColumn("hostname", F.lit("none"))),
+        r.group_exclusions, r.monitor_exclusions)
+    rows = lambda x: sorted(map(tuple, x.collect()))
+    plain, dated = (availability(spark, fx.md, [x], fx.ops, D) for x in (r, report))
+    assert rows(plain.group_ar()) == rows(dated.group_ar()) and rows(plain.service_ar()) == rows(dated.service_ar())
+    plain, dated = (status(spark, fx.md, [x], fx.ops, D) for x in (r, report))
+    assert rows(plain.status_groups()) == rows(dated.status_groups())
+    with pytest.raises(SnapshotMissing):
+        availability(spark, fx.md, [report], fx.ops, clock.shift(D, 3))
+
+
 def test_session_time_zone_does_not_matter(spark):
     fx = Fixture(spark, tenant_operations(), 7)
     results = []

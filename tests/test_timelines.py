@@ -54,29 +54,6 @@ def test_day_rates(spark):
     assert round(r.availability, 2) == 95.83 and round(r.reliability, 2) == 97.18
 
 
-def test_or_of_three_coarse_timelines(spark):
-    entries = [("a", "prev", "OK"), ("b", "prev", "UNKNOWN"), ("c", "prev", "OK"),
-               ("a", "01:33:44", "CRITICAL"), ("a", "05:33:01", "OK"), ("a", "12:50:42", "WARNING"),
-               ("a", "15:33:44", "OK"),
-               ("b", "05:33:44", "OK"), ("b", "08:33:01", "MISSING"), ("b", "12:50:42", "CRITICAL"),
-               ("b", "19:33:44", "UNKNOWN"),
-               ("c", "04:00:44", "WARNING"), ("c", "09:33:01", "CRITICAL"), ("c", "12:50:42", "OK"),
-               ("c", "16:33:44", "WARNING")]
-    for ops in (OPS, GRID):
-        _, got = folded_slots(spark, entries, "OR", ops, Options(interval=120))
-        assert got == [0, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0]
-
-
-def test_and_of_four_metrics(spark):
-    entries = [(m, "prev", "OK") for m in ("m1", "m2", "m3", "m4")]
-    entries += [("m1", t, "CRITICAL") for t in ("00:00:00", "04:33:44", "06:33:44", "12:33:44", "22:11:44")]
-    entries += [("m2", t, "CRITICAL") for t in ("01:33:44", "05:33:44", "06:33:44", "22:33:44")]
-    entries += [("m3", t, "CRITICAL") for t in ("01:33:44", "05:33:44", "11:33:44")]
-    entries += [("m4", "01:33:44", "WARNING"), ("m4", "02:33:44", "OK"), ("m4", "24:59:59", "CRITICAL")]
-    _, got = folded_slots(spark, entries, "AND", GRID)
-    assert got == [0] * 11 + [4] * 277
-
-
 def listed(spark, members):
     data = [(0, m, clock_second(t), OPS.code(s)) for m, cs in members.items() for t, s in cs]
     return fo.compact(spark.createDataFrame(data, "k int, member string, pos int, code int"),

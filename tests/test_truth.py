@@ -44,7 +44,18 @@ def lattice():
     return Operations(tuple(states), {"JOIN": table}, "TOP", "LOW", "LOW")
 
 
-@pytest.mark.parametrize("ops,op", [(tenant_operations(), "AND"), (tenant_operations(), "OR"),
+def wide_lattice():
+    """Twelve incomparable states between a lowest and a top one."""
+    top = 13
+    table = tuple(tuple(a if a == b or b == 0 else b if a == 0 else top for b in range(14)) for a in range(14))
+    return Operations(tuple(f"S{i}" for i in range(14)), {"JOIN": table}, "S13", "S0", "S0")
+
+
+def test_order_free_tables_of_any_size_are_sets():
+    assert wide_lattice().kinds == {"JOIN": "set"}
+
+
+@pytest.mark.parametrize("ops,op", [(wide_lattice(), "JOIN"), (tenant_operations(), "AND"), (tenant_operations(), "OR"),
                                     (lattice(), "JOIN"), (grid_operations(), "OR")])
 def test_fold_states_all_triples(spark, ops, op):
     triples = list(itertools.product(range(ops.size), repeat=3))

@@ -20,7 +20,6 @@ from functools import cached_property
 from pyspark.sql import Column, functions as F
 
 UNDEFINED = -1
-SET_LIMIT = 12  # a set lookup has 2**states entries
 
 # Which states count as what when a timeline is integrated.
 UP_STATES = ("OK", "WARNING")
@@ -158,7 +157,7 @@ class Operations:
         for op in self.tables:
             if self.rank(op) is not None:
                 kinds[op] = "rank"
-            elif self.size <= SET_LIMIT and self.order_free(op):
+            elif self.order_free(op):
                 kinds[op] = "set"
             else:
                 kinds[op] = "ordered"
@@ -183,11 +182,12 @@ class Operations:
             if self.kinds[name] == "rank":
                 tests = " ".join(f"WHEN {counts[c]} > 0 THEN {c}" for c in reversed(self.rank(name)))
                 return f"CASE {tests} END"
-            mask = " + ".join(f"if({c} > 0, {1 << i}, 0)" for i, c in enumerate(counts))
-            by_mask = ["CAST(NULL AS INT)"] + [
-                str(self.fold_codes(name, [c for c in range(self.size) if m >> c & 1]))
-                for m in range(1, 1 << self.size)]
-            return f"get(array({', '.join(by_mask)}), {mask})"
+            # a chain over the states that are present, one look-up each
+            cells = ", ".join(str(x) for row in self.tables[name] for x in row)
+            present = ", ".join(f"if({c} > 0, {i}, NULL)" for i, c in enumerate(counts))
+            step = (f"CASE WHEN x IS NULL OR acc = {UNDEFINED} THEN acc WHEN acc IS NULL THEN x "
+                    f"ELSE get(array({cells}), acc * {self.size} + x) END")
+            return f"aggregate(array({present}), CAST(NULL AS INT), (acc, x) -> {step})"
 
         names = sorted(ops)
         if len(names) == 1:

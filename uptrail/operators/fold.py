@@ -24,7 +24,6 @@ from uptrail.functions.truth import UNDEFINED, Operations
 
 # An ordered fold cuts the positions of a key into blocks of about this many changes.
 BLOCK_CHANGES = 100_000
-MAX_BLOCKS = 1440
 
 
 def moves(timeline: DataFrame, keys: list[str], member: str, op: Column) -> DataFrame:
@@ -174,7 +173,7 @@ def ordered_fold(member_moves: DataFrame, keys: list[str], operations: Operation
     last = F.coalesce(F.lead("pos").over(w) - 1, F.col("limit"))
     limit = member_moves.groupBy(*keys).agg(F.max("pos").alias("limit"),
                                             F.count("*").alias("changes"))
-    blocks = F.least(F.floor(F.col("changes") / BLOCK_CHANGES) + 1, F.lit(MAX_BLOCKS))
+    blocks = F.floor(F.col("changes") / BLOCK_CHANGES) + 1
     width = F.ceil((F.col("limit") + 1) / blocks).cast("int")
     spans = (member_moves.where("new IS NOT NULL").join(limit, keys)
              .select(*keys, "member", "op", "pos", "new", last.alias("last"),

@@ -18,7 +18,7 @@ def map_service(rates: DataFrame) -> DataFrame:
 
 def map_group(rates: DataFrame, supergroups: DataFrame, weights: DataFrame) -> DataFrame:
     """Group rates as stored, with supergroup (null if none) and weight (0 if none)."""
-    keys = ["report", "group"]
+    keys = ["report", "date", "group"]
     return (rates.join(supergroups, keys, "left").join(weights, keys, "left")
             .select("report", clock.date_int(F.col("date")).alias("date"),
                     F.col("group").alias("name"), "supergroup",

@@ -78,9 +78,11 @@ def semi_topology(md: DataFrame, eg: DataFrame) -> DataFrame:
 
 
 def endpoints_in_groups(eg: DataFrame, gg: DataFrame, group_type: str) -> DataFrame:
-    """Topology rows of the wanted type whose group is a subgroup of any group."""
+    """Topology rows of the wanted type whose group is a subgroup of any group; of tables that both
+    have a snapshot date, on the same date."""
+    by = [c for c in ("date",) if c in eg.columns and c in gg.columns]
     return (eg.where(F.col("type") == group_type)
-            .join(gg.select(F.col("subgroup").alias("group")), "group", "left_semi"))
+            .join(gg.select(F.col("subgroup").alias("group"), *by), ["group", *by], "left_semi"))
 
 
 def pick_endpoints(md: DataFrame, eg: DataFrame, gg: DataFrame, mp: DataFrame, profile: DataFrame,

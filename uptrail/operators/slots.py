@@ -127,7 +127,11 @@ def day_spans(periods: DataFrame, first: str, last: str, options: Options) -> Da
     def slot(ts: str) -> Column:
         return clock.ts_slot(clock.second_of(F.col(ts)), options.interval, options.slots)
 
-    spans = periods.where(F.col("start_ts") <= F.col("end_ts")).withColumn("date", F.explode(days))
+    spans = periods.where(F.col("start_ts") <= F.col("end_ts"))
+    if "date" in periods.columns:  # periods that only hold on one day
+        spans = spans.withColumn("_day", F.explode(days)).where("_day = date").drop("_day")
+    else:
+        spans = spans.withColumn("date", F.explode(days))
     return spans.withColumns({
         "pos_from": F.when(F.to_date("start_ts") < F.col("date"), 0).otherwise(slot("start_ts")),
         "pos_to": F.when(F.to_date("end_ts") > F.col("date"), options.slots - 1)

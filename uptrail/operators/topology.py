@@ -17,10 +17,10 @@ def add_groups(df: DataFrame, eg: DataFrame, group_type: str) -> DataFrame:
     return df.join(group_members(eg, group_type), ENDPOINT)
 
 
-def first_supergroup(gg: DataFrame, group_type: str) -> DataFrame:
+def first_supergroup(gg: DataFrame, group_type: str, *by: str) -> DataFrame:
     """(group, supergroup): one supergroup of the type for each subgroup, the first by name."""
     return (gg.where(F.col("type") == group_type)
-            .groupBy(F.col("subgroup").alias("group"))
+            .groupBy(F.col("subgroup").alias("group"), *by)
             .agg(F.min("group").alias("supergroup")))
 
 
@@ -29,10 +29,10 @@ def with_supergroup(df: DataFrame, gg: DataFrame, group_type: str) -> DataFrame:
     return df.join(first_supergroup(gg, group_type), "group", "left")
 
 
-def first_weight(weights: DataFrame, weight_type: str) -> DataFrame:
+def first_weight(weights: DataFrame, weight_type: str, *by: str) -> DataFrame:
     """(group, weight): one weight of the type for each group, the smallest."""
     return (weights.where(F.col("type") == weight_type)
-            .groupBy(F.col("site").alias("group"))
+            .groupBy(F.col("site").alias("group"), *by)
             .agg(F.min(F.col("weight").cast("int")).alias("weight")))
 
 
@@ -75,21 +75,22 @@ def group_tags(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(entries).alias("tags"))
 
 
-def ancestor_groups(gg: DataFrame, max_depth: int, checkpoint_every: int = 5) -> DataFrame:
-    """(group, ancestor, depth) up the group tree, for at most ``max_depth`` levels.
+def ancestor_groups(gg: DataFrame) -> DataFrame:
+    """(group, ancestor, depth) up the group tree, with the least depth.
 
-    Each level is one join of the frontier with the edges. The depth bound ends the loop, also on
-    a cycle. The frontier is checkpointed now and then so the lineage stays short.
+    Each level is one join of the frontier with the edges, less the pairs that are known. The loop
+    ends when a level has no new pair, so also on a cycle. Levels are checkpointed: the lineage
+    stays short, and each is computed once.
     """
     edges = gg.select(F.col("subgroup").alias("child"), F.col("group").alias("parent")).distinct()
     frontier = edges.select(F.col("child").alias("group"), F.col("parent").alias("ancestor"),
                             F.lit(1).alias("depth"))
-    levels = frontier
-    for depth in range(2, max_depth + 1):
-        frontier = (frontier.join(edges, frontier.ancestor == edges.child)
-                    .select("group", F.col("parent").alias("ancestor"),
-                            F.lit(depth).alias("depth")).distinct())
-        if depth % checkpoint_every == 0:
-            frontier = frontier.checkpoint()
-        levels = levels.unionByName(frontier)
-    return levels.groupBy("group", "ancestor").agg(F.min("depth").alias("depth"))
+    known, depth = frontier.checkpoint(), 1
+    frontier = known
+    while not frontier.isEmpty():
+        depth += 1
+        step = (frontier.join(edges, frontier.ancestor == edges.child)
+                .select("group", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")).distinct())
+        frontier = step.join(known.select("group", "ancestor"), ["group", "ancestor"], "left_anti").checkpoint()
+        known = known.unionByName(frontier)
+    return known

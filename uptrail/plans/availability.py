@@ -75,7 +75,7 @@ def metric_changes(md: DataFrame, dims: Dimensions, operations: Operations,
     only row is the seed is MISSING all day.
     """
     placed = rows.relevant_rows(md, dims, operations, options, discrete=True)
-    states = rows.in_selected(slots.slot_states(placed, KEY, operations), dims)
+    states = rows.in_selected(slots.slot_states(placed, KEY, operations), dims, options)
     missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
     seeds = rows.expected(dims, options)
     if not options.strict:

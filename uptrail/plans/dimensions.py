@@ -12,6 +12,7 @@ from uptrail.config import PROFILE_COLUMNS, Options, ReportInputs, literal_frame
 from uptrail.functions import clock
 from uptrail.operators import selection, slots, topology
 from uptrail.operators.selection import ENDPOINT
+from uptrail.sources.snapshots import snapshots_for
 
 SCOPE = ["report", "date"]
 
@@ -23,7 +24,7 @@ class Dimensions:
     reports: list[ReportInputs]
     first: str
     last: str
-    checks: DataFrame         # report, service, metric: the metric profile
+    checks: DataFrame         # report, date, service, metric: the metric profile
     mapping: DataFrame        # report, service, ag_group, svc_op, group_op
     places: DataFrame         # report, date, service, hostname, group: the whole topology
     selected: DataFrame       # report, date, service, hostname: inside the tag filters
@@ -46,35 +47,31 @@ class Dimensions:
         return choice
 
     def supergroups(self) -> DataFrame:
+        """(report, date, group, supergroup)."""
         return self._union(lambda r: topology.first_supergroup(
-            newest(r.group_groups, self.last), r.config.ggroup))
+            per_day(r.group_groups, self.first, self.last), r.config.ggroup, "date"))
 
     def weights(self) -> DataFrame:
         def of(r: ReportInputs) -> DataFrame:
             if r.weights is None:
-                none = literal_frame(r.endpoint_groups.sparkSession, [], "group", "weight")
-                return none.withColumn("weight", F.col("weight").cast("int"))
-            return topology.first_weight(newest(r.weights, self.last), r.config.weight)
+                none = literal_frame(r.endpoint_groups.sparkSession, [], "group", "date", "weight")
+                return none.select("group", F.col("date").cast("date"), F.col("weight").cast("int"))
+            return topology.first_weight(per_day(r.weights, self.first, self.last), r.config.weight, "date")
         return self._union(of)
 
     def _union(self, of: Callable[[ReportInputs], DataFrame]) -> DataFrame:
         return _union([of(r).withColumn("report", F.lit(r.config.id)) for r in self.reports])
 
 
-def newest(df: DataFrame, _last: str) -> DataFrame:
-    """Dimension rows without their snapshot date."""
-    return df.drop("date")
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
 def per_day(df: DataFrame, first: str, last: str) -> DataFrame:
-    """A table on every day of the run, unless it comes with a snapshot per day."""
+    """A table on every day of the run: with a snapshot date, each day's newest snapshot."""
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
     if "date" in df.columns:
-        return df.where(F.col("date").between(low, high))
+        return snapshots_for(df, first, last)
     if first == last:
         return df.withColumn("date", low)
     return df.withColumn("date", F.explode(F.sequence(low, high)))
@@ -88,8 +85,9 @@ def build(spark: SparkSession, reports: list[ReportInputs], first: str, last: st
     checks, mapping, places, selected = [], [], [], []
     for r in reports:
         report = F.lit(r.config.id)
-        mine = r.metric_profiles.where(F.col("profile") == r.profile.metric_profile)
-        checks.append(mine.select(report.alias("report"), "service", "metric").distinct())
+        profiles = r.metric_profiles.select("profile", "service", "metric", *dated(r.metric_profiles)).distinct()
+        profiles = per_day(profiles, first, last).where(F.col("profile") == r.profile.metric_profile)
+        checks.append(profiles.select(report.alias("report"), "date", "service", "metric"))
         mapping += [(r.config.id, *row) for row in r.profile.rows()]
         places.append(topology_of(r, first, last).withColumn("report", report))
         selected.append(selected_of(r, first, last).withColumn("report", report))
@@ -101,28 +99,38 @@ def build(spark: SparkSession, reports: list[ReportInputs], first: str, last: st
         _exclusions(reports, "group_exclusions"), _exclusions(reports, "monitor_exclusions"))
 
 
+def dated(df: DataFrame) -> list[str]:
+    return ["date"] if "date" in df.columns else []
+
+
 def topology_of(r: ReportInputs, first: str, last: str) -> DataFrame:
     """(service, hostname, group, date) of the report's grouping type, tags not looked at."""
-    eg = r.endpoint_groups.where(F.col("type") == r.config.egroup)
-    day = ["date"] if "date" in eg.columns else []
-    return per_day(eg.select(*ENDPOINT, "group", *day).distinct(), first, last)
+    eg = r.endpoint_groups.select("type", *ENDPOINT, "group", *dated(r.endpoint_groups)).distinct()
+    return per_day(eg, first, last).where(F.col("type") == r.config.egroup).select(*ENDPOINT, "group", "date")
 
 
 def downtimes_of(r: ReportInputs, first: str, last: str, options: Options) -> DataFrame:
     """Downtime slots of the report's endpoints, per day."""
-    known = r.endpoint_groups.where(F.col("type") == r.config.egroup).select(*ENDPOINT)
-    mine = r.downtimes.join(known, ENDPOINT, "left_semi")
-    return (slots.with_downtimes(mine, first, last, options)
-            .withColumn("report", F.lit(r.config.id)))
+    known = topology_of(r, first, last).select(*ENDPOINT, "date")
+    downtimes = r.downtimes
+    if dated(downtimes):
+        # a day's snapshot lists the downtimes of that day only
+        downtimes = snapshots_for(downtimes, first, last)
+    mine = slots.with_downtimes(downtimes, first, last, options)
+    return mine.join(known, [*ENDPOINT, "date"], "left_semi").withColumn("report", F.lit(r.config.id))
 
 
 def selected_of(r: ReportInputs, first: str, last: str) -> DataFrame:
     """(service, hostname, date) of endpoints that pass the tag filters and the group test."""
     eg = selection.filter_endpoint_tags(r.endpoint_groups, r.config.egroup_tags)
-    gg = selection.filter_group_tags(newest(r.group_groups, last), r.config.ggroup_tags)
+    gg = selection.filter_group_tags(r.group_groups, r.config.ggroup_tags)
+    if dated(eg) or dated(gg):
+        # snapshots are chosen before tags are looked at: a snapshot may have no row that passes
+        eg = selection.filter_endpoint_tags(per_day(r.endpoint_groups, first, last), r.config.egroup_tags)
+        gg = selection.filter_group_tags(per_day(r.group_groups, first, last), r.config.ggroup_tags)
+        return selection.endpoints_in_groups(eg, gg, r.config.egroup).select(*ENDPOINT, "date").distinct()
     places = selection.endpoints_in_groups(eg, gg, r.config.egroup)
-    day = ["date"] if "date" in places.columns else []
-    return per_day(places.select(*ENDPOINT, *day).distinct(), first, last)
+    return per_day(places.select(*ENDPOINT).distinct(), first, last)
 
 
 def _exclusions(reports: list[ReportInputs], name: str) -> DataFrame | None:

@@ -16,10 +16,12 @@ from uptrail.sinks import store
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a fresh local one only where none is configured."""
+    """The cluster's shared scratch folder; a fresh one of its own only for a local session."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="run-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

@@ -202,7 +202,7 @@ def status_levels(rows: DataFrame, operations: Operations) -> tuple[DataFrame, D
     """
     usable = rows.where(F.col("roc") != "")
     endpoint = ["date_int", "roc", "site", "service", "hostname"]
-    member = F.concat_ws("/", "vo", "vo_fqan", "monitoring_box", "metric")
+    member = F.to_json(F.array("vo", "vo_fqan", "monitoring_box", "metric"))  # no two members are alike
     w = Window.partitionBy(*endpoint, "member").orderBy("time_int")
     seconds = clock.seconds_of_day(F.col("timestamp"))
     events = usable.withColumn("member", member).withColumn(

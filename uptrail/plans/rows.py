@@ -25,8 +25,8 @@ def relevant_rows(md: DataFrame, dims: Dimensions, operations: Operations, optio
     rows = md.withColumn("code", operations.state_code(F.col("status")))
     if options.strict:
         counted = dims.checks.join(dims.mapping.select("report", "service"),
-                                   ["report", "service"], "left_semi")
-        rows = rows.join(counted, ["service", "metric"])
+                                   ["report", "service"], "left_semi").select("report", "service", "metric")
+        rows = rows.join(counted.distinct(), ["service", "metric"])
     else:
         ids = [F.lit(r.config.id) for r in dims.reports]
         rows = rows.withColumn("report", F.explode(F.array(*ids)))
@@ -55,12 +55,21 @@ def _without_excluded(placed: DataFrame, exclusions: DataFrame, first: str, last
     return placed.join(x, hit, "left_anti")
 
 
-def in_selected(df: DataFrame, dims: Dimensions) -> DataFrame:
-    return df.join(dims.selected, PLACE, "left_semi")
+def unreadable_rows(md: DataFrame) -> DataFrame:
+    """Rows whose timestamp cannot be read, for diagnosis; ``relevant_rows`` leaves them out."""
+    return selection.with_time(md).where("second IS NULL").select(*md.columns)
+
+
+def in_selected(df: DataFrame, dims: Dimensions, options: Options) -> DataFrame:
+    """Rows of selected endpoints, and of metrics in that day's profile."""
+    df = df.join(dims.selected, PLACE, "left_semi")
+    if options.strict and any("date" in r.metric_profiles.columns for r in dims.reports):
+        df = df.join(dims.checks, ["report", "date", "service", "metric"], "left_semi")
+    return df
 
 
 def expected(dims: Dimensions, options: Options) -> DataFrame:
     """Metrics that should report, per report and day."""
     places = dims.selected if options.scope == "selected" else dims.places
     endpoints = places.select(*PLACE).distinct()
-    return endpoints.join(dims.checks, ["report", "service"]).select(*KEY)
+    return endpoints.join(dims.checks, ["report", "date", "service"]).select(*KEY)

@@ -70,7 +70,7 @@ def metric_events(md: DataFrame, dims: Dimensions, operations: Operations,
     stay, unmarked, because their metric is then known to be expected.
     """
     placed = rows.relevant_rows(md, dims, operations, options, discrete=False)
-    events = rows.in_selected(changes.distinct_seconds(placed, KEY), dims)
+    events = rows.in_selected(changes.distinct_seconds(placed, KEY), dims, options)
     text = F.lit(selection.MISSING_TEXT)
     seeds = rows.expected(dims, options).select(
         *KEY, F.lit(SEED).alias("pos"), F.lit(0).alias("second"),

@@ -6,7 +6,8 @@ again, or running it on two attempts, leaves one copy, as an upsert on the resul
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 # Partition columns and row key of each result table.
 TABLES: dict[str, tuple[list[str], list[str]]] = {
@@ -23,19 +24,16 @@ TABLES: dict[str, tuple[list[str], list[str]]] = {
 
 def overwrite_partitions(df: DataFrame, path: str, partitions: list[str],
                          format: str = "parquet") -> None:
-    """Replace the partitions present in ``df``, leave the others alone."""
-    (df.repartition(*partitions, salt(df, partitions)).write.format(format)
+    """Replace the partitions present in ``df``, leave the others alone.
+
+    Rows are brought together by partition in shares of about the advisory size: a large report is
+    many files, a small one is one.
+    """
+    (df.hint("rebalance", *partitions).write.format(format)
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).save(path))
 
 
-def salt(df: DataFrame, partitions: list[str], files: int = 16) -> Column:
-    """Spread one partition over some tasks, so a large report is not one file from one task."""
-    rest = [f.name for f in df.schema.fields
-            if f.name not in partitions and f.dataType.typeName() != "map"]
-    return F.pmod(F.xxhash64(*rest), F.lit(files))
-
-
 def upsert(df: DataFrame, root: str, table: str) -> None:
     """Write one of the result tables."""
     partitions, _ = TABLES[table]
@@ -43,7 +41,11 @@ def upsert(df: DataFrame, root: str, table: str) -> None:
 
 
 def read_results(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{table}")
+    """A result table as it was written: report ids stay texts, whatever they look like."""
+    path = f"{root}/{table}"
+    kinds = {"report": StringType(), **{c: IntegerType() for c in TABLES[table][0] if c != "report"}}
+    found = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])).parquet(path)
 
 
 def append(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
@@ -59,7 +61,8 @@ def delete_results(spark: SparkSession, root: str, table: str, date: int,
                    report: str | None = None) -> int:
     """Delete a day, optionally of one report only; returns the number of rows deleted.
 
-    The partition directories are removed through the file system Spark uses; rows are not read.
+    The partition directories are removed through the file system Spark uses, under the names that
+    Spark gives them. Rows that are still there afterwards are an error.
     """
     partitions, _ = TABLES[table]
     stored = read_results(spark, root, table)
@@ -72,9 +75,13 @@ def delete_results(spark: SparkSession, root: str, table: str, date: int,
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for found, in rows.select("report").distinct().collect():  # one name per report
-            path = jvm.org.apache.hadoop.fs.Path(
-                f"{root}/{table}/report={found}/{partitions[1]}={date}")
+            name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("report", found)
+            path = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{name}/{partitions[1]}={date}")
             path.getFileSystem(conf).delete(path, True)
+        parts = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/report=*/*=*")
+        left = parts.getFileSystem(conf).globStatus(parts)
+        if left and read_results(spark, root, table).where(hit).count():
+            raise OSError(f"rows of {date} are still in {root}/{table}")
     return count
 
 

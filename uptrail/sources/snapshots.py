@@ -36,7 +36,8 @@ def snapshots_for(df: DataFrame, first: str, last: str, max_back: int = 3) -> Da
     """For each day first..last, the rows of its newest snapshot, with that day as ``date``.
 
     A snapshot serves from its own day until the next one, at most ``max_back`` days on. That is
-    worked out on the distinct dates only, one row per day of the run.
+    worked out on the distinct dates only, one row per day of the run. A day without a snapshot is an
+    error; only the number of days served comes to the driver.
     """
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
     near = df.where(F.col("date").between(F.date_sub(low, max_back), high))
@@ -46,4 +47,8 @@ def snapshots_for(df: DataFrame, first: str, last: str, max_back: int = 3) -> Da
     days = (near.select("date").distinct().withColumn("following", following)
             .select("date", F.explode(clock.day_range(F.greatest("date", low), until))
                     .alias("serves")))
+    served, wanted = days.count(), len(clock.date_range(first, last))
+    if served < wanted:
+        raise SnapshotMissing(f"{wanted - served} of the days {first} to {last} have no snapshot "
+                              f"within {max_back} days")
     return near.join(days, "date").drop("date").withColumnRenamed("serves", "date")

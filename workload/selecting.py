@@ -9,6 +9,7 @@ from uptrail.functions import clock
 from uptrail.functions.tags import tag
 from uptrail.operators import changes, requests as rq, selection as sel, slots, topology
 from uptrail.operators.fold import period_moves
+from uptrail.plans import jobs
 from uptrail.sources import snapshots, tables as src
 from workload import oracle as o
 from workload.queries import OPERATIONS, OPTIONS, register
@@ -443,10 +444,11 @@ TREE = """(SELECT n_name AS child, r_name AS parent FROM nation JOIN region ON n
 
 @register(f"""WITH RECURSIVE up(g, ancestor, depth) AS (
     SELECT child, parent, 1 FROM {TREE}
-    UNION ALL SELECT g, parent, depth + 1 FROM up JOIN {TREE} ON child = ancestor WHERE depth < 4)
+    UNION ALL SELECT g, parent, depth + 1 FROM up JOIN {TREE} ON child = ancestor )
     SELECT g AS "group", ancestor, min(depth) AS depth FROM up GROUP BY g, ancestor""")
 def ancestor_groups(t: Tables) -> DataFrame:
-    return topology.ancestor_groups(t.group_tree(), max_depth=4)
+    jobs.shared_dir(t.spark)
+    return topology.ancestor_groups(t.group_tree())
 
 
 # -- requests --------------------------------------------------------------------------------------
