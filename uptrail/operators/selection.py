@@ -56,8 +56,12 @@ def exclude_monitoring(md: DataFrame, exclusions: DataFrame, report: str | None
     """
     if report is not None:
         exclusions = exclusions.where(F.col("report") == report)
+    # the day is part of the key, so that a host's whole history is not one key
+    days = clock.day_range(F.to_date("start_ts"), F.to_date("end_ts"))
+    exclusions = exclusions.where("start_ts <= end_ts").select(
+        F.col("monitoring_host").alias("_x_host"), "start_ts", "end_ts", F.explode(days).alias("_x_day"))
     ts = clock.parse_ts(md.timestamp)
-    hit = ((md.monitoring_host == exclusions.monitoring_host)
+    hit = ((md.monitoring_host == exclusions["_x_host"]) & (F.to_date(ts) == exclusions["_x_day"])
            & (ts >= exclusions.start_ts) & (ts <= exclusions.end_ts))
     return md.join(exclusions, hit, "left_anti")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from uptrail import schemas
 from uptrail.config import Options
+from uptrail.functions import clock
 from uptrail.operators import changes, integrate, results, slots
 from uptrail.operators import fold as fo
 from uptrail.operators.selection import METRIC
@@ -399,6 +400,63 @@ def run_status_range(t: Tables) -> DataFrame:
         "report", "date_integer", "endpoint_group", "service", "timestamp", "status")
 
 
+@register(f"""SELECT r.report, {o.date_int('r.date')} AS date, r.grp AS name, gg.grp AS supergroup,
+                     coalesce(weight, 0) AS weight, {RATES}
+              FROM group_rates r LEFT JOIN gg ON gg.subgroup = r.grp LEFT JOIN wt ON wt.site = r.grp""")
+def stored_group_ar(t: Tables) -> DataFrame:
+    """Group availability of all days and reports, stored and read back."""
+    root = jobs.scratch(t.spark, "range")
+    jobs.run_range(t.spark, t.metric_data(), t.reports(), OPERATIONS, root, *t.days, OPTIONS)
+    return store.read_results(t.spark, root, "endpoint_group_ar").select(
+        "report", "date", "name", "supergroup", "weight", *results.RATES)
+
+
+def stored_status(t: Tables, table: str) -> DataFrame:
+    root = jobs.scratch(t.spark, "status")
+    jobs.run_status(t.spark, t.metric_data(), t.reports(), OPERATIONS, root, *t.days, OPTIONS)
+    return store.read_results(t.spark, root, table)
+
+
+@register("SELECT * FROM status_rows")
+def stored_status_metrics(t: Tables) -> DataFrame:
+    return stored_status(t, "status_metrics")
+
+
+@register(f"""SELECT e.report, {o.date_int('date')} AS date_integer, grp AS endpoint_group, e.service,
+                     e.hostname AS host, {o.stamp('date', 'pos')} AS "timestamp",
+                     {o.name_of('code')} AS status
+              FROM endpoint_points e JOIN place p ON p.report = e.report AND p.service = e.service
+                   AND p.hostname = e.hostname""")
+def stored_status_endpoints(t: Tables) -> DataFrame:
+    return stored_status(t, "status_endpoints")
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date_integer, grp AS endpoint_group,
+                     {o.stamp('date', 'pos')} AS "timestamp", {o.name_of('code')} AS status
+              FROM group_points""")
+def stored_status_groups(t: Tables) -> DataFrame:
+    return stored_status(t, "status_endpoint_groups")
+
+
+ODD_ID = "CASE service WHEN 'svc-0' THEN '001' WHEN 'svc-1' THEN 'eu:prod' ELSE 'a b/c' END"
+
+
+@register(f"""SELECT DISTINCT {ODD_ID} AS report, {o.date_int('md.date')} AS date_integer, hostname AS endpoint_group, service
+              FROM md, span WHERE md.date <> low AND NOT (md.date = high AND {ODD_ID} IN ('001', 'eu:prod', 'a b/c'))""")
+def delete_status_results(t: Tables) -> DataFrame:
+    """Report ids that look like numbers or need escaping in a path."""
+    root = jobs.scratch(t.spark, "delete")
+    rows = t.metric_data().select(
+        F.expr(ODD_ID).alias("report"), clock.date_int(F.col("date")).alias("date_integer"),
+        F.col("hostname").alias("endpoint_group"), "service").distinct()
+    store.upsert(rows, root, "status_services")
+    low, high = (int(d.replace("-", "")) for d in t.days)
+    store.delete_results(t.spark, root, "status_services", low)
+    for report in ("001", "eu:prod", "a b/c"):
+        store.delete_results(t.spark, root, "status_services", high, report)
+    return store.read_results(t.spark, root, "status_services")
+
+
 FIRST_R1 = "(SELECT d0, d1 FROM req WHERE report = 'R1' AND status = 'pending' ORDER BY \"timestamp\", id LIMIT 1)"
 
 
