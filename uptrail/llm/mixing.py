@@ -146,12 +146,14 @@ def mixed(docs: DataFrame, levels: list[F.Column], key: str = "doc_id", tokens:
     n = F.coalesce(tokens, F.lit(0)).cast("long")
     taken = plan(docs, levels, key, n, mix)
     named = docs.drop("budget", "copies", "tokens_taken")
-    rows = named.withColumns({"_leaf": path_of(levels), "_n": n})
-    budget = taken.select(F.col("_leaf").alias("_l"), "budget", F.col("epochs").alias("_epochs"), F.col("rest").alias("_rest"), "_cut", "_before")
-    rows = rows.join(budget, F.col("_leaf") == F.col("_l"))
-    spot = F.struct(place_in_epoch(mix, F.col("_epochs"), F.col(key)).alias("_place"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"))
-    rows = rows.withColumn("_in", F.coalesce(spot <= F.col("_cut"), F.lit(False))).withColumn("_end", F.coalesce(spot == F.col("_cut"), F.lit(False)))
-    part = F.when(F.col("_end"), F.least(F.col("_n"), F.col("_rest") - F.col("_before"))).when(F.col("_in"), F.col("_n")).otherwise(0)
-    rows = rows.withColumns({"copies": F.col("_epochs") + F.col("_in").cast("long"),
-                             "tokens_taken": F.col("_epochs") * F.col("_n") + part})
-    return rows.where("copies > 0").select(*named.columns, "budget", "copies", "tokens_taken")
+    mine = lambda c: F.col(f"_mix_{c}")
+    rows = named.withColumns({"_mix_leaf": path_of(levels), "_mix_n": n})
+    taken = taken.select(*[F.col(c).alias(f"_mix_{new}") for c, new in (("_leaf", "l"), ("budget", "budget"), ("epochs", "epochs"), ("rest", "rest"),
+                                                                       ("_cut", "cut"), ("_before", "before"))])
+    rows = rows.join(taken, mine("leaf") == mine("l"))
+    spot = F.struct(place_in_epoch(mix, mine("epochs"), F.col(key)).alias("_place"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"))
+    rows = rows.withColumns({"_mix_in": F.coalesce(spot <= mine("cut"), F.lit(False)), "_mix_end": F.coalesce(spot == mine("cut"), F.lit(False))})
+    part = F.when(mine("end"), F.least(mine("n"), mine("rest") - mine("before"))).when(mine("in"), mine("n")).otherwise(0)
+    copies = mine("epochs") + mine("in").cast("long")
+    return rows.where(copies > 0).select(*named.columns, mine("budget").alias("budget"), copies.alias("copies"),
+                                         (mine("epochs") * mine("n") + part).alias("tokens_taken"))

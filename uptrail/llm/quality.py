@@ -114,7 +114,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def with_counts(docs: DataFrame, text: str) -> DataFrame:
-    """The rows with a struct _q of counts and histograms."""
+    """The rows with a struct _quality_q of counts and histograms."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
@@ -122,11 +122,11 @@ def with_counts(docs: DataFrame, text: str) -> DataFrame:
                 lists = {c: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel(), pa.int64()))
                          for c, x in m.items() if x.ndim == 2}
                 q = pa.StructArray.from_arrays([lists[c] if c in lists else pa.array(m[c], pa.int64()) for c in m], names=list(m))
-                yield pa.RecordBatch.from_arrays([*part.columns, q], schema=pa.schema([*part.schema, pa.field("_q", q.type)]))
+                yield pa.RecordBatch.from_arrays([*part.columns, q], schema=pa.schema([*part.schema, pa.field("_quality_q", q.type)]))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     q = ", ".join([*(f"{c}: long" for c in COUNTS), "chars: array<long>", "words: array<long>"])
-    return docs.mapInArrow(count, f"{kinds}, _q struct<{q}>")
+    return docs.mapInArrow(count, f"{kinds}, _quality_q struct<{q}>")
 
 
 @dataclass(frozen=True)
@@ -157,9 +157,9 @@ def summed(column: str, size: int) -> Column:
 
 
 def references(measured_: DataFrame, lang: str) -> DataFrame:
-    """_lang, _chars, _words: the histograms of each language, over all its texts."""
-    return measured_.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_lang")).agg(
-        summed("_q.chars", len(CLASSES)).alias("_chars"), summed("_q.words", len(WORDS) + 1).alias("_words"))
+    """_quality_lang, _quality_chars, _quality_words: the histograms of each language, over all its texts."""
+    return measured_.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_quality_lang")).agg(
+        summed("_quality_q.chars", len(CLASSES)).alias("_quality_chars"), summed("_quality_q.words", len(WORDS) + 1).alias("_quality_words"))
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits(), carry: list[str] | None = None) -> DataFrame:
@@ -177,17 +177,17 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limi
     """
     rows = docs.drop(*COUNTS, "base_failed", "char_js", "word_js", "kept")
     names = rows.columns if carry is None else carry
-    rows = rows.select(*names, F.col(lang).alias("_language"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    rows = rows.select(*names, F.col(lang).alias("_quality_language"), F.coalesce(F.col(text), F.lit("")).alias("_quality_t"))
     # measured once: the references need all texts before any of them can be judged
-    counted = written(with_counts(rows, "_t").drop("_t"), "quality-counts")
-    refs = written(references(counted, "_language"), "quality-references")
-    out = counted.join(refs, counted["_language"] == refs["_lang"], "left").withColumns({
-        "_cj": divergence(F.col("_q.chars"), F.col("_chars")), "_wj": divergence(F.col("_q.words"), F.col("_words"))})
+    counted = written(with_counts(rows, "_quality_t").drop("_quality_t"), "quality-counts")
+    refs = written(references(counted, "_quality_language"), "quality-references")
+    out = counted.join(refs, counted["_quality_language"] == refs["_quality_lang"], "left").withColumns({
+        "_quality_cj": divergence(F.col("_quality_q.chars"), F.col("_quality_chars")), "_quality_wj": divergence(F.col("_quality_q.words"), F.col("_quality_words"))})
     size = lambda c: F.aggregate(F.col(c), F.lit(0).cast("long"), lambda s, v: s + v)
-    q = F.col("_q")
+    q = F.col("_quality_q")
     failed = (q["n_words"] < 20) | (100 * q["n_repeat_words"] > 30 * q["n_words"])
-    far_chars = (size("_q.chars") >= limits.min_chars) & (size("_chars") >= limits.min_reference) & (F.col("_cj") > limits.chars)
-    far_words = (q["n_words"] >= limits.min_words) & (size("_words") >= limits.min_reference) & (F.col("_wj") > limits.words)
+    far_chars = (size("_quality_q.chars") >= limits.min_chars) & (size("_quality_chars") >= limits.min_reference) & (F.col("_quality_cj") > limits.chars)
+    far_words = (q["n_words"] >= limits.min_words) & (size("_quality_words") >= limits.min_reference) & (F.col("_quality_wj") > limits.words)
     far = F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_words, F.lit(False))
-    return out.select(*names, *[q[c].alias(c) for c in COUNTS], failed.alias("base_failed"), F.col("_cj").alias("char_js"),
-                      F.col("_wj").alias("word_js"), (~failed & ~far).alias("kept"))
+    return out.select(*names, *[q[c].alias(c) for c in COUNTS], failed.alias("base_failed"), F.col("_quality_cj").alias("char_js"),
+                      F.col("_quality_wj").alias("word_js"), (~failed & ~far).alias("kept"))

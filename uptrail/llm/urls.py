@@ -105,11 +105,11 @@ def judged(pages: DataFrame, labelled: DataFrame, fixed: list[Rule], url: str =
     """
     named = pages.drop("host", "path", "rule", "verdict")
     rules = mined(labelled, url, bad, min_support, min_rows, min_confidence)
-    blocked = written(blocked_urls(named, url, rules), "url-blocked")
+    blocked = written(blocked_urls(named, url, rules), "url-blocked").withColumnRenamed("_url", "_urls_blocked")
     own = F.col(url)
-    out = named.withColumns({"host": host_of(own), "path": path_of(own)})
-    out = out.withColumn("_fixed", rule_of(F.col("host"), F.col("path"), fixed))
-    out = out.join(blocked, out[url] == blocked["_url"], "left")
-    method = F.when(F.col("_url").isNotNull(), "block").otherwise("allow")
-    return out.select(*named.columns, "host", "path", F.col("_fixed.rule").alias("rule"),
-                      F.coalesce(F.col("_fixed.verdict"), method).alias("verdict"))
+    out = named.join(blocked, named[url] == F.col("_urls_blocked"), "left")
+    out = out.withColumns({"_urls_host": host_of(own), "_urls_path": path_of(own)})
+    out = out.withColumn("_urls_fixed", rule_of(F.col("_urls_host"), F.col("_urls_path"), fixed))
+    method = F.when(F.col("_urls_blocked").isNotNull(), "block").otherwise("allow")
+    return out.select(*named.columns, F.col("_urls_host").alias("host"), F.col("_urls_path").alias("path"),
+                      F.col("_urls_fixed.rule").alias("rule"), F.coalesce(F.col("_urls_fixed.verdict"), method).alias("verdict"))
