@@ -116,7 +116,31 @@ RULES = [urls.Rule("org", "/", "allow"), urls.Rule("example.org", "/es/", "block
          urls.Rule("com", "/fr/", "allow"), urls.Rule("com", "/de/", "block")]
 
 
-@register()
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FITS = ", ".join(f"CASE WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') "
+                  f"THEN {{'n': {len(r.host + r.path)}, 'rule': '{r.host + r.path}', 'verdict': '{r.verdict}'}} END" for r in RULES)
+OP9_SQL = f"""
+WITH p AS (SELECT page_id, url, contains(url, '://') AS whole, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+  h AS (SELECT page_id, url, whole, CASE WHEN whole THEN {_LOW.format("regexp_extract(rest, '^[^/?#]*')")} ELSE '' END AS host,
+    CASE WHEN whole THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path, regexp_extract(url, '\\?([^#]*)', 1) AS query FROM p),
+  i AS (SELECT *, CASE WHEN whole THEN list_sort(list_distinct(list_filter(list_concat(
+      list_transform(string_split_regex(host, '[.\\-_]'), lambda x: 'h:' || x),
+      list_transform(string_split_regex(path, '[/.\\-_]'), lambda x: 'p:' || {_LOW.format('x')}),
+      list_transform(string_split(query, '&'), lambda x: 'q:' || {_LOW.format("split_part(x, '=', 1)")})), lambda x: length(x) > 2))) ELSE [] END AS items FROM h),
+  lab AS (SELECT items, toxic = 1 OR quality = 0 AS bad FROM i JOIN labels ON doc_id = page_id WHERE url IS NOT NULL AND toxic IS NOT NULL AND quality IS NOT NULL),
+  n AS (SELECT count(*) AS n FROM lab),
+  sub AS (SELECT bad, list_filter(items, lambda x: (m >> (list_position(items, x) - 1)) & 1 = 1) AS s
+    FROM (SELECT items, bad, unnest(range(1, 1 << len(items))) AS m FROM lab)),
+  c AS (SELECT s, count(*) FILTER (WHERE bad) AS hits, count(*) FILTER (WHERE bad) / count(*) AS confidence FROM sub GROUP BY s),
+  r AS (SELECT s, confidence FROM c, n WHERE hits >= ceil(greatest(0.002 * n, 20)) AND confidence >= 0.8),
+  kept AS (SELECT s FROM r WHERE NOT EXISTS (SELECT 1 FROM r b WHERE len(b.s) = len(r.s) - 1 AND list_has_all(r.s, b.s) AND b.confidence >= r.confidence)),
+  hit AS (SELECT DISTINCT url FROM i, kept WHERE list_has_all(items, s)),
+  j AS (SELECT *, list_sort(list_filter([{_FITS}], lambda x: x IS NOT NULL), 'DESC')[1] AS fixed FROM h)
+SELECT page_id, host, path, fixed.rule AS rule, coalesce(fixed.verdict, CASE WHEN hit.url IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM j LEFT JOIN hit ON hit.url = j.url"""
+
+
+@register(OP9_SQL)
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels speak of rows by number; here they speak of the pages with that number."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -126,7 +150,17 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- WARC ---------------------------------------------------------------------------------------
 
-@register()
+_BITS = " + ".join(f"(substr(b, 5 * i + {k + 1}, 1) = '1')::INT * {16 >> k}" for k in range(5))
+OP10_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(unhex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS b FROM pages),
+  m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS lead FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_BITS}, 1)), '') AS payload_digest,
+  CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> lead THEN lead END AS refers_to
+FROM m"""
+
+
+@register(OP10_SQL)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"), "page_id", "url", "html", 0)
     number = lambda c: F.when(F.length(c) > 0, F.col(c).cast("long"))
@@ -144,7 +178,48 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- quality rules ------------------------------------------------------------------------------
 
-@register()
+_ENDS = "[.,;:!?]$"
+_CLASSES = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "blank": " \\t-\\r", "stop": ".,;:!?\\-", "quote": "''\"()\\[\\]{}",
+            "symbol": "#*$%&|<>", "latin": "\\x{C0}-\\x{FF}", "two": "\\x{80}-\\x{BF}\\x{100}-\\x{7FF}", "three": "\\x{800}-\\x{FFFF}",
+            "four": "\\x{10000}-\\x{10FFFF}"}
+_COUNTED = ", ".join(f"('{name}', length(regexp_replace(t, '[^{chars}]', '', 'g')))" for name, chars in _CLASSES.items())
+_LIMITS = quality.Limits()
+
+
+def _divergence_sql(name: str) -> str:
+    """Of each document's counts {name}(rid, lang, slot, c) from the sums of its language."""
+    return f"""
+  {name}_ref AS (SELECT lang, slot, sum(c) AS r FROM {name} WHERE lang IS NOT NULL GROUP BY ALL),
+  {name}_all AS (SELECT lang, sum(r) AS r FROM {name}_ref GROUP BY ALL),
+  {name}_p AS (SELECT rid, c / sum(c) OVER (PARTITION BY rid) AS p, f.r / a.r AS q, sum(c) OVER (PARTITION BY rid) AS n, a.r AS total
+    FROM {name} JOIN {name}_ref f USING (lang, slot) JOIN {name}_all a USING (lang) WHERE c > 0),
+  {name}_js AS (SELECT rid, any_value(n) AS n, any_value(total) AS total,
+    (sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) + 1 - sum(q)) / 2 AS js FROM {name}_p GROUP BY rid)"""
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+  w AS (SELECT *, regexp_extract_all(t, '[^ \\t-\\r]+') AS l,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls FROM d),
+  win AS (SELECT rid, i, array_to_string(l[i:i + 7], ' ') AS s FROM (SELECT rid, l, unnest(range(1, len(l) - 6)) AS i FROM w)),
+  dup AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, s) > 1),
+  rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM dup, range(8) r(k) GROUP BY rid),
+  base AS (SELECT w.rid, doc_id, lang, len(l)::BIGINT AS n_words, length(array_to_string(l, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN rep USING (rid)),
+  chars_some AS (SELECT rid, lang, slot, c, length(t) AS total FROM d, LATERAL (VALUES {_COUNTED}) v(slot, c)),
+  chars AS (SELECT rid, lang, slot, c FROM chars_some UNION ALL SELECT rid, lang, 'other', any_value(total) - sum(c) FROM chars_some GROUP BY rid, lang),
+  words AS (SELECT rid, lang, CASE WHEN x IN ({", ".join(f"'{x}'" for x in quality.WORDS)}) THEN x ELSE '' END AS slot, count(*) AS c
+    FROM (SELECT rid, lang, regexp_replace(translate(unnest(l), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_ENDS}', '') AS x FROM w) GROUP BY ALL),
+  {_divergence_sql("chars")}, {_divergence_sql("words")},
+  f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed
+  AND NOT coalesce(c.n >= {_LIMITS.min_chars} AND c.total >= {_LIMITS.min_reference} AND c.js > {_LIMITS.chars}, false)
+  AND NOT coalesce(n_words >= {_LIMITS.min_words} AND w.total >= {_LIMITS.min_reference} AND w.js > {_LIMITS.words}, false) AS kept
+FROM f LEFT JOIN chars_js c USING (rid) LEFT JOIN words_js w USING (rid)"""
+
+
+@register(OP3_SQL)
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality.judged(docs, carry=["doc_id"]).select("doc_id", *quality.COUNTS, "base_failed", "kept")
