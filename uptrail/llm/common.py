@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,8 +30,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps the Arrow batches of the session to some megabytes: long texts come by the thousand."""
+    for name, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", 2000)):
+        key = f"spark.sql.execution.arrow.{name}"
+        number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", spark.conf.get(key).lower()).groups()
+        now = int(number) << 10 * " kmgt".index(unit or " ")
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
+    bounded_batches(spark)
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -31,7 +31,7 @@ ROLL = Rolling(2)
 STEP = np.uint64(0xD1342543DE82EF95)
 BACK = pow(0xD1342543DE82EF95, -1, 1 << 64)
 #: Bytes of n-gram codes in a shard.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20
 #: Bytes of n-gram codes that count as one row of a block.
 ROW_BYTES = 8192
 #: The part of the n-grams that the first look takes: one in so many, by code.

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from uptrail.llm.common import Rolling, mix, slices
+from uptrail.llm.common import Rolling, bounded_batches, mix, slices
 
 # Fixed values of the model format.
 MARK = "▁"
@@ -376,6 +376,7 @@ def sampled(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
     segmentations. A null text is empty; an empty text has one segmentation, without pieces.
     Characters without a piece are written as bytes. A null key is a key of its own.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"),
                        F.xxhash64(F.col(key).cast("string"), F.lit(sampling.seed)).alias("_salt"))
