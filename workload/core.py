@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from uptrail.config import ReportInputs
 from uptrail.operators.fold import intervals
+from uptrail.plans import availability as ar, status as st
 from workload import oracle as o
-from workload.queries import OPTIONS, plan, register, state, status_plan
+from workload.queries import OPERATIONS, OPTIONS, plan, register, state, status_plan
 from workload.tables import Tables
 
 
@@ -74,3 +76,46 @@ def status_services(t: Tables) -> DataFrame:
               FROM group_points""")
 def status_groups(t: Tables) -> DataFrame:
     return status_plan(t).status_groups()
+
+
+# -- dimensions that change from day to day --------------------------------------------------------
+
+
+def dated_reports(t: Tables) -> list[ReportInputs]:
+    """Every dimension as a snapshot of each third day; supergroups and weights differ in each."""
+    low, high = (F.lit(d).cast("date") for d in t.days)
+    many = F.explode(F.sequence(F.lit(0), F.floor(F.date_diff(high, low) / 3).cast("int")))
+
+    def stamped(df: DataFrame) -> DataFrame:
+        return df.withColumn("k", many).withColumn("date", F.date_add(low, F.col("k") * 3))
+
+    return [ReportInputs(
+        r.config, r.profile, stamped(r.metric_profiles).drop("k"), stamped(r.endpoint_groups).drop("k"),
+        stamped(r.group_groups).withColumn("group", F.concat_ws("-", "group", "k")).drop("k"),
+        stamped(r.weights).withColumn("weight", (F.col("weight").cast("int") + F.col("k")).cast("string")).drop("k"),
+        r.downtimes, r.group_exclusions, r.monitor_exclusions) for r in t.reports()]
+
+
+def dated_plan(t: Tables) -> ar.AvailabilityPlan:
+    return ar.availability(t.spark, t.metric_data(), dated_reports(t), OPERATIONS, *t.days, OPTIONS)
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date, service AS name, grp AS supergroup, {RATES}
+              FROM service_rates""")
+def service_ar_dated(t: Tables) -> DataFrame:
+    return dated_plan(t).service_ar()
+
+
+@register(f"""SELECT r.report, {o.date_int('r.date')} AS date, r.grp AS name,
+                     gg.grp || '-' || (r.date - span.low) // 3 AS supergroup,
+                     coalesce(weight + (r.date - span.low) // 3, 0)::INT AS weight, {RATES}
+              FROM span, group_rates r LEFT JOIN gg ON gg.subgroup = r.grp LEFT JOIN wt ON wt.site = r.grp""")
+def group_ar_dated(t: Tables) -> DataFrame:
+    return dated_plan(t).group_ar()
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date_integer, grp AS endpoint_group,
+                     {o.stamp('date', 'pos')} AS "timestamp", {o.name_of('code')} AS status
+              FROM group_points""")
+def status_groups_dated(t: Tables) -> DataFrame:
+    return st.status(t.spark, t.metric_data(), dated_reports(t), OPERATIONS, *t.days, OPTIONS).status_groups()
