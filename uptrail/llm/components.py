@@ -18,9 +18,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = written(pairs.union(pairs.select("y", "x")).distinct(), "component-edges")
     labels = written(pairs.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("root")), "components")
     while True:
-        near = pairs.join(labels, pairs["y"] == labels["node"]).groupBy(F.col("x").alias("node")).agg(F.min("root").alias("near"))
-        near = written(near, "component-near")
-        least = labels.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("was"))
+        near = pairs.join(labels, pairs["y"] == labels["node"]).select(F.col("x").alias("node"), "root", F.lit(None).alias("was"))
+        own = labels.select("node", "root", F.col("root").alias("was"))
+        least = near.union(own).groupBy("node").agg(F.min("root").alias("root"), F.max("was").alias("was"))
         least = written(least, "component-least")
         jump = least.select(F.col("node").alias("at"), F.col("root").alias("to"))
         new = written(least.join(jump, least["root"] == jump["at"]).select(

@@ -18,7 +18,7 @@ from uptrail.llm.components import components
 from uptrail.llm.jaccard import BACK, Join, STEP, links
 
 ROLL = Rolling(5)
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 OTHER = 0xDA942042E4DD58B5
 
 
@@ -170,11 +170,11 @@ def clusters(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Bandin
     discard(state)
     different = written(found.groupBy("_set").agg(F.first("_codes").alias("_codes"), F.first("_bands").alias("_bands")), "paragraph-sets")
     different = different.withColumns({"_n": (F.length("_codes") / 8).cast("long"), "_alone": F.lit(0).cast("long")})
-    # each band as a star around its smallest paragraph
+    # paragraphs that meet in a band are a block, named by the smallest of them; mostly they meet in many
     in_band = different.select("_set", F.explode("_bands").alias("_band"))
     stars = written(in_band.groupBy("_band").agg(F.min("_set").alias("_least"), F.count("*").alias("_many")).where("_many > 1"), "paragraph-stars")
-    edges = in_band.join(stars, "_band").where("_set <> _least").select("_set", "_least").distinct()
-    alike = components(links(different.drop("_bands"), components(edges, "_set", "_least"), Join(b.n, b.percent, b.block)))
+    blocks = written(in_band.join(stars, "_band").select(F.col("_set").alias("node"), F.col("_least").alias("root")).distinct(), "paragraph-blocks")
+    alike = components(links(different.drop("_bands"), blocks, Join(b.n, b.percent, b.block)))
     named = found.drop("_codes", "_bands").join(alike, F.col("_set") == F.col("node"), "left").withColumn("_cluster", F.coalesce("root", "_set"))
     named = written(named, "paragraph-named")
     first = named.groupBy(F.col("_cluster").alias("_c")).agg(F.min(F.struct("_id", "_number")).alias("_first"), F.count("*").alias("_many"))
@@ -200,8 +200,8 @@ def read_ids(data: bytes) -> list:
 
 def stripped(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Banding = Banding()) -> DataFrame:
     """The rows with their texts without the lines that go; a text whose lines all stay is as it was."""
-    gone = clusters(docs, text, key, b).where("removed").groupBy(F.col(key).alias("_pk")).agg(F.collect_set("paragraph").alias("_gone"))
-    out = docs.join(written(gone, "paragraph-gone"), docs[key].eqNullSafe(F.col("_pk")), "left")
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("_gone", i.cast("long")))
-    return out.select(*[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else docs[c]
+    gone = clusters(docs, text, key, b).where("removed").groupBy(F.col(key).alias("_paragraph_key")).agg(F.collect_set("paragraph").alias("_paragraph_gone"))
+    out = docs.join(written(gone, "paragraph-gone"), docs[key].eqNullSafe(F.col("_paragraph_key")), "left")
+    left = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("_paragraph_gone", i.cast("long")))
+    return out.select(*[F.when(F.col("_paragraph_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else docs[c]
                         for c in docs.columns])
