@@ -7,10 +7,10 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-import test_bwt  # noqa: E402
-import test_jaccard  # noqa: E402
-import test_mixing  # noqa: E402
-import test_quality  # noqa: E402
+import test_bwt as bwt_plain  # noqa: E402
+import test_jaccard as jaccard_plain  # noqa: E402
+import test_mixing as mixing_plain  # noqa: E402
+import test_quality as quality_plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from uptrail.llm import jaccard, quality  # noqa: E402
@@ -37,19 +37,19 @@ def test_columns_and_order(stages):
 
 def test_quality(stages):
     rows = [(r["doc_id"], r["lang"], r["text"]) for r in stages[0].collect()]
-    kept = {r[0] for r in test_quality.plain(rows, quality.Limits()) if r[-1]}
+    kept = {r[0] for r in quality_plain.plain(rows, quality.Limits()) if r[-1]}
     assert {r["doc_id"] for r in stages[1].collect()} == kept and stages[1].count() == len(kept)
 
 
 def test_near_duplicates(stages):
     rows = [(r["doc_id"], r["text"]) for r in stages[1].collect()]
-    lead = {key for key, _, group in test_jaccard.plain(rows, jaccard.Join(n=5, percent=80)) if key == group}
+    lead = {key for key, _, group in jaccard_plain.plain(rows, jaccard.Join(n=5, percent=80)) if key == group}
     assert sorted(r["doc_id"] for r in stages[2].collect()) == sorted(lead)
 
 
 def test_repeats(stages):
     rows = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in stages[2].collect())
-    want = {key: (gone, n) for (key, _, n), (_, gone, _, _) in zip(rows, test_bwt.plain([t for _, t, _ in rows], 400))}
+    want = {key: (gone, n) for (key, _, n), (_, gone, _, _) in zip(rows, bwt_plain.plain([t for _, t, _ in rows], 400))}
     after = {r["doc_id"]: r for r in stages[3].collect()}
     assert set(after) == set(want)
     for key, text, n in rows:
@@ -63,8 +63,8 @@ def test_mix(stages):
     rows = []
     for r in stages[3].collect():
         domain = "d" + str(int(r["source"][-1]) % 4) if r["source"][-1:].isdigit() else None
-        rows.append((r["doc_id"], (domain, r["lang"], r["source"]), test_quality.counts(r["text"])[0]))
-    want = {key: copies for key, (_, copies, _) in test_mixing.plain(rows, MIX).items()}
+        rows.append((r["doc_id"], (domain, r["lang"], r["source"]), quality_plain.counts(r["text"])[0]))
+    want = {key: copies for key, (_, copies, _) in mixing_plain.plain(rows, MIX).items()}
     got = {}
     for r in stages[4].collect():
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
