@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 _LOCAL: list[str] = []
+#: The paths this driver has asked for, in order.
+CREATED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,7 +48,8 @@ def bounded_batches(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     bounded_batches(spark)
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    CREATED.append(path := f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -58,10 +61,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Deletes the files of a written table that nothing will read again."""
-    spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard_folder(df.sparkSession, folder)
+
+
+def discard_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def place(path: str) -> tuple[fs.FileSystem, str]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from uptrail.llm.bwt import ROWS, dealt, load, rows, save, state_of
-from uptrail.llm.common import LOWER, Rolling, mix, scratch, slices, utf8, word_bounds, written
+from uptrail.llm.common import LOWER, Rolling, discard, discard_folder, mix, n_words, scratch, slices, utf8, word_bounds, written
 from uptrail.llm.components import components
 
 ROLL = Rolling(2)
@@ -34,8 +34,9 @@ BACK = pow(0xD1342543DE82EF95, -1, 1 << 64)
 SHARD_BYTES = 6 << 20
 #: Bytes of n-gram codes that count as one row of a block.
 ROW_BYTES = 8192
-#: The part of the n-grams that the first look takes: one in so many, by code.
-PART = 5
+#: Up to so many bytes of text, the first look takes half of each code: what it counts too often, it only
+#: lets through to the second look.
+SHORT_CODES = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,11 @@ class Join:
     percent: int = 90
     block: int = 2048
 
+    @property
+    def part(self) -> int:
+        """The first look takes one in so many n-grams, by code: twice as many as may be missing."""
+        return max(1, int(100 / (2 * max(1, 100 - self.percent)) + 1e-9))
+
     def spare(self, size):
         """So many members of a set may be missing in one that it links with."""
         return size - -(-self.percent * size // 100)
@@ -85,13 +91,15 @@ def digest(codes: np.ndarray) -> bytes:
     return struct.pack(">IQQ", len(codes), int(a), int(b))
 
 
-def sets(docs: DataFrame, carry: list[str], join: Join, part: int) -> DataFrame:
-    """carry, _n, _set (a digest), _codes: one in `part` of the n-grams of _text."""
+def sets(docs: DataFrame, carry: list[str], join: Join, part: int, kind: type = np.uint64) -> DataFrame:
+    """carry, _n, _set (a digest), _codes: one in `part` of the n-grams of _text, as numbers of a kind."""
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "_text"):
                 found = shingles(*utf8(piece.column("_text")), join.n)
                 kept = [x[x % np.uint64(part) == 0] if part > 1 else x for x in found]
+                if kind is not np.uint64:
+                    kept = [(x >> np.uint64(32)).astype(kind) for x in kept]
                 yield pa.RecordBatch.from_arrays([
                     *(piece.column(c) for c in carry), pa.array([len(x) for x in found], pa.int64()),
                     pa.array([digest(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in kept], pa.binary())],
@@ -102,9 +110,9 @@ def sets(docs: DataFrame, carry: list[str], join: Join, part: int) -> DataFrame:
         made, ", ".join(f"`{c}` {kinds[c]}" for c in carry) + ", _n long, _set binary, _codes binary")
 
 
-def counted(group: pa.Table) -> pa.Table:
+def counted(group: pa.Table, kind: type) -> pa.Table:
     """For each asking row, how many sets hold each of its codes, 255 at most."""
-    codes = [np.frombuffer(x, np.uint64) for x in group.column("a").to_pylist()]
+    codes = [np.frombuffer(x, kind) for x in group.column("a").to_pylist()]
     counts = np.concatenate([np.frombuffer(x, np.uint8) for x in group.column("b").to_pylist()])
     _, which = np.unique(np.concatenate(codes), return_inverse=True)
     total = np.minimum(np.bincount(which, weights=counts), 255).astype(np.uint8)[which]
@@ -115,7 +123,7 @@ def counted(group: pa.Table) -> pa.Table:
 
 def frequencies(group: pa.Table, buckets: int, codes: np.ndarray) -> np.ndarray:
     out = np.zeros(len(codes), np.int64)
-    bucket = (codes % np.uint64(buckets)).astype(np.int64)
+    bucket = (codes % codes.dtype.type(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for kind, b, x in zip(group.column("kind").to_pylist(), group.column("bucket").to_pylist(), group.column("a").to_pylist(), strict=True):
@@ -124,22 +132,22 @@ def frequencies(group: pa.Table, buckets: int, codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_frequencies(found: DataFrame, name: str, judge, schema: str) -> DataFrame:
+def with_frequencies(found: DataFrame, name: str, judge, schema: str, total: int, kind: type = np.uint64) -> DataFrame:
     """judge(sets, sizes, codes, frequency of each code) for each shard of the sets.
 
     A shard keeps its codes in a file and asks once for each different one; a code that a third of
     all sets have comes from each shard once.
     """
     spark = found.sparkSession
-    total = found.agg(F.sum(F.length("_codes"))).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
+    width = np.dtype(kind).itemsize
+    shards = max(1, -(-total * width // SHARD_BYTES))
     folder = scratch(spark, name)
 
     def ask(group: pa.Table) -> pa.Table:
         shard = group.column("_shard")[0].as_py()
-        codes = np.frombuffer(b"".join(group.column("_codes").to_pylist()), np.uint64)
+        codes = np.frombuffer(b"".join(group.column("_codes").to_pylist()), kind)
         file = save(folder, sets=np.frombuffer(b"".join(group.column("_set").to_pylist()), np.uint8), codes=codes,
-                    many=np.array([len(x) // 8 for x in group.column("_codes").to_pylist()], np.int64), sizes=group.column("_n").to_numpy())
+                    many=np.array([len(x) // width for x in group.column("_codes").to_pylist()], np.int64), sizes=group.column("_n").to_numpy())
         kinds, counts = np.unique(codes, return_counts=True)
         out = [("state", shard, None, file, None, None)]
         return rows(out + asked(shard, shards, kinds, counts))
@@ -153,14 +161,17 @@ def with_frequencies(found: DataFrame, name: str, judge, schema: str) -> DataFra
 
     state = found.withColumn("_shard", F.pmod(F.xxhash64("_set"), F.lit(shards)).cast("int"))
     state = written(dealt(state, "_shard", shards).applyInArrow(ask, ROWS), f"{name}-asked")
-    answers = dealt(state.where("kind = 'ask'"), "bucket", shards).applyInArrow(counted, ROWS)
-    return written(dealt(state.where("kind = 'state'").union(answers), "shard", shards).applyInArrow(answered, schema), f"{name}-judged")
+    answers = dealt(state.where("kind = 'ask'"), "bucket", shards).applyInArrow(lambda t: counted(t, kind), ROWS)
+    judged = written(dealt(state.where("kind = 'state'").union(answers), "shard", shards).applyInArrow(answered, schema), f"{name}-judged")
+    discard(state)
+    discard_folder(spark, folder)
+    return judged
 
 
 def asked(shard: int, buckets: int, codes: np.ndarray, counts: np.ndarray) -> list[tuple]:
     """Rows that carry the codes, in order, to the buckets which count them; counts up to 255."""
     full = np.minimum(counts, 255).astype(np.uint8)
-    bucket = (codes % np.uint64(buckets)).astype(np.int64)
+    bucket = (codes % codes.dtype.type(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
     return [("ask", shard, b, None, codes[order[x:y]].tobytes(), full[order[x:y]].tobytes())
@@ -310,8 +321,11 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join
     keyed = docs.drop("n_shingles", "component_id")
     slim = keyed.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn(
         "_hash", F.unhex(F.md5("_text")))
-    made = written(sets(slim, ["_id", "_hash"], join, PART), "jaccard-sets")
-    roots = resolved(made, slim, join)
+    small = (slim.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) <= SHORT_CODES
+    kind = np.uint32 if small else np.uint64
+    coded = written(sets(slim, ["_id", "_hash"], join, join.part, kind), "jaccard-sets")
+    made = written(coded.drop("_codes"), "jaccard-names")
+    roots = resolved(coded, made, slim, join, kind)
     least = made.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_least"))
     whole = roots.join(least.withColumnRenamed("_set", "node"), "node").groupBy("root").agg(F.min("_least").alias("_whole"))
     whole = written(roots.join(whole, "root").select("node", "root", "_whole"), "jaccard-components")
@@ -332,28 +346,39 @@ def one_each(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Joi
     """One row of each component: that with the smallest key. Rows without words all stay. Of rows
     that repeat the smallest key, or have none but null keys, one stays."""
     names = docs.columns
-    marked = joined(docs, text, key, join, "_jaccard_group")
-    lead = written(marked.where(F.col(key).eqNullSafe(F.col("component_id")) | F.col("_jaccard_group").isNull()), "jaccard-lead")
-    again = lead.where("_jaccard_group IS NOT NULL").groupBy(F.col("_jaccard_group").alias("_again")).count().where("count > 1").select("_again")
-    again = written(again, "jaccard-again")
-    same = lead["_jaccard_group"] == again["_again"]
-    tied = lead.join(again, same, "left_semi").dropDuplicates(["_jaccard_group"])
-    return lead.join(again, same, "left_anti").union(tied).select(*names)
-
-
-def resolved(made: DataFrame, slim: DataFrame, join: Join) -> DataFrame:
+    slim = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    marked = joined(slim, "_text", "_id", join, "_group").where("_group IS NOT NULL")
+    # of each component one key and text; rows that share both are told apart at the end
+    hashed = lambda c: F.unhex(F.md5(F.coalesce(F.col(c), F.lit(""))))
+    first = marked.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), hashed("_text").alias("hash"))).alias("_lead"))
+    first = written(first.select(F.col("_lead.id").alias("_lead_id"), F.col("_lead.hash").alias("_lead_hash")), "jaccard-lead")
+    rows_ = docs.withColumns({"_jaccard_key": F.col(key), "_jaccard_hash": hashed(text)})
+    lead = rows_.join(first, (F.col("_jaccard_hash") == F.col("_lead_hash")) & F.col("_jaccard_key").eqNullSafe(F.col("_lead_id")), "left_semi")
+    bare = rows_.where(n_words(text) == 0)
+    pair = ["_jaccard_key", "_jaccard_hash"]
+    seen = docs.select(F.col(key).alias("_again_key"), hashed(text).alias("_again_hash")).groupBy("_again_key", "_again_hash").count()
+    again = written(seen.where("count > 1").drop("count"), "jaccard-again")
+    same = (F.col("_jaccard_hash") == F.col("_again_hash")) & F.col("_jaccard_key").eqNullSafe(F.col("_again_key"))
+    tied = lead.join(again, same, "left_semi").dropDuplicates(pair)
+    alone = lead.join(again, same, "left_anti")
+    return alone.union(tied).union(bare).select(*names)
+
+
+def resolved(coded: DataFrame, made: DataFrame, slim: DataFrame, join: Join, kind: type) -> DataFrame:
     """node, root: components of the different sets that link with another."""
     spark = made.sparkSession
-    classes = made.where("_n > 0").groupBy("_set", "_n").agg(F.first("_codes").alias("_codes"), F.min("_hash").alias("_hash"))
-    classes = written(classes, "jaccard-classes")
 
     def passing(names: list, sizes: np.ndarray, many: np.ndarray, codes: np.ndarray, frequency: np.ndarray) -> pa.Table:
         alone = np.bincount(np.repeat(np.arange(len(sizes)), many), weights=frequency < 2, minlength=len(sizes))
         kept = np.flatnonzero(alone <= join.spare(sizes)).tolist()
         return pa.Table.from_arrays([pa.array([names[i] for i in kept], pa.binary())], names=["_kept"])
 
-    some = with_frequencies(classes, "jaccard-part", passing, "_kept binary")
-    wanted = written(classes.join(some, F.col("_set") == F.col("_kept")).select(F.col("_hash").alias("_h")), "jaccard-wanted")
+    classes = coded.where("_n > 0").groupBy("_set", "_n").agg(F.first("_codes").alias("_codes"))
+    total = int((made.agg(F.sum("_n")).first()[0] or 0) / join.part)
+    some = with_frequencies(classes, "jaccard-part", passing, "_kept binary", total, kind)
+    discard(coded)
+    texts = made.where("_n > 0").groupBy("_set").agg(F.min("_hash").alias("_h"))
+    wanted = written(texts.join(some, F.col("_set") == F.col("_kept")).select("_h"), "jaccard-wanted")
     # copies are brought down to one text before the join, so that no text is frequent in it
     single = slim.groupBy("_hash").agg(F.first("_text").alias("_text")).join(wanted, F.col("_hash") == F.col("_h")).select("_hash", "_text")
     full = written(sets(single, ["_hash"], join, 1), "jaccard-full")
@@ -374,7 +399,8 @@ def resolved(made: DataFrame, slim: DataFrame, join: Join) -> DataFrame:
         return pa.Table.from_arrays([pa.array(out, pa.binary()), pa.array(gram, pa.int64()), pa.array(alone_, pa.int64())],
                                     names=["_set", "_gram", "_alone"])
 
-    rare = with_frequencies(full, "jaccard-rare", prefixes, "_set binary, _gram long, _alone long")
+    rare = with_frequencies(full, "jaccard-rare", prefixes, "_set binary, _gram long, _alone long",
+                            full.agg(F.sum("_n")).first()[0] or 0)
     if rare.isEmpty():
         return spark.createDataFrame([], "node binary, root binary")
     # each column as a star around its smallest row
