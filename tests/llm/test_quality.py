@@ -97,3 +97,15 @@ def test_one_long_text_like_many_pieces(spark):
     text = ("some words of a long text, again and again. \n" * 60_000)
     df = spark.createDataFrame([(1, "en", text)], "doc_id long, lang string, text string")
     assert tuple(quality.judged(df, carry=["doc_id"]).select(*quality.COUNTS).first()) == counts(text)
+
+
+def test_registered_limits_reject_by_words_alone(spark):
+    rng = random.Random(21)
+    common = "the of and to in is that for it as with on by at this an be are from".split()
+    rare = ["".join(rng.choice("abcdefghiklmnoprst") for _ in range(rng.randint(2, 6))) for _ in range(400)]
+    rare = [w for w in rare if w not in WORDS]
+    good = [" ".join(rng.choice(common if rng.random() < 0.27 else rare) for _ in range(300)) for _ in range(100)]
+    rows = [(i, "en", t) for i, t in enumerate(good)] + [(100, "en", " ".join(rng.choice(rare) for _ in range(300)))]
+    got = {r["doc_id"]: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert all(got[i]["kept"] for i in range(100))
+    assert not got[100]["base_failed"] and got[100]["char_js"] < Limits().chars and got[100]["word_js"] < 0.25 and not got[100]["kept"]
