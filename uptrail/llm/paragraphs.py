@@ -1,4 +1,5 @@
-"""Repeated paragraphs: MinHash bands, exact check of what collides, one paragraph of a cluster stays."""
+"""Repeated paragraphs: MinHash bands, exact check of what collides, one paragraph of a cluster stays.
+Passages that no two alike paragraphs hold come from uptrail.llm.passages."""
 
 from __future__ import annotations
 
@@ -16,6 +17,7 @@ from uptrail.llm.bwt import ROWS, answered, asked, exchange, load, rows, save, s
 from uptrail.llm.common import LOWER, Rolling, discard, mix, scratch, slices, utf8, word_bounds, written
 from uptrail.llm.components import components
 from uptrail.llm.jaccard import BACK, Join, STEP, links
+from uptrail.llm.passages import passages, stripped as without_passages
 
 ROLL = Rolling(5)
 SHARD_BYTES = 8 << 20
@@ -186,6 +188,12 @@ def clusters(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Bandin
     return both.select(*own, F.col("_first._id").alias("cluster_key"), F.col("_first._number").alias("cluster_paragraph"), (~stays).alias("removed"))
 
 
+def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Banding = Banding()) -> DataFrame:
+    """The rows of clusters() and those of passages(), and unit: 'line' or 'passage'."""
+    runs = written(passages(docs, text, key), "paragraph-passages")
+    return clusters(docs, text, key, b).withColumn("unit", F.lit("line")).union(runs.withColumn("unit", F.lit("passage")))
+
+
 def packed_ids(parts: tuple[pa.RecordBatch, ...]) -> bytes:
     out = pa.BufferOutputStream()
     with pa.ipc.new_stream(out, parts[0].select(["_id"]).schema) as stream:
@@ -199,9 +207,11 @@ def read_ids(data: bytes) -> list:
 
 
 def stripped(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Banding = Banding()) -> DataFrame:
-    """The rows with their texts without the lines that go; a text whose lines all stay is as it was."""
+    """The rows with their texts without the lines that go, and then without the passages that go; a
+    text of which all stays is as it was."""
     gone = clusters(docs, text, key, b).where("removed").groupBy(F.col(key).alias("_paragraph_key")).agg(F.collect_set("paragraph").alias("_paragraph_gone"))
     out = docs.join(written(gone, "paragraph-gone"), docs[key].eqNullSafe(F.col("_paragraph_key")), "left")
     left = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("_paragraph_gone", i.cast("long")))
-    return out.select(*[F.when(F.col("_paragraph_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else docs[c]
+    lines = out.select(*[F.when(F.col("_paragraph_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else docs[c]
                         for c in docs.columns])
+    return without_passages(lines, text, key)

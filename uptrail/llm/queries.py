@@ -250,7 +250,7 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.clusters(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return paragraphs.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 # --- SentencePiece segmentations ----------------------------------------------------------------
