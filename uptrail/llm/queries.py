@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, jaccard, mixing, neighbours, paragraphs, pieces, quality, tokens, urls, warc
+from uptrail.llm import bwt, jaccard, mixing, negatives, neighbours, paragraphs, pieces, quality, tokens, urls, warc
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -265,3 +265,25 @@ def piece_bpe() -> str:
 def op7_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.sampled(docs, piece_bpe(), sampling=pieces.Sampling(k=2, seed=5))
+
+
+# --- hard negatives -----------------------------------------------------------------------------
+
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM e a JOIN e c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3"""
+
+
+@register(OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.mined(rows, lambda c: c % 50 == 0)
