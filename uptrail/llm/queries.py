@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, jaccard, mixing, negatives, neighbours, paragraphs, pieces, quality, tokens, urls, warc
+from uptrail.llm import bwt, jaccard, mixing, negatives, neighbours, paragraphs, pieces, quality, tokens, urls, warc, wordbpe
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -287,3 +287,18 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
     return negatives.mined(rows, lambda c: c % 50 == 0)
+
+
+# --- BPE encoding and decoding ------------------------------------------------------------------
+
+def word_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register()
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = wordbpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), word_bpe())
+    return wordbpe.decoded(ids, word_bpe()).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                                                   F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
