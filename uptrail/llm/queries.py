@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uptrail.llm import bwt, jaccard, mixing, negatives, neighbours, paragraphs, pieces, quality, tokens, urls, warc, wordbpe
+from uptrail.llm import bwt, jaccard, mixing, negatives, neighbours, paragraphs, phrases, pieces, quality, tokens, urls, warc, wordbpe
 from uptrail.llm.common import n_words, table
 
 QUERIES: dict = {}
@@ -302,3 +302,27 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = wordbpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), word_bpe())
     return wordbpe.decoded(ids, word_bpe()).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                                                    F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+# --- phrase collocations ------------------------------------------------------------------------
+
+OP11_SQL = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS l FROM p),
+  g AS (SELECT lang, h, array_to_string(l[i:i + h - 1], ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, l, h, unnest(range(1, len(l) - h + 2)) AS i FROM w, range(1, 6) t(h)) GROUP BY ALL),
+  n AS (SELECT lang, sum(len(l))::BIGINT AS n FROM w GROUP BY lang),
+  c AS (SELECT lang, h, phrase, a, string_split(phrase, ' ') AS l FROM g WHERE h >= 2 AND a >= 100),
+  inner_ AS (SELECT DISTINCT x.lang, x.phrase FROM c x JOIN c y ON x.lang = y.lang AND y.h > x.h AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ') AND 100 * y.a >= 100 * x.a),
+  cut AS (SELECT c.lang, c.phrase, c.a, k, f.a AS l, r.a AS r, n, (1000 * c.a::HUGEINT * n // (f.a::HUGEINT * r.a))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, h)) AS k FROM c) c JOIN n ON n.lang = c.lang
+    JOIN g f ON f.lang = c.lang AND f.h = k AND f.phrase = array_to_string(c.l[:k], ' ')
+    JOIN g r ON r.lang = c.lang AND r.h = c.h - k AND r.phrase = array_to_string(c.l[k + 1:], ' ')),
+  least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM least ANTI JOIN inner_ USING (lang, phrase) QUALIFY rank <= 2000"""
+
+
+@register(OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
