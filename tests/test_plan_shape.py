@@ -58,8 +58,7 @@ def test_one_hot_metric(spark):
     from uptrail.operators import slots
     from uptrail.operators.selection import with_time
     rows = with_time(hot).withColumn("code", F.lit(0))
-    placed = slots.place_rows(rows, fx.ops, Options(), D, D)
     keys = ["date", "service", "hostname", "metric"]
-    assert slots.slot_states(placed, keys, fx.ops).count() <= 288
+    assert slots.slot_states(rows, keys, fx.ops, Options(), D, D).count() <= 288
     a = availability(spark, fx.md.unionByName(hot), [fx.report], fx.ops, D)
     assert a.service_ar().count() == availability(spark, fx.md, [fx.report], fx.ops, D).service_ar().count()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from uptrail.functions.truth import Operations
@@ -145,19 +146,14 @@ def read_report_config(spark: SparkSession, path: str) -> ReportConfig:
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], *columns: str) -> DataFrame:
-    """Rows of a configuration document as an inline table.
+    """Rows of a configuration document as an inline table of texts.
 
     Spark knows the exact size of an inline table, so it can decide to broadcast it. A frame made
     from a Python list has no known size, and a join with it would shuffle the other side.
     """
-    if not rows:
-        nulls = ", ".join(f"CAST(NULL AS STRING) AS `{c}`" for c in columns)
-        return spark.sql(f"SELECT {nulls} LIMIT 0")
-    names = ", ".join(f"`{c}`" for c in columns)
-    marks = ", ".join(
-        "(" + ", ".join(f":r{i}c{j}" for j in range(len(columns))) + ")" for i in range(len(rows)))
-    values = {f"r{i}c{j}": value for i, row in enumerate(rows) for j, value in enumerate(row)}
-    return spark.sql(f"SELECT * FROM VALUES {marks} AS v({names})", args=values)
+    values = zip(*rows) if rows else [[]] * len(columns)
+    return spark.createDataFrame(pa.table(
+        [pa.array(column, pa.string()) for column in values], names=list(columns)))
 
 
 def truth_frame(spark: SparkSession, operations: Operations) -> DataFrame:

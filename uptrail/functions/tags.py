@@ -27,3 +27,15 @@ def tags_pass(tags: Column, wanted: dict[str, str], answers: bool = True) -> Col
     tests = [F.coalesce(tag_matches(tag(tags, key), value, answers), F.lit(True))
              for key, value in sorted(wanted.items())]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def wanted_tags(wanted: dict[str, str], answers: bool = True) -> dict[str, str]:
+    """Wanted values as they are compared: in lower case, answers as they are stored."""
+    return {key: (ANSWERS.get(value.lower(), value) if answers else value).lower() for key, value in wanted.items()}
+
+
+def tags_agree(tags: Column, wanted: Column) -> Column:
+    """``tags_pass`` for wanted tags that are a column themselves (a map made by ``wanted_tags``)."""
+    def agrees(w: Column) -> Column:
+        return F.coalesce(F.lower(F.try_element_at(tags, w["key"])) == w["value"], F.lit(True))
+    return F.forall(F.map_entries(wanted), agrees)

@@ -4,36 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from uptrail.config import Options
 from uptrail.functions import clock
 from uptrail.functions.truth import Operations
+from uptrail.operators import slots
 from uptrail.operators.fold import compact, fold, moves
 from uptrail.operators.slots import CARRY, SEED
 
 DETAIL = ["status", "monitoring_host", "summary", "message"]
 
 
-def distinct_seconds(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key and second (the highest state, then host and texts), and one carry-in.
+def per_second(rows: DataFrame, keys: list[str], operations: Operations, options: Options, first: str,
+               last: str) -> DataFrame:
+    """One row per key, day of the run and second, and one carry-in: keys, pos, second, code, status.
 
-    The stored result has one row per metric and timestamp, so nothing that is kept is lost. It
-    bounds a metric at 86 400 rows a day before anything is sorted.
+    Of the rows of a second the highest state counts. Texts take no part, so both aggregates are
+    hash aggregates; a status that is not a state has no name here. A metric has at most 86 400 rows a day.
     """
-    row = F.max(F.struct("second", "code", *DETAIL)).alias("row")
-    return placed.groupBy(*keys, "pos").agg(row).select(*keys, "pos", "row.*")
+    placed = slots.on_days(slots.latest(rows, keys, operations, options, discrete=False), options, first, last, discrete=False)
+    one = placed.groupBy(*keys, "pos").agg(F.max("packed").alias("packed"))
+    return with_state(one, operations).withColumn("status", operations.state_name(F.col("code")))
+
+
+def with_state(packed: DataFrame, operations: Operations) -> DataFrame:
+    """Packed states as second and code."""
+    return packed.withColumns({"second": slots.second_of(F.col("packed"), operations),
+                               "code": slots.unpack(F.col("packed"), operations)}).drop("packed")
 
 
 def with_previous(events: DataFrame, keys: list[str], missing: str = "MISSING") -> DataFrame:
     """Previous state, its code and its timestamp, per key in order of time.
 
     Carry-in rows (pos CARRY) come first and give the day's first row its previous state; without
-    one that is MISSING at midnight. Seed rows stand only where a key has nothing else.
+    one that is MISSING at midnight. Seed rows stand only where a key has nothing else. Events without
+    a status column get no ``previous_state``.
     """
     w = Window.partitionBy(*keys).orderBy("pos")
     before = F.lag("pos").over(w)
     has_before = before.isNotNull() & (before > SEED)
     day = F.when(before == CARRY, clock.day_before(F.col("date"))).otherwise(F.col("date"))
-    return events.withColumns({
-        "previous_state": F.when(has_before, F.lag("status").over(w)).otherwise(F.lit(missing)),
+    named = {"previous_state": F.when(has_before, F.lag("status").over(w)).otherwise(F.lit(missing))}
+    return events.withColumns((named if "status" in events.columns else {}) | {
         "previous_code": F.when(has_before, F.lag("code").over(w)),
         "previous_timestamp": F.when(
             has_before, clock.format_ts(day, F.lag("second").over(w)))

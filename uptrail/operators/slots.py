@@ -30,41 +30,56 @@ def unpack(packed: Column, operations: Operations) -> Column:
     return packed % (operations.size + 2) - 1
 
 
-def place_rows(rows: DataFrame, operations: Operations, options: Options, first: str, last: str,
-               discrete: bool = True) -> DataFrame:
-    """Place each row on the days it matters for: its own, and as carry-in on the next.
+def second_of(packed: Column, operations: Operations) -> Column:
+    return F.floor(packed / F.lit(operations.size + 2)).cast("int")
 
-    ``rows`` has date and second; the result has the target date and ``pos``: the slot (or the
-    second of the day), or CARRY. One scan serves both days. A single-day run needs one entry per
-    row, so nothing is multiplied there.
+
+def without_effect(operations: Operations) -> Column:
+    """The packed state of a placed row; at SEED it only marks the metric as seen."""
+    return F.when(F.col("pos") == SEED, pack(F.lit(0), F.lit(operations.missing_code), operations)).otherwise(F.col("packed"))
+
+
+def on_days(rows: DataFrame, options: Options, first: str, last: str, discrete: bool = True,
+            seeds: bool = False) -> DataFrame:
+    """Rows with a date and ``pos`` (slot or second) on the days they matter for.
+
+    Each stands on its own day and, at CARRY, on the next; ``row_date`` keeps its own. A slot-0 row
+    that has no effect there stands at SEED. With ``seeds`` each also stands at SEED on both days. A
+    single-day run without seeds multiplies nothing.
     """
-    one_day = first == last
-    own = F.col("second")
-    if discrete:
-        own = clock.ts_slot(own, options.interval, options.slots)
-        if options.align == "settle":
-            own = F.when(own == 0, SEED).otherwise(own)
+    own = F.col("pos")
+    if discrete and options.align == "settle":
+        own = F.when(own == 0, SEED).otherwise(own)
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
-    if one_day:
-        return (rows.where(F.col("date").between(F.date_sub(low, 1), high))
-                .withColumn("pos", F.when(F.col("date") == low, own).otherwise(CARRY))
-                .withColumns({"row_date": F.col("date"), "date": low}))
-    entries = F.explode(F.array(
-        F.struct(F.col("date").alias("date"), own.alias("pos")),
-        F.struct(F.date_add("date", 1).alias("date"), F.lit(CARRY).alias("pos"))))
-    return (rows.where(F.col("date").between(F.date_sub(low, 1), high))
-            .withColumn("entry", entries)
-            .withColumns({"row_date": F.col("date"), "date": F.col("entry.date"),
-                          "pos": F.col("entry.pos")})
-            .drop("entry").where(F.col("date").between(low, high)))
-
-
-def slot_states(placed: DataFrame, keys: list[str], operations: Operations) -> DataFrame:
-    """One packed state per key and position; a row without effect only marks the metric as seen."""
-    code = F.when(F.col("pos") == SEED, operations.missing_code).otherwise(F.col("code"))
-    second = F.when(F.col("pos") == SEED, 0).otherwise(F.col("second"))
-    return (placed.groupBy(*keys, "pos")
-            .agg(F.max(pack(second, code, operations)).alias("packed")))
+    rows = rows.where(F.col("date").between(F.date_sub(low, 1), high)).withColumn("row_date", F.col("date"))
+    if first == last and not seeds:
+        return rows.withColumns({"pos": F.when(F.col("date") == low, own).otherwise(CARRY), "date": low})
+    places = [(F.col("date"), own), (F.date_add("date", 1), F.lit(CARRY))]
+    if seeds:
+        places += [(day, F.lit(SEED)) for day, _ in places]
+    entries = F.explode(F.array(*[F.struct(day.alias("date"), pos.alias("pos")) for day, pos in places]))
+    return (rows.withColumn("_entry", entries)
+            .withColumns({"date": F.col("_entry.date"), "pos": F.col("_entry.pos")})
+            .drop("_entry").where(F.col("date").between(low, high)))
+
+
+def latest(rows: DataFrame, keys: list[str], operations: Operations, options: Options,
+           discrete: bool = True) -> DataFrame:
+    """One packed state per key, with the day among the keys, and position: keys, pos, packed.
+
+    ``rows`` has second and code. A hash aggregate over the raw rows, before anything multiplies them.
+    """
+    pos = clock.ts_slot(F.col("second"), options.interval, options.slots) if discrete else F.col("second")
+    packed = pack(F.col("second"), F.col("code"), operations)
+    return rows.where("second IS NOT NULL").withColumn("pos", pos).groupBy(*keys, "pos").agg(F.max(packed).alias("packed"))
+
+
+def slot_states(rows: DataFrame, keys: list[str], operations: Operations, options: Options, first: str,
+                last: str, seeds: bool = False) -> DataFrame:
+    """One packed state per key, day of the run and position, carry-in included [, and seeds]."""
+    placed = on_days(latest(rows, keys, operations, options), options, first, last, seeds=seeds)
+    placed = placed.withColumn("packed", without_effect(operations))
+    return placed.groupBy(*keys, "pos").agg(F.max("packed").alias("packed"))
 
 
 def settle(states: DataFrame, keys: list[str], operations: Operations,
@@ -103,14 +118,9 @@ def metric_timelines(rows: DataFrame, operations: Operations, options: Options,
                      last: str) -> DataFrame:
     """Timeline of each single metric: date, service, hostname, metric, pos_from, pos_to, code."""
     keys = ["date", *METRIC]
-    placed = place_rows(rows.withColumn("code", operations.state_code(F.col("status"))),
-                        operations, options, first, last)
-    states = slot_states(placed, keys, operations)
-    start = states.select(*keys).distinct().select(
-        *keys, F.lit(SEED).alias("pos"),
-        pack(F.lit(0), F.lit(operations.missing_code), operations).alias("packed"))
-    seen = states.where(F.col("pos") != SEED).unionByName(start)
-    return intervals(net_changes(settle(seen, keys, operations, options), keys), keys,
+    coded = rows.withColumn("code", operations.state_code(F.col("status")))
+    states = slot_states(coded, keys, operations, options, first, last, seeds=True)
+    return intervals(net_changes(settle(states, keys, operations, options), keys), keys,
                      options.slots)
 
 
@@ -141,11 +151,11 @@ def day_spans(periods: DataFrame, first: str, last: str, options: Options) -> Da
 def with_downtimes(downtimes: DataFrame, first: str, last: str, options: Options) -> DataFrame:
     """Downtime slots per day and endpoint: date, service, hostname, pos_from, pos_to.
 
-    ``downtimes`` has service, hostname, start_ts, end_ts. With ``options.downtimes == "first"`` the
-    earliest period of the endpoint's day, else all.
+    ``downtimes`` has service, hostname, start_ts, end_ts; with a report column it is per report. With
+    ``options.downtimes == "first"`` the earliest period of the endpoint's day, else all.
     """
     spans = day_spans(downtimes, first, last, options)
-    keys = ["date", "service", "hostname"]
+    keys = [*(c for c in ("report",) if c in downtimes.columns), "date", "service", "hostname"]
     if options.downtimes == "all":
         return spans.select(*keys, "pos_from", "pos_to")
     earliest = F.min(F.struct("start_ts", "end_ts", "pos_from", "pos_to")).alias("p")

@@ -2,8 +2,9 @@
 
 Shuffles of the whole plan, with what bounds one key in each:
 
-1. metric x slot     raw rows, combined map-side to one integer per metric, day and slot
-2. endpoint          at most 288 rows per metric of the endpoint
+1. metric x slot     raw rows, combined map-side to one integer per metric, day and slot (and monitoring
+                     host and cell, where hosts can be excluded)
+2. endpoint          reduced rows per report and day, with expected metrics and downtimes
 3. service x slot    endpoint changes, combined map-side to counts per state
 4. group             at most 288 rows per service of the group
 
@@ -74,18 +75,16 @@ def metric_changes(md: DataFrame, dims: Dimensions, operations: Operations,
     Expected metrics come in as seed rows, so absent ones need no join to be found: a metric whose
     only row is the seed is MISSING all day.
     """
-    placed = rows.relevant_rows(md, dims, operations, options, discrete=True)
-    states = rows.in_selected(slots.slot_states(placed, KEY, operations), dims, options)
+    states = rows.states(md, dims, operations, options, discrete=True)
     missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
-    seeds = rows.expected(dims, options)
-    if not options.strict:
-        seeds = seeds.unionByName(states.select(*KEY)).distinct()
-    seeds = seeds.select(*KEY, F.lit(slots.SEED).alias("pos"), missing.alias("packed"))
+    seeds = rows.expected(dims, options).select(*KEY, F.lit(slots.SEED).alias("pos"), missing.alias("packed"))
     everything = states.unionByName(seeds).withColumn("cover", F.lit(0))
     covers = downtime_covers(dims, options)
     if covers is not None:
         everything = everything.unionByName(covers)
-    return slots.settle(everything.repartition(*PLACE), KEY, operations, options)
+    one = everything.repartition(*PLACE).groupBy(*KEY, "pos").agg(
+        F.max("packed").alias("packed"), F.sum("cover").cast("int").alias("cover"))
+    return slots.settle(one, KEY, operations, options)
 
 
 def downtime_covers(dims: Dimensions, options: Options) -> DataFrame | None:

@@ -53,15 +53,15 @@ def run_availability(spark: SparkSession, md: DataFrame, reports: list[ReportInp
 def run_status(spark: SparkSession, md: DataFrame, reports: list[ReportInputs],
                operations: Operations, root: str, first: str, last: str | None = None,
                options: Options = Options()) -> None:
-    """Compute and store the four status tables, each level once."""
+    """Compute and store the four status tables. The rows with texts are written as they come; the
+    timelines are folded from rows without texts, each level once."""
     plan = st.status(spark, md, reports, operations, first, last, options)
+    store.upsert(plan.status_metrics(), root, "status_metrics")
     shared_dir(spark)
-    metrics = plan.metrics.checkpoint()
-    endpoints = st.endpoint_timelines(metrics, plan.dims, operations, options).checkpoint()
+    endpoints = plan.endpoints.checkpoint()
     services = ar.service_timelines(endpoints, plan.dims, operations).checkpoint()
     groups = ar.group_timelines(services, plan.dims, operations)
-    plan = st.StatusPlan(plan.dims, operations, metrics, endpoints, services, groups)
-    store.upsert(plan.status_metrics(), root, "status_metrics")
+    plan = st.StatusPlan(plan.dims, operations, plan.metrics, plan.events, endpoints, services, groups)
     store.upsert(plan.status_endpoints(), root, "status_endpoints")
     store.upsert(plan.status_services(), root, "status_services")
     store.upsert(plan.status_groups(), root, "status_endpoint_groups")

@@ -33,25 +33,27 @@ def host_timetables(logs: DataFrame, checks: DataFrame, downtimes: DataFrame | N
     """Timeline per day, host, flavour and profile (keys, pos, code, prev).
 
     ``checks`` has profile, service_flavour, metric: the metrics a profile calls for. Hosts are those
-    with a log row on the day or the day before.
+    with a log row on the day or the day before. Downtimes act on the flavours of these profiles. The log is
+    read once: a reduced row brings the seeds of its host with it, which combine before the shuffle.
     """
     rows = with_time(logs.withColumnRenamed("time_stamp", "timestamp"))
     rows = rows.withColumn("code", operations.state_code(F.col("status")))
-    placed = slots.place_rows(rows, operations, options, first, last)
     key = [*HOST, "metric"]
-    states = slots.slot_states(placed, key, operations)
     missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
-    called = (states.select(*HOST).distinct()
-              .join(checks.select("profile", "service_flavour", "metric").distinct(),
-                    ["profile", "service_flavour"]).select(*key))
-    seeds = called.unionByName(states.select(*key)).distinct().select(
-        *key, F.lit(slots.SEED).alias("pos"), missing.alias("packed"))
-    everything = states.unionByName(seeds).withColumn("cover", F.lit(0))
+    called = (checks.select("profile", "service_flavour", "metric").distinct()
+              .groupBy("profile", "service_flavour").agg(F.collect_list("metric").alias("_called")))
+    placed = slots.on_days(slots.latest(rows, key, operations, options), options, first, last)
+    placed = placed.withColumn("packed", slots.without_effect(operations)).join(called, ["profile", "service_flavour"], "left")
+    # a row brings the seeds of its own metric and of all that the profile calls for
+    names = F.array_union(F.coalesce("_called", F.array().cast("array<string>")), F.array("metric"))
+    entry = F.struct(F.col("metric"), F.col("pos"), F.col("packed"))
+    seeds = F.transform(names, lambda m: F.struct(m.alias("metric"), F.lit(slots.SEED).alias("pos"), missing.alias("packed")))
+    everything = placed.select(*HOST, F.explode(F.concat(F.array(entry), seeds)).alias("_e")).select(*HOST, "_e.*")
+    everything = everything.groupBy(*key, "pos").agg(F.max("packed").alias("packed")).withColumn("cover", F.lit(0))
     if downtimes is not None:
         spans = slots.with_downtimes(downtimes, first, last, options)
         spans = spans.withColumnRenamed("service", "service_flavour")
-        hosts = states.select(*HOST).distinct()
-        covered = hosts.join(spans, ["date", "hostname", "service_flavour"])
+        covered = spans.join(checks.select("profile", "service_flavour").distinct(), "service_flavour")
         covers = period_moves(covered, HOST, options.slots).select(
             *HOST, F.lit(None).cast("string").alias("metric"), "pos",
             F.lit(None).cast("int").alias("packed"), "cover")

@@ -1,62 +1,145 @@
-"""From metric data to the rows that count for each report and day."""
+"""From metric data to states per report, day and position.
+
+Raw rows reach one aggregate, before anything multiplies them: the latest state of each metric, day and
+position (a slot, or a second of the day), as an integer. Where monitoring hosts can be excluded, the
+host is part of its key, and so is the cell of the day between two borders of exclusions, inside
+which a host is excluded or not as a whole. What is left is then placed on its own day and, as
+carry-in, on the next, for each report; exclusions are taken out, and hosts are put together.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from uptrail.config import Options
 from uptrail.functions import clock
 from uptrail.functions.truth import Operations
 from uptrail.operators import selection, slots
+from uptrail.operators.changes import DETAIL
 from uptrail.operators.selection import ENDPOINT, METRIC
 from uptrail.plans.dimensions import SCOPE, Dimensions
 
 PLACE = [*SCOPE, *ENDPOINT]
 KEY = [*SCOPE, *METRIC]
+ROW = ["date", *METRIC, "pos"]
+HOST = "monitoring_host"
 
 
-def relevant_rows(md: DataFrame, dims: Dimensions, operations: Operations, options: Options,
-                  discrete: bool) -> DataFrame:
-    """Rows of the run's days and the day before, per report, placed on their target day.
+def counted(dims: Dimensions) -> DataFrame:
+    """(report, service, metric) in a report's metric profile, of services in its availability profile."""
+    return dims.checks.join(dims.mapping.select("report", "service"), ["report", "service"],
+                            "left_semi").select("report", "service", "metric").distinct()
 
-    The profile tests act here; the topology test waits until rows are pre-aggregated.
-    """
+
+def usable(md: DataFrame, dims: Dimensions, operations: Operations, options: Options) -> DataFrame:
+    """Rows of the run's days and the day before with a readable time and, where the profile tests
+    act, a metric that some report counts; with ``code``."""
     md = selection.for_date(selection.with_time(md), clock.shift(dims.first, -1), dims.last)
-    rows = md.withColumn("code", operations.state_code(F.col("status")))
+    rows = md.where("second IS NOT NULL").withColumn("code", operations.state_code(F.col("status")))
     if options.strict:
-        counted = dims.checks.join(dims.mapping.select("report", "service"),
-                                   ["report", "service"], "left_semi").select("report", "service", "metric")
-        rows = rows.join(counted.distinct(), ["service", "metric"])
-    else:
-        ids = [F.lit(r.config.id) for r in dims.reports]
-        rows = rows.withColumn("report", F.explode(F.array(*ids)))
-    placed = slots.place_rows(rows.where("second IS NOT NULL"), operations, options, dims.first,
-                              dims.last, discrete)
-    if options.strict and dims.monitor_exclusions is not None:
-        placed = _without_excluded(placed, dims.monitor_exclusions, dims.first, dims.last)
-    return placed
+        rows = rows.join(counted(dims).select("service", "metric").distinct(), ["service", "metric"], "left_semi")
+    return rows
+
+
+def excludes(dims: Dimensions, options: Options) -> bool:
+    return options.strict and dims.monitor_exclusions is not None
+
+
+def reduced(rows: DataFrame, dims: Dimensions, operations: Operations, options: Options,
+            discrete: bool) -> DataFrame:
+    """The latest state per metric, day and position [, host and cell]: ROW..., packed.
+
+    All columns of the aggregate have a fixed width or are keys, so it is a hash aggregate that
+    combines rows before the shuffle.
+    """
+    pos = clock.ts_slot(F.col("second"), options.interval, options.slots) if discrete else F.col("second")
+    keys = [*ROW]
+    if excludes(dims, options):
+        keys.append(HOST)
+        if discrete:
+            rows = rows.withColumn("cell", cell_of(F.col("second"), dims))
+            keys.append("cell")
+    packed = slots.pack(F.col("second"), F.col("code"), operations)
+    return rows.withColumn("pos", pos).groupBy(*keys).agg(F.max(packed).alias("packed"))
+
+
+def cell_of(second: Column, dims: Dimensions) -> Column:
+    """Number of the cell of the day that a second lies in.
+
+    The borders are the seconds of the day at which some exclusion starts or has just ended: 86 401
+    values at most, whatever the number of exclusions.
+    """
+    spans = excluded_spans(dims)
+    borders = spans.select(F.explode(F.array("x_from", F.col("x_to") + 1)).alias("at")).distinct()
+    known = sorted(row["at"] for row in borders.where(F.col("at").between(1, clock.DAY_SECONDS - 1)).collect())
+    cells = np.searchsorted(known, np.arange(clock.DAY_SECONDS), side="right")
+    return F.get(F.from_json(F.lit(str(cells.tolist())), "array<int>"), second)
 
 
-def _without_excluded(placed: DataFrame, exclusions: DataFrame, first: str, last: str) -> DataFrame:
-    """Anti-join on report, host and day; the second of the day is then in the period or not."""
-    low, high = F.lit(clock.shift(first, -1)).cast("date"), F.lit(last).cast("date")
-    x_days = clock.day_range(F.greatest(F.to_date("start_ts"), low),
-                             F.least(F.to_date("end_ts"), high))
-    x = exclusions.withColumn("x_date", F.explode(x_days)).select(
+def excluded_spans(dims: Dimensions) -> DataFrame:
+    """Exclusions per report, host and day: seconds from and to (both excluded with what lies between)."""
+    low, high = F.lit(clock.shift(dims.first, -1)).cast("date"), F.lit(dims.last).cast("date")
+    days = clock.day_range(F.greatest(F.to_date("start_ts"), low), F.least(F.to_date("end_ts"), high))
+    return dims.monitor_exclusions.withColumn("x_date", F.explode(days)).select(
         F.col("report").alias("x_report"), F.col("monitoring_host").alias("x_host"), "x_date",
         F.when(F.to_date("start_ts") < F.col("x_date"), 0)
          .otherwise(clock.second_of(F.col("start_ts"))).alias("x_from"),
         F.when(F.to_date("end_ts") > F.col("x_date"), clock.DAY_SECONDS)
          .otherwise(clock.second_of(F.col("end_ts"))).alias("x_to"), "from_date", "to_date")
-    hit = ((F.col("report") == F.col("x_report")) & (F.col("monitoring_host") == F.col("x_host"))
-           & (F.col("row_date") == F.col("x_date"))
-           & F.col("second").between(F.col("x_from"), F.col("x_to"))
-           & F.col("date").between(F.col("from_date"), F.col("to_date")))
-    return placed.join(x, hit, "left_anti")
+
+
+def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, options: Options,
+                discrete: bool, second: Column | None = None) -> DataFrame:
+    """Reduced rows on the days and for the reports they matter for, exclusions taken out.
+
+    ``second`` is the second of a row's day, by default that of its packed state.
+    """
+    second = slots.second_of(F.col("packed"), operations) if second is None else second
+    rows = rows.withColumn("second", second)
+    if options.strict:
+        rows = rows.join(counted(dims), ["service", "metric"])
+    else:
+        rows = rows.withColumn("report", F.explode(F.array(*[F.lit(r.config.id) for r in dims.reports])))
+    placed = slots.on_days(rows, options, dims.first, dims.last, discrete, seeds=discrete and not options.strict)
+    if excludes(dims, options):
+        x = excluded_spans(dims)
+        hit = ((F.col("report") == F.col("x_report")) & (F.col(HOST) == F.col("x_host"))
+               & (F.col("row_date") == F.col("x_date")) & F.col("second").between(F.col("x_from"), F.col("x_to"))
+               & F.col("date").between(F.col("from_date"), F.col("to_date")))
+        placed = placed.join(x, hit, "left_anti")
+    return placed
+
+
+def states(md: DataFrame, dims: Dimensions, operations: Operations, options: Options,
+           discrete: bool) -> DataFrame:
+    """Packed states per report, day, metric and position, of selected endpoints: KEY..., pos, packed.
+
+    Not yet one per key: hosts, and the positions of a day before, are still apart.
+    """
+    rows = reduced(usable(md, dims, operations, options), dims, operations, options, discrete)
+    placed = for_reports(rows, dims, operations, options, discrete)
+    if discrete:
+        placed = placed.withColumn("packed", slots.without_effect(operations))
+    return in_selected(placed.select(*KEY, "pos", "packed"), dims, options)
+
+
+def detailed(md: DataFrame, dims: Dimensions, operations: Operations, options: Options) -> DataFrame:
+    """``states`` per second with all columns of a row: KEY..., pos, second, code, DETAIL.
+
+    Of the rows of one second the highest state counts, then host and texts.
+    """
+    keys = [*ROW, *([HOST] if excludes(dims, options) else [])]
+    texts = [c for c in DETAIL if c not in keys]
+    rows = usable(md, dims, operations, options).withColumn("pos", F.col("second"))
+    rows = rows.groupBy(*keys).agg(F.max(F.struct("code", *texts)).alias("_row")).select(*keys, "_row.*")
+    placed = for_reports(rows, dims, operations, options, False, F.col("pos"))
+    latest = F.max(F.struct("second", "code", *DETAIL)).alias("_row")
+    return in_selected(placed.groupBy(*KEY, "pos").agg(latest).select(*KEY, "pos", "_row.*"), dims, options)
 
 
 def unreadable_rows(md: DataFrame) -> DataFrame:
-    """Rows whose timestamp cannot be read, for diagnosis; ``relevant_rows`` leaves them out."""
+    """Rows whose timestamp cannot be read, for diagnosis; ``usable`` leaves them out."""
     return selection.with_time(md).where("second IS NULL").select(*md.columns)
 
 

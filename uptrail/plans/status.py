@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from uptrail.config import Options, ReportInputs
 from uptrail.functions.truth import Operations
-from uptrail.operators import changes, results, selection
+from uptrail.operators import changes, results, selection, slots
 from uptrail.operators.fold import fold, moves
 from uptrail.operators.slots import CARRY, SEED
 from uptrail.plans import availability as ar, dimensions, rows
@@ -22,11 +22,12 @@ from uptrail.plans.rows import KEY, PLACE
 
 @dataclass(frozen=True)
 class StatusPlan:
-    """Annotated metric rows, and the timelines folded from them."""
+    """Annotated metric rows with texts, the same without, and the timelines folded from the latter."""
 
     dims: Dimensions
     operations: Operations
     metrics: DataFrame
+    events: DataFrame
     endpoints: DataFrame
     services: DataFrame
     groups: DataFrame
@@ -55,30 +56,35 @@ def status(spark: SparkSession, md: DataFrame, reports: list[ReportInputs],
            options: Options = Options()) -> StatusPlan:
     """The plan for all reports and the days first..last. ``md`` has a date column."""
     dims = dimensions.build(spark, reports, first, last or first, options)
-    metrics = metric_events(md, dims, operations, options)
-    endpoints = endpoint_timelines(metrics, dims, operations, options)
+    metrics = metric_events(md, dims, operations, options, texts=True)
+    events = metric_events(md, dims, operations, options)
+    endpoints = endpoint_timelines(events, dims, operations, options)
     services = ar.service_timelines(endpoints, dims, operations)
     groups = ar.group_timelines(services, dims, operations)
-    return StatusPlan(dims, operations, metrics, endpoints, services, groups)
+    return StatusPlan(dims, operations, metrics, events, endpoints, services, groups)
 
 
 def metric_events(md: DataFrame, dims: Dimensions, operations: Operations,
-                  options: Options) -> DataFrame:
-    """Rows per metric with their previous state.
+                  options: Options, texts: bool = False) -> DataFrame:
+    """Rows per metric with the state before, and with ``texts`` its name and all columns of the row.
 
     ``emitted`` marks rows of the day, and the row made for a metric nobody reported. Carry-in rows
-    stay, unmarked, because their metric is then known to be expected.
+    stay, unmarked, because their metric is then known to be expected. Timelines are folded from
+    rows without texts: integers that are combined before every shuffle.
     """
-    placed = rows.relevant_rows(md, dims, operations, options, discrete=False)
-    events = rows.in_selected(changes.distinct_seconds(placed, KEY), dims, options)
-    text = F.lit(selection.MISSING_TEXT)
-    seeds = rows.expected(dims, options).select(
-        *KEY, F.lit(SEED).alias("pos"), F.lit(0).alias("second"),
-        F.lit(operations.missing_code).alias("code"), F.lit(operations.missing).alias("status"),
-        F.lit(selection.MISSING_HOST).alias("monitoring_host"), text.alias("summary"),
-        text.alias("message"))
-    everything = events.unionByName(seeds).repartition(*PLACE)
-    known = changes.with_previous(everything, KEY, operations.missing)
+    seeds = rows.expected(dims, options).select(*KEY, F.lit(SEED).alias("pos"))
+    if texts:
+        text = F.lit(selection.MISSING_TEXT)
+        seeds = seeds.withColumns({
+            "second": F.lit(0), "code": F.lit(operations.missing_code), "status": F.lit(operations.missing),
+            "monitoring_host": F.lit(selection.MISSING_HOST), "summary": text, "message": text})
+        events = rows.detailed(md, dims, operations, options).unionByName(seeds).repartition(*PLACE)
+    else:
+        missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
+        states = rows.states(md, dims, operations, options, discrete=False)
+        placed = states.unionByName(seeds.withColumn("packed", missing)).repartition(*PLACE)
+        events = changes.with_state(placed.groupBy(*KEY, "pos").agg(F.max("packed").alias("packed")), operations)
+    known = changes.with_previous(events, KEY, operations.missing)
     return known.withColumn("emitted", (F.col("pos") > CARRY) | F.col("alone"))
 
 

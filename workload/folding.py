@@ -252,8 +252,7 @@ o.cte("m_previous", f"""
 
 
 def metric_events(t: Tables) -> DataFrame:
-    placed = slots.place_rows(coded(t), OPERATIONS, OPTIONS, *t.days, discrete=False)
-    one = changes.distinct_seconds(placed, DAY_METRIC)
+    one = changes.per_second(coded(t), DAY_METRIC, OPERATIONS, OPTIONS, *t.days)
     return changes.with_previous(one, DAY_METRIC).where(F.col("pos") >= 0)
 
 
