@@ -31,6 +31,17 @@ def query(sql: str) -> str:
     return head + sql.strip()
 
 
+def variant(prefix: str, **changed: str) -> None:
+    """The expressions once more with some of them changed: these, and all that use one of them, get
+    names with a prefix, and mean one another."""
+    done: set[str] = set()
+    for name, sql in list(CTES.items()):
+        text = changed.get(name, sql)
+        if name in changed or done & set(re.findall(r"[a-z_0-9]+", text)):
+            cte(prefix + name, re.sub(r"[a-z_0-9]+", lambda m: prefix + m[0] if m[0] in done else m[0], text))
+            done.add(name)
+
+
 def rounded(part: str, whole: str, scale: str = "1.0") -> str:
     return (f"coalesce(round(CASE WHEN {whole} <> 0 THEN {scale} * ({part})::DOUBLE / ({whole})::DOUBLE "
             f"END, 5), -1.0)")
