@@ -118,7 +118,9 @@ def test_asof(spark):
 
 @pytest.mark.parametrize("ops,op", [(OPS, "AND"), (OPS, "OR"), (GRID, "OR")])
 def test_random_folds(spark, monkeypatch, ops, op):
-    monkeypatch.setattr(fo, "BLOCK_CHANGES", 40)  # several position blocks per key
+    monkeypatch.setattr(fo, "RUN_ROWS", 40)  # several runs per key
+    monkeypatch.setattr(fo, "BLOCK", 50)  # and several blocks of positions
+    monkeypatch.setattr(fo, "LAST_BLOCK", 86_400 // 50)
     rng = random.Random(7)
     data, want = [], {}
     for k in range(12):

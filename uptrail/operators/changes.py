@@ -8,7 +8,7 @@ from uptrail.config import Options
 from uptrail.functions import clock
 from uptrail.functions.truth import Operations
 from uptrail.operators import slots
-from uptrail.operators.fold import compact, fold, moves
+from uptrail.operators.fold import compact, dealt_anew, fold, moves
 from uptrail.operators.slots import CARRY, SEED
 
 DETAIL = ["status", "monitoring_host", "summary", "message"]
@@ -86,7 +86,7 @@ def asof_state(points: DataFrame, changes: DataFrame, keys: list[str]) -> DataFr
                                    F.lit(1).alias("is_point"))))
     upto = (Window.partitionBy(*keys).orderBy("pos", "is_point")
             .rowsBetween(Window.unboundedPreceding, 0))
-    return (merged.withColumn("code", F.last("code", ignorenulls=True).over(upto))
+    return (dealt_anew(merged, keys).withColumn("code", F.last("code", ignorenulls=True).over(upto))
             .where("is_point = 1").drop("is_point"))
 
 
@@ -96,7 +96,7 @@ def align_changes(a: DataFrame, b: DataFrame, keys: list[str], op: str,
     number = operations.op_code(op)
     both = (moves(a.withColumn("member", F.lit("a")), keys, "member", number)
             .unionByName(moves(b.withColumn("member", F.lit("b")), keys, "member", number)))
-    return fold(both, keys, operations, {op})
+    return fold(dealt_anew(both, keys), keys, operations, {op})
 
 
 def status_fields(events: DataFrame) -> list[Column]:

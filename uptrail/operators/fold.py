@@ -16,14 +16,21 @@ Tables whose result depends on the order of members go through ``ordered_fold``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from uptrail.functions.truth import UNDEFINED, Operations
 
-# An ordered fold cuts the positions of a key into blocks of about this many changes.
-BLOCK_CHANGES = 100_000
+# An ordered fold takes about this many rows at a time, and cuts the positions of a key that it has to
+# split into blocks of this length; positions are seconds of a day at most.
+RUN_ROWS = 100_000
+BLOCK = 3600
+LAST_BLOCK = 86_400 // BLOCK
 
 
 def moves(timeline: DataFrame, keys: list[str], member: str, op: Column) -> DataFrame:
@@ -59,6 +66,7 @@ def fold(member_moves: DataFrame, keys: list[str], operations: Operations, ops:
     rows = ordered_fold(member_moves.where(is_ordered), keys, operations)
     if free:
         rows = rows.unionByName(_sweep(member_moves.where(~is_ordered), keys, operations, free))
+        rows = dealt_anew(rows, keys)
     return rows if covers is None else overlay(rows, covers, keys, operations, cover_code, place)
 
 
@@ -70,7 +78,7 @@ def fold_states(df: DataFrame, keys: list[str], member: str, code: str, operatio
     """
     if operations.kinds[op] == "ordered":
         flat = df.select(*keys, F.col(member).alias("member"), operations.op_code(op).alias("op"),
-                         F.lit(0).alias("pos"), F.col(code).alias("new"))
+                         F.lit(0).alias("pos"), F.col(code).alias("new"), F.lit(None).cast("int").alias("old"))
         return ordered_fold(flat, keys, operations).select(*keys, "code")
     counts = [f"n_state_{c}" for c in range(operations.size)]
     sums = [F.expr(f"sum(if(`{code}` = {c}, 1, 0)) AS {name}")
@@ -83,10 +91,20 @@ def overlay(timeline: DataFrame, covers: DataFrame, keys: list[str], operations:
             code: int, place: list[str] | None = None) -> DataFrame:
     """Replace the state by ``code`` wherever a cover lies over a timeline."""
     alone = moves(timeline.withColumn("member", F.lit("")), keys, "member", F.lit(None).cast("int"))
-    both = alone.withColumn("cover", F.lit(0)).unionByName(covers)
+    both = dealt_anew(alone.withColumn("cover", F.lit(0)).unionByName(covers), keys)
     return _sweep(both, keys, operations, set(), place, code)
 
 
+def dealt_anew(united: DataFrame, keys: list[str]) -> DataFrame:
+    """A union, partitioned by the keys.
+
+    When the sides of a union have the same partitioning, Spark 4.1 takes it for that of the union and
+    needs no shuffle for what follows. But adaptive execution merges small partitions of each side by
+    itself, and rows of one key end up apart.
+    """
+    return united.repartition(*keys)
+
+
 def _sweep(member_moves: DataFrame, keys: list[str], operations: Operations, ops: set[str],
            place: list[str] | None = None, cover_code: int | None = None) -> DataFrame:
     """``fold`` for order-free tables; no ``ops`` at all is for keys with a single member."""
@@ -156,77 +174,142 @@ def to_slots(timeline: DataFrame, keys: list[str], slots: int) -> DataFrame:
 def ordered_fold(member_moves: DataFrame, keys: list[str], operations: Operations) -> DataFrame:
     """Left fold in ascending member name, for tables where the order matters.
 
-    Combining with one more member is a map from state to state, and composing maps *is*
-    associative. So members are cut into runs by range partitioning on (keys, member), which keeps
-    their order and splits a key with many members over many tasks; each run gives, per position,
-    one map from the state before the run to the state after it; the few maps of a key are composed
-    in order. The positions of a large key are cut into blocks as well, so no task holds all of it.
+    Combining with one more member is a map from state to state, and composing maps *is* associative.
+    Range partitioning on (keys, member) keeps the order of members and splits a key with many members;
+    a task takes its rows in runs of whole members. A run composes the sparse timelines of its members two
+    by two, all keys at once, into one timeline of maps per key. Only a run's first and last key can go on
+    in another run: their timelines are cut into blocks of positions, each with the map in force where it
+    starts, and composed per key and block in the order of runs. The input is read once.
     """
     size = operations.size
     tables = {operations.op_number(op): _step_maps(operations, op)
               for op, kind in operations.kinds.items() if kind == "ordered"}
-    key_fields = [f for f in member_moves.schema.fields if f.name in keys]
-    step = "array<tinyint>"
-
-    # Member intervals, cut at block borders; each block starts with the state in force there.
-    w = Window.partitionBy(*keys, "member").orderBy("pos")
-    last = F.coalesce(F.lead("pos").over(w) - 1, F.col("limit"))
-    limit = member_moves.groupBy(*keys).agg(F.max("pos").alias("limit"),
-                                            F.count("*").alias("changes"))
-    blocks = F.floor(F.col("changes") / BLOCK_CHANGES) + 1
-    width = F.ceil((F.col("limit") + 1) / blocks).cast("int")
-    spans = (member_moves.where("new IS NOT NULL").join(limit, keys)
-             .select(*keys, "member", "op", "pos", "new", last.alias("last"),
-                     width.alias("width"))
-             .select(*keys, "member", "op", "pos", "new", "width",
-                     F.explode(F.sequence(F.floor(F.col("pos") / F.col("width")),
-                                          F.floor(F.col("last") / F.col("width")))).alias("block"))
-             .withColumn("pos", F.greatest("pos", F.col("block") * F.col("width")).cast("int"))
-             .drop("width"))
-    partitions = int(member_moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = (spans.repartitionByRange(partitions, *keys, "member")
-            .withColumn("run", F.spark_partition_id()))
-
-    out_keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-    ordered_keys = [f.name for f in key_fields]
-
-    def fold_run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = tables[pdf["op"].iloc[0]]
-        points = np.unique(pdf["pos"].to_numpy())
-        state_map = None  # (positions, size + 2): entry 0 for "nothing before", then -1, 0, 1, ...
-        for _, one in pdf.sort_values(["member", "pos"]).groupby("member", sort=True):
-            at = np.searchsorted(one["pos"].to_numpy(), points, side="right") - 1
-            maps = table[one["new"].to_numpy()[np.maximum(at, 0)] + 1]
-            maps = np.where((at >= 0)[:, None], maps, np.arange(size + 2)[None, :])
-            state_map = maps if state_map is None else np.take_along_axis(maps, state_map, axis=1)
-        return _rows(pdf, points, state_map)
-
-    def join_runs(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.unique(pdf["pos"].to_numpy())
-        state_map = None
-        for _, one in pdf.sort_values(["run", "pos"]).groupby("run", sort=True):
-            at = np.searchsorted(one["pos"].to_numpy(), points, side="right") - 1
-            maps = np.stack(one["map"].to_list())[np.maximum(at, 0)].astype(int)
-            maps = np.where((at >= 0)[:, None], maps, np.arange(size + 2)[None, :])
-            state_map = maps if state_map is None else np.take_along_axis(maps, state_map, axis=1)
-        out = pdf[ordered_keys].iloc[[0] * len(points)].reset_index(drop=True)
-        out["pos"] = points
-        out["code"] = state_map[:, 0] - 2
-        return out
-
-    def _rows(pdf: pd.DataFrame, points: np.ndarray, state_map: np.ndarray) -> pd.DataFrame:
-        change = np.ones(len(points), dtype=bool)
-        change[1:] = (state_map[1:] != state_map[:-1]).any(axis=1)
-        points, state_map = points[change], state_map[change]
-        out = pdf[ordered_keys + ["block", "run"]].iloc[[0] * len(points)].reset_index(drop=True)
-        out["pos"] = points
-        out["map"] = list(state_map.astype(np.int8))
-        return out
-
-    mapped = runs.groupBy(*keys, "block", "run").applyInPandas(
-        fold_run, f"{out_keys}, block bigint, run int, pos int, map {step}")
-    joined = mapped.groupBy(*keys, "block").applyInPandas(join_runs, f"{out_keys}, pos int, code int")
-    return compact(joined.where(F.col("code") >= -1), keys)
+    stacked = np.zeros((max(tables) + 1, size + 1, size + 2), np.int8)
+    for number, maps in tables.items():
+        stacked[number] = maps
+    fields = {f.name: f.dataType.simpleString() for f in member_moves.schema.fields if f.name in keys}
+    out_keys = ", ".join(f"`{name}` {fields[name]}" for name in keys)
+
+    def fold_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition = TaskContext.get().partitionId()
+        for number, run in enumerate(_whole_groups(batches, [*keys, "member"], RUN_ROWS)):
+            key = _numbered(run, keys)
+            member = _numbered(run, [*keys, "member"])
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            node = member - member[first][key]
+            pos = run.column("pos").to_numpy().astype(np.int64)
+            maps = stacked[run.column("op").to_numpy(), run.column("new").to_numpy() + 1]
+            key, pos, maps = _composed(key, node, pos, maps)
+            split = (key == 0) | (key == key.max())
+            source, code, block = first[key], maps[:, 0].astype(np.int32) - 2, np.where(split, pos // BLOCK, -1)
+            if split.any():  # the map in force at the start of each later block
+                ends = np.flatnonzero(split & np.append(np.diff(key) != 0, True))
+                extra, starts = [], []
+                for k, end in zip(key[ends], ends):
+                    own = np.flatnonzero(key == k)
+                    borders = np.arange(pos[own[0]] // BLOCK + 1, LAST_BLOCK + 1)
+                    at = np.searchsorted(pos[own], borders * BLOCK, side="right") - 1
+                    fresh = pos[own[at]] < borders * BLOCK
+                    extra.append(own[at[fresh]])
+                    starts.append(borders[fresh])
+                extra, starts = np.concatenate(extra), np.concatenate(starts)
+                source, code = np.append(source, source[extra]), np.append(code, code[extra])
+                pos, block = np.append(pos, starts * BLOCK), np.append(block, starts)
+                maps, split = np.concatenate([maps, maps[extra]]), np.append(split, np.ones(len(extra), bool))
+            yield from _result(run, keys, source, {
+                "block": pa.array(block, pa.int64()), "run": pa.array(np.full(len(pos), partition << 32 | number), pa.int64()),
+                "pos": pa.array(pos, pa.int32()), "code": pa.array(code, pa.int32()),
+                "map": pa.array([m.tobytes() if s else None for m, s in zip(maps, split)], pa.binary())})
+
+    def join_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_groups(batches, [*keys, "block"], RUN_ROWS):
+            ready = pa.compute.less(part.column("block"), 0)
+            whole = part.filter(ready)
+            yield from whole.select([*keys, "pos", "code"]).to_batches()
+            part = part.filter(pa.compute.invert(ready))
+            if part.num_rows:
+                key, run = _numbered(part, [*keys, "block"]), _numbered(part, [*keys, "block", "run"])
+                first = np.flatnonzero(np.diff(key, prepend=-1))
+                maps = np.frombuffer(b"".join(part.column("map").to_pylist()), np.int8).reshape(-1, size + 2)
+                key, pos, maps = _composed(key, run - run[first][key], part.column("pos").to_numpy().astype(np.int64), maps)
+                yield from _result(part, keys, first[key], {
+                    "pos": pa.array(pos, pa.int32()), "code": pa.array(maps[:, 0].astype(np.int32) - 2, pa.int32())})
+
+    moved = member_moves.where("new IS NOT NULL").select(
+        *keys, "member", "op", "pos", F.col("old").isNotNull().alias("later"), "new")
+    runs = moved.repartitionByRange(*keys, "member").sortWithinPartitions(*keys, "member", "pos", "later")
+    mapped = runs.mapInArrow(fold_runs, f"{out_keys}, block long, run long, pos int, code int, map binary")
+    mapped = mapped.repartition(*keys, "block").sortWithinPartitions(*keys, "block", "run", "pos")
+    joined = mapped.mapInArrow(join_runs, f"{out_keys}, pos int, code int")
+    return compact(joined.where(F.col("code") >= UNDEFINED), keys)
+
+
+def _result(rows: pa.Table, keys: list[str], source: np.ndarray, more: dict[str, pa.Array]) -> list[pa.RecordBatch]:
+    taken = rows.select(keys).take(pa.array(source))
+    for name, column in more.items():
+        taken = taken.append_column(name, column)
+    return taken.combine_chunks().to_batches()
+
+
+def _changes(rows: pa.Table, columns: list[str]) -> np.ndarray:
+    """True where a row differs in some column from the row before; nulls are alike."""
+    new = np.ones(rows.num_rows, bool)
+    if rows.num_rows:
+        new[1:] = False
+        for name in columns:
+            kinds = rows.column(name).combine_chunks().dictionary_encode().indices
+            codes = np.asarray(kinds.fill_null(-1))
+            new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def _numbered(rows: pa.Table, columns: list[str]) -> np.ndarray:
+    """The number of each row's group; equal rows stand together."""
+    return np.cumsum(_changes(rows, columns)) - 1
+
+
+def _whole_groups(batches: Iterable[pa.RecordBatch], columns: list[str], rows: int) -> Iterator[pa.Table]:
+    """Ordered batches as tables of at least so many rows, but the last, that cut no group of these columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            table = pa.Table.from_batches(held)
+            last = int(np.flatnonzero(_changes(table, columns))[-1])
+            if last:
+                yield table.slice(0, last)
+            held = table.slice(last).to_batches()
+    if held and (table := pa.Table.from_batches(held)).num_rows:
+        yield table
+
+
+def _composed(key: np.ndarray, node: np.ndarray, pos: np.ndarray, maps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Timelines of maps of the nodes 0, 1, 2, ... of each key as one per key: key, pos, map.
+
+    A round joins neighbouring nodes: at each position of either, the later map after the earlier
+    one. There are as many rounds as the number of nodes has binary digits.
+    """
+    size = maps.shape[1]
+    while True:
+        side, parent = node & 1, node >> 1
+        order = np.lexsort((np.arange(len(key)), pos, parent, key))
+        key, parent, pos, side, maps = key[order], parent[order], pos[order], side[order], maps[order]
+        group = np.ones(len(key), bool)
+        group[1:] = (key[1:] != key[:-1]) | (parent[1:] != parent[:-1])
+        start = np.maximum.accumulate(np.where(group, np.arange(len(key)), 0))
+        value = np.broadcast_to(np.arange(size, dtype=np.int8), maps.shape)
+        for which in (0, 1):
+            at = np.maximum.accumulate(np.where(side == which, np.arange(len(key)), -1))
+            held = np.where((at >= start)[:, None], maps[np.maximum(at, 0)], np.arange(size, dtype=np.int8)[None, :])
+            value = np.take_along_axis(held, value.astype(np.intp), axis=1)
+        last = np.ones(len(key), bool)
+        last[:-1] = group[1:] | (pos[1:] != pos[:-1])
+        key, node, pos, maps, group = key[last], parent[last], pos[last], value[last], None
+        same = np.zeros(len(key), bool)
+        same[1:] = (key[1:] == key[:-1]) & (node[1:] == node[:-1]) & (maps[1:] == maps[:-1]).all(axis=1)
+        key, node, pos, maps = key[~same], node[~same], pos[~same], maps[~same]
+        if not node.any():
+            return key, pos, maps
 
 
 def _step_maps(operations: Operations, op: str) -> np.ndarray:

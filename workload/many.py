@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from uptrail.config import ReportConfig, ReportInputs
 from uptrail.plans import availability as ar, status as st
+from uptrail.sources.defaults import grid_operations
 from workload import oracle as o
 from workload.core import RATES
 from workload.queries import OPERATIONS, OPTIONS, register
@@ -74,3 +75,47 @@ def group_ar_many_reports(t: Tables) -> DataFrame:
               FROM many_group_points""")
 def status_groups_many_reports(t: Tables) -> DataFrame:
     return st.status(t.spark, t.metric_data(), many_reports(t), OPERATIONS, *t.days, OPTIONS).status_groups()
+
+
+# -- a truth table whose result depends on the order of members -----------------------------------
+
+GRID = grid_operations()
+GRID_OR = "[" + ",".join(str(x) for row in GRID.tables["OR"] for x in row) + "]"
+
+
+def ordered_fold(op: str, code: str, member: str) -> str:
+    """AND is a maximum of codes; OR combines members in ascending name."""
+    return (f"CASE WHEN {op} = 'AND' THEN max({code}) ELSE list_reduce(list({code}::INT ORDER BY {member}), "
+            f"lambda a, b: {GRID_OR}[a * 6 + b + 1]) END")
+
+
+def _ordered(name: str, op: str, member: str) -> tuple[str, str]:
+    sql = o.CTES[name].replace(o.fold(f"any_value({op})", "code"), ordered_fold(f"any_value({op})", "code", member))
+    return name, sql.replace("p.pos, s.code, s.op FROM", f"p.pos, s.code, s.op, s.{member} FROM")
+
+
+o.variant("cyclic_", **dict([
+    _ordered("endpoint_fold", "metric_op", "metric"), _ordered("service_slots", "svc_op", "f.hostname"),
+    _ordered("ag_slots", "group_op", "s.service"), _ordered("total_slots", "total_op", "ag"),
+    _ordered("endpoint_points", "op", "metric"), _ordered("service_points", "op", "hostname"),
+    _ordered("ag_points", "op", "service"), _ordered("group_points", "op", "ag")]))
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date, service AS name, grp AS supergroup, {RATES}
+              FROM cyclic_service_rates""")
+def service_ar_cyclic(t: Tables) -> DataFrame:
+    return ar.availability(t.spark, t.metric_data(), t.reports(), GRID, *t.days, OPTIONS).service_ar()
+
+
+@register(f"""SELECT r.report, {o.date_int('r.date')} AS date, r.grp AS name, gg.grp AS supergroup,
+                     coalesce(weight, 0) AS weight, {RATES}
+              FROM cyclic_group_rates r LEFT JOIN gg ON gg.subgroup = r.grp LEFT JOIN wt ON wt.site = r.grp""")
+def group_ar_cyclic(t: Tables) -> DataFrame:
+    return ar.availability(t.spark, t.metric_data(), t.reports(), GRID, *t.days, OPTIONS).group_ar()
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date_integer, grp AS endpoint_group,
+                     {o.stamp('date', 'pos')} AS "timestamp", {o.name_of('code')} AS status
+              FROM cyclic_group_points""")
+def status_groups_cyclic(t: Tables) -> DataFrame:
+    return st.status(t.spark, t.metric_data(), t.reports(), GRID, *t.days, OPTIONS).status_groups()
