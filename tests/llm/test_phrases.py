@@ -51,7 +51,7 @@ def test_like_plain_counts(spark, monkeypatch):
     rows = [*texts(1, 260), ("en", "to be. " * 300 + "a b " * 400), ("en", None), ("en", ""), (None, " \t\n"), ("fr", "only. once"), ("en", "!?")]
     monkeypatch.setattr(phrases, "SHARD_BYTES", 900)
     assert len(check(spark, rows, least=9)) > 40
-    monkeypatch.setattr(phrases, "SHARD_BYTES", 16 << 20)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", 8 << 20)
     check(spark, rows, 1, least=5, depth=3, keep=7)
 
 
@@ -65,7 +65,7 @@ def test_nothing(spark):
 
 def test_two_sided_steps():
     rng = np.random.default_rng(2)
-    words = np.concatenate([[0], rng.integers(0, 4, 400), [0]])
+    words = np.concatenate([[0], rng.integers(0, 4, 400), [0]]).astype(np.int32)
     _, before, back = phrases.index(words, 4)
     _, behind, forth = phrases.index(words[::-1].copy(), 4)
     counts = np.bincount(words, minlength=4)

@@ -23,10 +23,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from uptrail.llm.bwt import load, save
-from uptrail.llm.common import LOWER, bounded_batches, discard, mix, scratch, slices, utf8, written
+from uptrail.llm.common import LOWER, bounded_batches, discard, discard_folder, mix, scratch, slices, utf8, written
 
 #: Bytes of text in a shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09]] = True
 STOP = np.zeros(256, bool)
@@ -37,6 +37,17 @@ ROWS = "kind string, shard string, bucket int, a binary, b binary, c binary"
 FIELDS = [("kind", pa.string()), ("shard", pa.string()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())]
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers, the first bytes of all, then the second ones, and so on, compressed."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def restored(raw: bytes, kind: type) -> np.ndarray:
+    plain = pa.decompress(memoryview(raw)[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def rows(items: list[tuple]) -> pa.Table:
     columns = list(zip(*items, strict=True)) or [[]] * len(FIELDS)
     return pa.Table.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, FIELDS, strict=True)], names=[n for n, _ in FIELDS])
@@ -87,9 +98,13 @@ def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def ranked(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Ranks of pairs, in order of the first, then the second; 0 where the first is 0."""
-    key = np.where(first > 0, (first << 32) | second, 0)
-    values, rank = np.unique(key, return_inverse=True)
-    return rank if len(values) and values[0] == 0 else rank + 1
+    key = (first.astype(np.int64) << 32) | second
+    key[first == 0] = 0
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    rank = np.empty(len(key), np.int32)
+    rank[order] = np.cumsum(np.diff(key, prepend=0) > 0, dtype=np.int32)
+    return rank
 
 
 def shifted(x: np.ndarray, by: int) -> np.ndarray:
@@ -101,36 +116,43 @@ def shifted(x: np.ndarray, by: int) -> np.ndarray:
 def index(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of all suffixes by their first `depth` words, the word before each, and the step back:
     the place in the order of the suffix that starts one word before. Word 0 is an end."""
-    known, rank = 1, words.astype(np.int64)
+    known, rank = 1, words
     while known < depth:
         step = min(known, depth - known)
         rank = ranked(rank, shifted(rank, step))
         known += step
     order = np.argsort(rank, kind="stable")
     before = words[order - 1]  # the text starts with an end, and its last word is one
-    step = np.empty(len(words), np.int64)
-    step[np.argsort(before, kind="stable")] = np.arange(len(words))
-    return order, before, step
+    return order, before, stepped(before)
+
+
+def stepped(before: np.ndarray) -> np.ndarray:
+    """For each place of an order the place of the suffix that starts one word before."""
+    step = np.empty(len(before), np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(len(before), dtype=np.int32)
+    return step
 
 
 def spread(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All places of these ranges, and the range of each."""
-    ends = np.cumsum(size)
-    which = np.repeat(np.arange(len(size)), size)
-    return np.arange(int(ends[-1]) if len(ends) else 0) - (ends - size)[which] + start[which], which
+    ends = np.cumsum(size, dtype=np.int32)
+    which = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    return np.arange(len(which), dtype=np.int32) + (start - ends + size).astype(np.int32)[which], which
 
 
 def extended(start: np.ndarray, size: np.ndarray, other: np.ndarray, before: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, ...]:
     """One word more: the ranges in the order that is stepped through, those in the other order, the
     sizes, and the phrase each comes from. The other order splits a phrase's range by that word."""
     place, which = spread(start, size)
-    word = before[place]
-    order, first = grouped(which, word)
-    sizes = np.diff(np.append(first, len(order)))
-    head = order[first]
-    inside = first - (np.cumsum(size) - size)[which[head]]
-    alive = word[head] > 0
-    return step[place[head]][alive], (other[which[head]] + inside)[alive], sizes[alive], which[head][alive]
+    key = (which.astype(np.int64) << 32) | before[place]
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    sizes = np.diff(np.append(first, len(key))).astype(np.int32)
+    head, alive = order[first], (key[first] & 0xFFFFFFFF) > 0
+    origin = which[head]
+    inside = (first - (np.cumsum(size, dtype=np.int64) - size)[origin]).astype(np.int32)
+    return step[place[head]][alive], (other[origin] + inside)[alive], sizes[alive], origin[alive]
 
 
 def bucket_of(left: np.ndarray, right: np.ndarray, buckets: int) -> np.ndarray:
@@ -149,6 +171,7 @@ class Miner:
     """The steps of a shard and of a bucket, each a function on their rows."""
 
     def __init__(self, folder: str, depth: int, least: int, buckets: int):
+        """Files of words, indexes and each round's ranges have folders of their own below folder."""
         self.folder, self.depth, self.least, self.buckets = folder, depth, least, buckets
 
     def shards(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +201,11 @@ class Miner:
         # a word of one language: its number is the place of the pair among the shard's own
         pairs, numbers, counts = np.unique(kinds.indices.to_numpy().astype(np.int64) * max(1, len(langs)) + lang, return_inverse=True, return_counts=True)
         word, of_lang = kinds.dictionary.take(pa.array(pairs // max(1, len(langs)))), pairs % max(1, len(langs))
-        file = save(self.folder, numbers=numbers.astype(np.int32), closed=closed, buckets=np.zeros(0))
+        file = save(f"{self.folder}/words", numbers=numbers.astype(np.int32), closed=closed, buckets=np.zeros(0))
         items = [("state", file, None, None, None, None)]
         items += [("total", file, None, name.encode(), int(n).to_bytes(8, "little"), None) for name, n in zip(langs.to_pylist(), total, strict=True)]
         names_of = pc.binary_join_element_wise(langs.cast(pa.binary()).take(pa.array(of_lang)), word, b"\0")
-        return rows([*items, ("words", file, None, packed_words(names_of), counts.astype("<i8").tobytes(), None)])
+        return rows([*items, ("words", file, None, packed_words(names_of), squeezed(counts.astype(np.int64)), None)])
 
     def ask_words(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Deals a shard's words out to the buckets that add up their counts."""
@@ -191,8 +214,8 @@ class Miner:
                 if row["kind"] != "words":
                     yield from rows([tuple(row[n] for n, _ in FIELDS)]).to_batches()
                     continue
-                words, counts = unpacked_words(row["a"]), np.frombuffer(row["b"], "<i8")
-                items = [("ask", row["shard"], b, packed_words(words.take(pa.array(own))), counts[own].tobytes(), own.astype("<i4").tobytes())
+                words, counts = unpacked_words(row["a"]), restored(row["b"], np.int64)
+                items = [("ask", row["shard"], b, packed_words(words.take(pa.array(own))), squeezed(counts[own]), squeezed(own.astype(np.int32)))
                          for b, own in parts(word_bucket(words, self.buckets), self.buckets)]
                 yield from rows(items).to_batches()
 
@@ -200,7 +223,7 @@ class Miner:
         """Numbers for the words of a bucket that are frequent in the corpus."""
         group = group.sort_by("shard")
         asked = [unpacked_words(a) for a in group.column("a").to_pylist()]
-        counts = np.concatenate([np.frombuffer(b, "<i8") for b in group.column("b").to_pylist()])
+        counts = np.concatenate([restored(b, np.int64) for b in group.column("b").to_pylist()])
         kinds = pa.chunked_array(asked).combine_chunks().dictionary_encode()
         which = kinds.indices.to_numpy()
         total = np.zeros(len(kinds.dictionary), np.int64)
@@ -209,22 +232,24 @@ class Miner:
         bucket = group.column("bucket")[0].as_py()
         number = np.zeros(len(total), np.int64)
         number[frequent] = (np.arange(len(frequent)) * self.buckets + bucket) + 1
-        found = ("found", None, bucket, number[frequent].tobytes(), packed_words(kinds.dictionary.take(pa.array(frequent))), total[frequent].tobytes())
-        return self.answers(group, which, number, [len(a) for a in asked], found)
+        found = ("found", None, bucket, squeezed(number[frequent]), packed_words(kinds.dictionary.take(pa.array(frequent))), squeezed(total[frequent]))
+        spots = [restored(c, np.int32) for c in group.column("c").to_pylist()]
+        return self.answers(group, which, number, [len(a) for a in asked], spots, found)
 
-    def answers(self, group: pa.Table, which: np.ndarray, number: np.ndarray, sizes: list[int], found: tuple) -> pa.Table:
+    def answers(self, group: pa.Table, which: np.ndarray, number: np.ndarray, sizes: list[int], spots: list[np.ndarray], found: tuple) -> pa.Table:
         cut = np.split(number[which], np.cumsum(sizes)[:-1])
-        spots = [np.frombuffer(c, "<i4") for c in group.column("c").to_pylist()]
-        items = [("answer", s, found[2], x[x > 0].tobytes(), spot[x > 0].tobytes(), None)
+        items = [("answer", s, found[2], squeezed(x[x > 0]), squeezed(spot[x > 0]), None)
                  for s, x, spot in zip(group.column("shard").to_pylist(), cut, spots, strict=True) if (x > 0).any()]
         return rows([found, *items])
 
     def count_phrases(self, group: pa.Table) -> pa.Table:
         """Numbers for the phrases of a bucket that are frequent in the corpus."""
         group = group.sort_by("shard")
-        asked = [np.frombuffer(a, "<i8").reshape(2, -1) for a in group.column("a").to_pylist()]
+        asked = [restored(a, np.int64).reshape(2, -1) for a in group.column("a").to_pylist()]
+        for names in asked:
+            np.cumsum(names[0], out=names[0])
         names = np.concatenate(asked, axis=1)
-        counts = np.concatenate([np.frombuffer(b, "<i8") for b in group.column("b").to_pylist()])
+        counts = np.concatenate([restored(b, np.int32) for b in group.column("b").to_pylist()]).astype(np.int64)
         order, first = grouped(names[0], names[1])
         which = np.empty(len(order), np.int64)
         which[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
@@ -233,8 +258,11 @@ class Miner:
         bucket = group.column("bucket")[0].as_py()
         number = np.zeros(len(total), np.int64)
         number[frequent] = (np.arange(len(frequent)) * self.buckets + bucket) + 1
-        found = ("found", None, bucket, number[frequent].tobytes(), names[:, order[first[frequent]]].tobytes(), total[frequent].tobytes())
-        return self.answers(group, which, number, [a.shape[1] for a in asked], found)
+        found = ("found", None, bucket, squeezed(number[frequent]), squeezed(names[:, order[first[frequent]]].ravel()), squeezed(total[frequent]))
+        sizes = [a.shape[1] for a in asked]
+        starts = [int.from_bytes(c, "little") for c in group.column("c").to_pylist()]
+        spots = [np.arange(x, x + n, dtype=np.int32) for x, n in zip(starts, sizes, strict=True)]
+        return self.answers(group, which, number, sizes, spots, found)
 
     def answered(self, group: pa.Table, many: int) -> tuple[str, np.ndarray]:
         """The shard's file, and the numbers of what it asked; 0 for what is not frequent."""
@@ -242,61 +270,66 @@ class Miner:
         for kind, shard, a, b in zip(*(group.column(n).to_pylist() for n in ("kind", "shard", "a", "b")), strict=True):
             file = shard
             if kind == "answer":
-                out[np.frombuffer(b, "<i4")] = np.frombuffer(a, "<i8")
+                out[restored(b, np.int32)] = restored(a, np.int64)
         return file, out
 
     def build(self, group: pa.Table) -> pa.Table:
         """The indexes of a shard over its frequent words; asks for its phrases of two words."""
         file = group.column("shard")[0].as_py()
-        kept = load(self.folder, file)
+        kept = load(f"{self.folder}/words", file)
         numbers, closed = kept["numbers"], kept["closed"]
         _, ids = self.answered(group, int(numbers.max(initial=-1)) + 1)
         alive = ids > 0
-        local = np.where(alive, np.cumsum(alive), 0)
+        local = np.where(alive, np.cumsum(alive), 0).astype(np.int32)
         # words with an end behind each piece and in place of each rare word; the text starts with one
         slot = np.arange(len(numbers)) + np.concatenate([[0], np.cumsum(closed)[:-1]]) + 1 if len(numbers) else np.zeros(0, np.int64)
-        words = np.zeros(len(numbers) + int(closed.sum()) + 2, np.int64)
+        words = np.zeros(len(numbers) + int(closed.sum()) + 2, np.int32)
         words[slot] = local[numbers]
+        del numbers, closed, kept, slot
         keep = np.ones(len(words), bool)
         keep[1:] = (words[1:] > 0) | (words[:-1] > 0)
         words = words[keep]
         if words[-1]:
-            words = np.append(words, 0)
-        order, before, back = index(words, self.depth)
-        backwards = words[::-1].copy()
-        _, behind, forth = index(backwards, self.depth)
-        counts = np.bincount(words, minlength=int(alive.sum()) + 1)
+            words = np.append(words, np.int32(0))
+        _, before, back = index(words, self.depth)
+        _, behind, forth = index(words[::-1].copy(), self.depth)
+        counts = np.bincount(words, minlength=int(alive.sum()) + 1).astype(np.int32)
         size = counts[1:]
-        start = np.cumsum(counts)[:-1]
-        small = np.int32
-        index_file = save(self.folder, before=before.astype(small), back=back.astype(small), behind=behind.astype(small), forth=forth.astype(small))
-        return self.step(index_file, before, back, behind, forth, start, start, size, ids[alive])
+        start = np.cumsum(counts, dtype=np.int32)[:-1]
+        index_file = save(f"{self.folder}/index", before=before, behind=behind)
+        return self.step(index_file, 1, before, back, behind, forth, start, start, size, ids[alive])
 
-    def step(self, index_file: str, before, back, behind, forth, start, other, size, ids) -> pa.Table:
+    def step(self, index_file: str, h: int, before, back, behind, forth, start, other, size, ids) -> pa.Table:
         """Phrases one word longer than these, where the steps to both sides meet."""
         a_start, a_other, a_size, a_from = extended(start, size, other, before, back)
         b_other, b_start, _, b_from = extended(other, size, start, behind, forth)
-        at = np.full(len(before), -1, np.int64)
-        at[b_start] = np.arange(len(b_start))
+        at = np.full(len(before), -1, np.int32)
+        at[b_start] = np.arange(len(b_start), dtype=np.int32)
         meet = at[a_start]
         both = np.flatnonzero(meet >= 0)
         # on the left one word was put before its last words, on the right one behind its first
         left, right = ids[b_from[meet[both]]], ids[a_from[both]]
-        file = save(self.folder, start=a_start[both], other=a_other[both], size=a_size[both])
         bucket = bucket_of(left, right, self.buckets)
-        asks = [("ask", index_file, b, np.concatenate([left[own], right[own]]).tobytes(), a_size[both][own].astype("<i8").tobytes(),
-                 own.astype("<i4").tobytes()) for b, own in parts(bucket, self.buckets)]
+        # in the order of buckets and names: a bucket's names are a stretch of the file, and pack well
+        order = np.lexsort((right, left, bucket))
+        own = both[order]
+        left, right, sizes = left[order], right[order], a_size[own]
+        file = save(f"{self.folder}/ranges-{h}", start=a_start[own], other=a_other[own], size=sizes)
+        cut = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        asks = [("ask", index_file, b, squeezed(np.concatenate([np.diff(left[x:y], prepend=0), right[x:y]])), squeezed(sizes[x:y].astype(np.int32)),
+                 int(x).to_bytes(8, "little")) for b, (x, y) in enumerate(zip(cut.tolist(), cut[1:].tolist())) if y > x]
         return rows([("state", index_file, None, file.encode(), None, None), *asks])
 
-    def extend(self, group: pa.Table) -> pa.Table:
+    def extend(self, group: pa.Table, h: int) -> pa.Table:
         """Phrases one word longer than those of the shard that are frequent."""
         kinds = group.column("kind").to_pylist()
         state = kinds.index("state")
-        ranges = load(self.folder, group.column("a")[state].as_py().decode())
+        ranges = load(f"{self.folder}/ranges-{h - 1}", group.column("a")[state].as_py().decode())
         file, ids = self.answered(group, len(ranges["size"]))
         own = np.flatnonzero(ids)
-        kept = load(self.folder, file)
-        return self.step(file, kept["before"], kept["back"], kept["behind"], kept["forth"],
+        kept = load(f"{self.folder}/index", file)
+        before, behind = kept["before"], kept["behind"]
+        return self.step(file, h, before, stepped(before), behind, stepped(behind),
                          ranges["start"][own], ranges["other"][own], ranges["size"][own], ids[own])
 
 
@@ -339,20 +372,28 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", depth: int
     many = max(1, shards.where("kind = 'state'").count())
     miner = Miner(folder, depth, least, many)
     totals = shards.where("kind = 'total'").mapInArrow(total_rows, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = written(totals, "phrases-totals")
     asked = written(shards.where("kind IN ('state', 'words')").repartition(many).mapInArrow(miner.ask_words, ROWS), "phrases-asked")
+    discard(shards)
     levels: list[DataFrame] = []
     for h in range(1, depth + 1):
         counted = written(asked.where("kind = 'ask'").groupBy("bucket").applyInArrow(counts_of(miner, h), ROWS), "phrases-counted")
         found = counted.where("kind = 'found'")
         if h == 1:
-            levels.append(found.mapInArrow(word_rows, "number long, lang string, word string, a long"))
+            found = found.mapInArrow(word_rows, "number long, lang string, word string, a long")
         else:
-            levels.append(found.mapInArrow(phrase_rows, "number long, left long, right long, a long"))
+            found = found.mapInArrow(phrase_rows, "number long, left long, right long, a long")
+        levels.append(written(found, "phrases-found"))
+        following = None
         if h < depth:
             back = asked.where("kind = 'state'").unionByName(counted.where("kind = 'answer'"))
             following = written(back.groupBy("shard").applyInArrow(longer_of(miner, h), ROWS), "phrases-asked")
-            discard(asked)
-            asked = following
+        # what the next round does not read
+        discard(asked)
+        discard(counted)
+        discard_folder(spark, f"{folder}/words" if h == 1 else f"{folder}/ranges-{h - 1}")
+        asked = following
+    discard_folder(spark, folder)
     return totals, levels
 
 
@@ -364,7 +405,7 @@ def counts_of(miner: Miner, h: int):
 
 def longer_of(miner: Miner, h: int):
     def run(group: pa.Table) -> pa.Table:
-        return miner.build(group) if h == 1 else miner.extend(group)
+        return miner.build(group) if h == 1 else miner.extend(group, h)
     return run
 
 
@@ -378,16 +419,16 @@ def word_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             names = [w.split(b"\0", 1) for w in unpacked_words(row["b"]).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["a"], "<i8")), pa.array([x.decode() for x, _ in names], pa.string()),
-                                              pa.array([x.decode() for _, x in names], pa.string()), pa.array(np.frombuffer(row["c"], "<i8"))],
+            yield pa.RecordBatch.from_arrays([pa.array(restored(row["a"], np.int64)), pa.array([x.decode() for x, _ in names], pa.string()),
+                                              pa.array([x.decode() for _, x in names], pa.string()), pa.array(restored(row["c"], np.int64))],
                                              names=["number", "lang", "word", "a"])
 
 
 def phrase_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            left, right = np.frombuffer(row["b"], "<i8").reshape(2, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.frombuffer(row["a"], "<i8"), left, right, np.frombuffer(row["c"], "<i8"))],
+            left, right = restored(row["b"], np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (restored(row["a"], np.int64), left, right, restored(row["c"], np.int64))],
                                              names=["number", "left", "right", "a"])
 
 
