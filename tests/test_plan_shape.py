@@ -62,3 +62,48 @@ def test_one_hot_metric(spark):
     assert slots.slot_states(rows, keys, fx.ops, Options(), D, D).count() <= 288
     a = availability(spark, fx.md.unionByName(hot), [fx.report], fx.ops, D)
     assert a.service_ar().count() == availability(spark, fx.md, [fx.report], fx.ops, D).service_ar().count()
+
+
+def counted(df):
+    plan = text(df)
+    return len(re.findall(r"FileScan|LocalTableScan|Scan ExistingRDD", plan)), len(re.findall(r"Exchange ", plan))
+
+
+def test_as_many_scans_and_shuffles_for_eight_reports_as_for_one(spark, fx):
+    from dataclasses import replace
+    many = [replace(fx.report, config=replace(fx.report.config, id=f"R{i}", egroup_tags={"production": "YN"[i % 2]},
+                                              ggroup_tags={"certification": f"c{i % 3}"} if i % 4 else {})) for i in range(8)]
+    for build in (lambda r: availability(spark, fx.md, r, fx.ops, P, D).service_ar(),
+                  lambda r: availability(spark, fx.md, r, fx.ops, P, D).group_ar(),
+                  lambda r: status(spark, fx.md, r, fx.ops, P, D).status_groups()):
+        assert counted(build(many)) == counted(build(many[:1]))
+
+
+def test_status_timelines_are_folded_without_texts_and_sorts(spark, fx, tmp_path):
+    path = str(tmp_path / "md")
+    fx.md.write.partitionBy("date").parquet(path)
+    s = status(spark, spark.read.parquet(path), [fx.report], fx.ops, P, D)
+    for df in (s.status_endpoints(), s.status_services(), s.status_groups()):
+        plan = text(df)
+        assert "SortAggregate" not in plan and "message" not in plan and "summary" not in plan
+
+
+def test_excluded_hosts_meet_reduced_rows_only(spark, fx, tmp_path):
+    """Without broadcasts, raw rows reach the first aggregate before they are dealt by anything."""
+    path = str(tmp_path / "md")
+    fx.md.write.partitionBy("date").parquet(path)
+    from dataclasses import replace
+    x = spark.sql(f"""SELECT '{fx.report.config.id}' AS report, 'mon' AS monitoring_host, TIMESTAMP_NTZ '{D} 01:00:00' AS start_ts,
+                      TIMESTAMP_NTZ '{D} 02:00:30' AS end_ts, DATE '{D}' AS from_date, DATE '{D}' AS to_date""")
+    x.write.parquet(str(tmp_path / "x"))
+    report = replace(fx.report, monitor_exclusions=spark.read.parquet(str(tmp_path / "x")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        plan = text(availability(spark, spark.read.parquet(path), [report], fx.ops, D).service_ar())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    at = plan.index(str(tmp_path / "md").replace("/", "/"))
+    above = plan[:plan.rindex("FileScan", 0, at)].splitlines()
+    first = next(line for line in reversed(above) if "Exchange " in line or "HashAggregate" in line)
+    assert "partial_max" in first
+    assert "monitoring_host" in first

@@ -32,14 +32,10 @@ def counted(dims: Dimensions) -> DataFrame:
                             "left_semi").select("report", "service", "metric").distinct()
 
 
-def usable(md: DataFrame, dims: Dimensions, operations: Operations, options: Options) -> DataFrame:
-    """Rows of the run's days and the day before with a readable time and, where the profile tests
-    act, a metric that some report counts; with ``code``."""
+def usable(md: DataFrame, dims: Dimensions, operations: Operations) -> DataFrame:
+    """Rows of the run's days and the day before with a readable time; with ``code``."""
     md = selection.for_date(selection.with_time(md), clock.shift(dims.first, -1), dims.last)
-    rows = md.where("second IS NOT NULL").withColumn("code", operations.state_code(F.col("status")))
-    if options.strict:
-        rows = rows.join(counted(dims).select("service", "metric").distinct(), ["service", "metric"], "left_semi")
-    return rows
+    return md.where("second IS NOT NULL").withColumn("code", operations.state_code(F.col("status")))
 
 
 def excludes(dims: Dimensions, options: Options) -> bool:
@@ -117,7 +113,7 @@ def states(md: DataFrame, dims: Dimensions, operations: Operations, options: Opt
 
     Not yet one per key: hosts, and the positions of a day before, are still apart.
     """
-    rows = reduced(usable(md, dims, operations, options), dims, operations, options, discrete)
+    rows = reduced(usable(md, dims, operations), dims, operations, options, discrete)
     placed = for_reports(rows, dims, operations, options, discrete)
     if discrete:
         placed = placed.withColumn("packed", slots.without_effect(operations))
@@ -131,7 +127,7 @@ def detailed(md: DataFrame, dims: Dimensions, operations: Operations, options: O
     """
     keys = [*ROW, *([HOST] if excludes(dims, options) else [])]
     texts = [c for c in DETAIL if c not in keys]
-    rows = usable(md, dims, operations, options).withColumn("pos", F.col("second"))
+    rows = usable(md, dims, operations).withColumn("pos", F.col("second"))
     rows = rows.groupBy(*keys).agg(F.max(F.struct("code", *texts)).alias("_row")).select(*keys, "_row.*")
     placed = for_reports(rows, dims, operations, options, False, F.col("pos"))
     latest = F.max(F.struct("second", "code", *DETAIL)).alias("_row")
