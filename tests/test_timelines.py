@@ -10,7 +10,7 @@ from uptrail.operators import changes, fold as fo, integrate, slots
 from uptrail.sources.defaults import grid_operations, tenant_operations
 
 OPS, GRID = tenant_operations(), grid_operations()
-D = "2015-05-01"
+D = "2031-03-09"
 
 
 def rows(spark, entries, day=D):
@@ -32,8 +32,8 @@ def folded_slots(spark, entries, op, ops=OPS, options=Options()):
 
 
 @pytest.mark.parametrize("time,expected", [
-    ("00:02:29", 0), ("00:02:30", 1), ("23:59:59", 287), ("24:59:59", 12),
-    ("01:33:44", 19), ("05:53:40", 71), ("12:33:22", 151)])
+    ("00:00:00", 0), ("00:02:29", 0), ("00:02:30", 1), ("00:07:29", 1), ("00:07:30", 2), ("23:57:29", 287),
+    ("23:59:59", 287), ("24:10:00", 2), ("07:41:17", 92), ("16:04:45", 193)])
 def test_slot(spark, time, expected):
     second = clock.seconds_of_day(F.lit(f"{D}T{time}Z"))
     assert spark.range(1).select(clock.ts_slot(second)).first()[0] == expected
@@ -47,11 +47,14 @@ def test_slots_equal_model(spark):
 
 
 def test_day_rates(spark):
-    entries = [("m", "prev", "OK"), ("m", "20:21:01", "DOWNTIME"), ("m", "20:39:21", "OK"),
-               ("m", "22:00:21", "CRITICAL"), ("m", "22:42:21", "OK")]
+    """A day that starts OK from the day before: 3 hours of downtime, 1 hour of WARNING, 45 minutes CRITICAL."""
+    entries = [("m", "prev", "OK"), ("m", "04:00:00", "DOWNTIME"), ("m", "07:00:00", "WARNING"),
+               ("m", "08:00:00", "CRITICAL"), ("m", "08:45:00", "OK")]
     merged, _ = folded_slots(spark, entries, "AND")
     r = integrate.integrate(merged, ["date", "service", "hostname"], OPS, 288).first()
-    assert round(r.availability, 2) == 95.83 and round(r.reliability, 2) == 97.18
+    up = 288 - 36 - 9
+    assert (r.availability, r.reliability) == (round(100 * up / 288, 5), round(100 * up / (288 - 36), 5))
+    assert (r.up, r.down, r.unknown) == (round(up / 288, 5), round(36 / 288, 5), 0.0)
 
 
 def listed(spark, members):
@@ -71,42 +74,32 @@ def fold_listed(spark, members, op, ops=OPS):
     return [(r.pos, ops.states[r.code]) for r in out.orderBy("pos").collect()]
 
 
-def test_and_of_two_lists(spark):
-    got = fold_listed(spark, {
-        "a": [("00:00", "OK"), ("09:00", "WARNING"), ("12:00", "OK")],
-        "b": [("00:00", "OK"), ("22:00", "CRITICAL"), ("22:23", "OK")]}, "AND")
-    assert got == [(0, "OK"), (32400, "WARNING"), (43200, "OK"), (79200, "CRITICAL"), (80580, "OK")]
-
-
-def test_and_of_three_hosts(spark):
-    got = fold_listed(spark, {
-        "foo": [("00:00", "OK"), ("09:00", "OK"), ("12:00", "OK"), ("22:00", "OK")],
-        "bar": [("00:00", "OK"), ("02:00", "WARNING"), ("22:00", "OK"), ("23:00", "MISSING"),
-                ("23:22", "OK")],
-        "cat": [("00:00", "OK"), ("04:00", "CRITICAL"), ("05:00", "CRITICAL"), ("06:00", "OK"),
-                ("23:22", "OK")]}, "AND")
-    assert got == [(0, "OK"), (7200, "WARNING"), (14400, "CRITICAL"), (21600, "WARNING"),
-                   (79200, "OK"), (82800, "MISSING"), (84120, "OK")]
-
-
-def test_service_status(spark):
-    hosts = {
-        "h1": [("00:00", "UNKNOWN"), ("15:19:01", "WARNING"), ("15:19:12", "OK")],
-        "h2": [("00:00", "UNKNOWN"), ("15:38:58", "WARNING"), ("15:39:09", "OK")],
-        "h3": [("00:00", "UNKNOWN"), ("15:18:31", "CRITICAL"), ("17:18:35", "UNKNOWN"),
-               ("20:06:19", "OK")],
-        "h4": [("00:00", "UNKNOWN"), ("15:48:58", "WARNING"), ("15:49:18", "OK")],
-        "h5": [("00:00", "UNKNOWN"), ("15:42:58", "WARNING"), ("15:43:09", "OK")]}
-    want = [(0, "UNKNOWN"), (55111, "CRITICAL"), (55141, "WARNING"), (55152, "OK")]
-    assert fold_listed(spark, hosts, "OR") == want
-    assert fold_listed(spark, hosts, "OR", GRID) == want
-
-
-def test_compaction(spark):
-    got = fold_listed(spark, {"a": [("11:00", "WARNING"), ("12:00", "WARNING"), ("13:00", "UNKNOWN"),
-                                    ("15:00", "UNKNOWN"), ("22:00", "WARNING"), ("23:00", "WARNING")]},
-                      "OR")
-    assert got == [(39600, "WARNING"), (46800, "UNKNOWN"), (79200, "WARNING")]
+def against_model(spark, members, op, ops=OPS):
+    got = fold_listed(spark, members, op, ops)
+    codes = {m: [(clock_second(t), ops.code(state)) for t, state in cs] for m, cs in members.items()}
+    assert got == [(pos, ops.states[code]) for pos, code in model.fold_lists(ops, op, codes)]
+    return got
+
+
+def test_overlapping_spells_of_two_members(spark):
+    """CRITICAL of one inside WARNING of the other: AND shows the worse, OR the better of the two."""
+    members = {"left": [("00:00", "OK"), ("03:10", "WARNING"), ("09:40", "OK")],
+               "right": [("00:00", "OK"), ("05:20", "CRITICAL"), ("06:05", "OK")]}
+    assert against_model(spark, members, "AND") == [
+        (0, "OK"), (11400, "WARNING"), (19200, "CRITICAL"), (21900, "WARNING"), (34800, "OK")]
+    assert against_model(spark, members, "OR") == [(0, "OK"), (19200, "WARNING"), (21900, "OK")]
+
+
+@pytest.mark.parametrize("ops,op", [(OPS, "AND"), (OPS, "OR"), (GRID, "OR")])
+def test_members_that_change_at_the_same_moment(spark, ops, op):
+    members = {f"probe-{i}": [("00:00", "MISSING"), (f"0{i + 1}:30", "DOWNTIME"), ("08:15", ["OK", "CRITICAL", "UNKNOWN"][i % 3]),
+                              (f"1{i}:00:0{i}", "WARNING"), ("23:59:59", "OK")] for i in range(5)}
+    assert len(against_model(spark, members, op, ops)) > 1
+
+
+def test_equal_states_in_a_row_are_one_change(spark):
+    members = {"only": [("00:00", "OK"), ("01:00", "OK"), ("02:30", "DOWNTIME"), ("04:00", "DOWNTIME"), ("04:01", "OK")]}
+    assert against_model(spark, members, "AND") == [(0, "OK"), (9000, "DOWNTIME"), (14460, "OK")]
 
 
 def test_asof(spark):

@@ -5,5 +5,5 @@ from __future__ import annotations
 
 def load() -> dict:
     """All registered queries: name -> (query, SQL or None)."""
-    from workload import core, folding, many, queries, selecting  # noqa: F401  (they register their queries)
+    from workload import core, folding, many, queries, selecting, stored  # noqa: F401  (they register their queries)
     return queries.QUERIES
