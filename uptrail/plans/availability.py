@@ -61,7 +61,11 @@ def availability(spark: SparkSession, md: DataFrame, reports: list[ReportInputs]
                  operations: Operations, first: str, last: str | None = None,
                  options: Options = Options()) -> AvailabilityPlan:
     """The plan for all reports and the days first..last. ``md`` has a date column."""
-    dims = dimensions.build(spark, reports, first, last or first, options)
+    return plan_of(md, dimensions.build(spark, reports, first, last or first, options), operations, options)
+
+
+def plan_of(md: DataFrame | rows.Reduced, dims: Dimensions, operations: Operations, options: Options) -> AvailabilityPlan:
+    """The plan over given dimensions, from raw rows or from a stored state."""
     endpoints = endpoint_timelines(md, dims, operations, options)
     services = service_timelines(endpoints, dims, operations)
     groups = group_timelines(services, dims, operations, options)

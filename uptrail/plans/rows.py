@@ -9,6 +9,8 @@ carry-in, on the next, for each report; exclusions are taken out, and hosts are
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -107,13 +109,26 @@ def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, optio
     return placed
 
 
-def states(md: DataFrame, dims: Dimensions, operations: Operations, options: Options,
+@dataclass(frozen=True)
+class Reduced:
+    """Rows that are reduced already, as a stored state is: ROW..., packed. They say nothing of
+    monitoring hosts."""
+
+    rows: DataFrame
+
+
+def states(md: DataFrame | Reduced, dims: Dimensions, operations: Operations, options: Options,
            discrete: bool) -> DataFrame:
     """Packed states per report, day, metric and position, of selected endpoints: KEY..., pos, packed.
 
     Not yet one per key: hosts, and the positions of a day before, are still apart.
     """
-    rows = reduced(usable(md, dims, operations), dims, operations, options, discrete)
+    if isinstance(md, Reduced):
+        if excludes(dims, options):
+            raise ValueError("excluded monitoring hosts need the rows themselves")
+        rows = selection.for_date(md.rows, clock.shift(dims.first, -1), dims.last)
+    else:
+        rows = reduced(usable(md, dims, operations), dims, operations, options, discrete)
     placed = for_reports(rows, dims, operations, options, discrete)
     if discrete:
         placed = placed.withColumn("packed", slots.without_effect(operations))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from uptrail import schemas
+from uptrail.functions import clock
 from uptrail.operators import results
-from uptrail.plans import jobs
+from uptrail.plans import jobs, refresh
 from uptrail.sinks import store
 from uptrail.sources import documents, tables as src
 from uptrail.sources.defaults import TENANT_ORDERS
@@ -16,7 +18,6 @@ from workload import oracle as o
 from workload.core import RATES
 from workload.queries import OPERATIONS, OPTIONS, register
 from workload.tables import PROFILE_1, REPORT_1, Tables
-from uptrail.functions import clock
 
 
 def write_document(t: Tables, path: str, document: dict) -> None:
@@ -118,3 +119,37 @@ def dimension_readers(t: Tables) -> DataFrame:
     for df in counts[1:]:
         out = out.unionByName(df)
     return out
+
+
+# -- results that follow the day ------------------------------------------------------------------
+
+o.variant("plain_", mexcl="SELECT report, host, d0::TIMESTAMP AS s, d0::TIMESTAMP AS e, d0, d1 FROM req WHERE false")
+
+
+def refreshed(t: Tables) -> str:
+    """Probe results land as files of two shares of the events and come back as a stream, a file at a time;
+    each batch is laid over the state of the first four days."""
+    root = jobs.scratch(t.spark, "refresh")
+    md = t.metric_data("event_id").where(F.col("date") <= F.date_add(F.lit(t.days[0]).cast("date"), 3)).drop("second")
+    for i, share in enumerate((F.col("event_id") % 10 < 9, F.col("event_id") % 10 == 9)):
+        md.where(share).drop("event_id").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    reports = [replace(r, monitor_exclusions=None) for r in t.reports()]
+    stream = t.spark.readStream.schema(t.spark.read.parquet(f"{root}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    run = refresh.on_batch(reports, OPERATIONS, f"{root}/out", t.days[0], clock.shift(t.days[0], 3), OPTIONS)
+    stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/offsets").trigger(availableNow=True).start().awaitTermination()
+    return f"{root}/out"
+
+
+@register(f"""SELECT r.report, {o.date_int('r.date')} AS date, r.grp AS name, gg.grp AS supergroup,
+                     coalesce(weight, 0) AS weight, {RATES}
+              FROM span, plain_group_rates r LEFT JOIN gg ON gg.subgroup = r.grp LEFT JOIN wt ON wt.site = r.grp WHERE r.date <= low + 3""")
+def refresh_group_ar(t: Tables) -> DataFrame:
+    return store.read_results(t.spark, refreshed(t), "endpoint_group_ar").select(
+        "report", "date", "name", "supergroup", "weight", *results.RATES)
+
+
+@register(f"""SELECT report, {o.date_int('date')} AS date, service AS name, grp AS supergroup, {RATES}
+              FROM plain_service_rates, span WHERE date <= low + 3""")
+def refresh_service_ar(t: Tables) -> DataFrame:
+    return store.read_results(t.spark, refreshed(t), "service_ar").select(
+        "report", "date", "name", "supergroup", *results.RATES)
