@@ -146,6 +146,17 @@ def test_ancestors_of_a_deep_chain(spark):
     assert got == {(str(i), str(j)): j - i for i in range(7) for j in range(i + 1, 8)}
 
 
+def test_a_chain_takes_as_many_rounds_as_its_length_has_digits(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    jobs.shared_dir(spark)
+    rounds, real = [], DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a: rounds.append(1) or real(self, *a))
+    gg = spark.range(200).selectExpr("'t' AS type", "string(id + 1) AS group", "string(id) AS subgroup")
+    found = topology.ancestor_groups(gg)
+    assert len(rounds) - 1 <= 9 and found.count() == 200 * 201 // 2
+    assert found.where("depth <> int(ancestor) - int(`group`)").isEmpty()
+
+
 def results(spark, rows):
     return spark.createDataFrame(
         rows, "report string, date int, name string, supergroup string, availability double")

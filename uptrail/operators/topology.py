@@ -78,19 +78,25 @@ def group_tags(df: DataFrame, keys: list[str]) -> DataFrame:
 def ancestor_groups(gg: DataFrame) -> DataFrame:
     """(group, ancestor, depth) up the group tree, with the least depth.
 
-    Each level is one join of the frontier with the edges, less the pairs that are known. The loop
-    ends when a level has no new pair, so also on a cycle. Levels are checkpointed: the lineage
-    stays short, and each is computed once.
+    After k rounds all pairs of depth 2^k or less are known; a round joins them with themselves and keeps
+    the least depth of each, so a tree of depth n takes about log2(n) rounds. The loop ends when
+    a round has no new pair, so also on a cycle. Rounds are checkpointed: the lineage stays short, and each
+    is computed once.
     """
-    edges = gg.select(F.col("subgroup").alias("child"), F.col("group").alias("parent")).distinct()
-    frontier = edges.select(F.col("child").alias("group"), F.col("parent").alias("ancestor"),
-                            F.lit(1).alias("depth"))
-    known, depth = frontier.checkpoint(), 1
-    frontier = known
-    while not frontier.isEmpty():
-        depth += 1
-        step = (frontier.join(edges, frontier.ancestor == edges.child)
-                .select("group", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")).distinct())
-        frontier = step.join(known.select("group", "ancestor"), ["group", "ancestor"], "left_anti").checkpoint()
-        known = known.unionByName(frontier)
-    return known
+    edges = gg.select(F.col("subgroup").alias("group"), F.col("group").alias("ancestor"), F.lit(1).alias("depth"))
+    known = edges.where("`group` IS NOT NULL AND ancestor IS NOT NULL").distinct().checkpoint()
+    pairs = known.count()
+    while True:
+        upper = known.select(F.col("group").alias("_at"), F.col("ancestor").alias("_up"), F.col("depth").alias("_more"))
+        longer = known.join(upper, F.col("ancestor") == F.col("_at")).select(
+            "group", F.col("_up").alias("ancestor"), (F.col("depth") + F.col("_more")).alias("depth"))
+        both = known.unionByName(longer).groupBy("group", "ancestor").agg(F.min("depth").alias("depth"))
+        known = both.checkpoint()
+        before, pairs = pairs, known.count()
+        if pairs == before:
+            return known
+
+
+def under_ancestors(df: DataFrame, closure: DataFrame, group: str = "name") -> DataFrame:
+    """A row for each ancestor of a group, with ``ancestor``; groups without any are dropped."""
+    return df.join(closure.select(F.col("group").alias(group), "ancestor"), group)

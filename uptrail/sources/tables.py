@@ -86,3 +86,26 @@ def register_tables(spark: SparkSession, root: str, format: str = "parquet") ->
         table.createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+def create_tables(spark: SparkSession, root: str, database: str, format: str = "parquet") -> list[str]:
+    """The ingested tables below ``root`` as external tables of the catalog, partitioned by date, and by
+    report where they are kept per report; returns their names. They outlive the session where the catalog does.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for name, per_report in INGESTED.items():
+        fields = [*schemas.PAYLOADS[name].fields, *([T.StructField("report", T.StringType())] if per_report else []),
+                  T.StructField("date", T.DateType())]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        parts = ", ".join(["report", "date"] if per_report else ["date"])
+        names.append(f"`{database}`.{name}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[-1]} ({columns}) USING {format} PARTITIONED BY ({parts}) LOCATION '{root}/{name}'")
+    repair_tables(spark, names)
+    return names
+
+
+def repair_tables(spark: SparkSession, names: list[str]) -> None:
+    """Lets the catalog see partitions that have landed since."""
+    for name in names:
+        spark.catalog.recoverPartitions(name)

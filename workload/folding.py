@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from uptrail import schemas
 from uptrail.config import Options
 from uptrail.functions import clock
-from uptrail.operators import changes, integrate, results, slots
+from uptrail.operators import changes, integrate, results, slots, topology
 from uptrail.operators import fold as fo
 from uptrail.operators.selection import METRIC
 from uptrail.plans import jobs, legacy
@@ -157,6 +159,21 @@ def weighted_rollup(t: Tables) -> DataFrame:
     return integrate.weighted_rollup(plan(t).group_ar(), ["report", "date", "supergroup"])
 
 
+@register(f"""SELECT r.report, {o.date_int('r.date')} AS date, ancestor,
+    {o.rounded('sum(CASE WHEN availability >= 0 THEN coalesce(weight, 0) * availability ELSE 0 END)',
+               'sum(CASE WHEN availability >= 0 THEN coalesce(weight, 0) ELSE 0 END)')} AS availability,
+    {o.rounded('sum(CASE WHEN reliability >= 0 THEN coalesce(weight, 0) * reliability ELSE 0 END)',
+               'sum(CASE WHEN reliability >= 0 THEN coalesce(weight, 0) ELSE 0 END)')} AS reliability,
+    CAST(sum(coalesce(weight, 0)) AS BIGINT) AS weight
+    FROM group_rates r JOIN (SELECT subgroup, grp AS ancestor FROM gg UNION ALL SELECT subgroup, 'WORLD' FROM gg) a ON a.subgroup = r.grp
+    LEFT JOIN wt ON site = r.grp GROUP BY r.report, r.date, ancestor""")
+def weighted_rollup_tree(t: Tables) -> DataFrame:
+    """Rates of every level above the groups, along the closure of the tree."""
+    jobs.shared_dir(t.spark)
+    closure = topology.ancestor_groups(t.group_tree())
+    return integrate.weighted_rollup(topology.under_ancestors(plan(t).group_ar(), closure), ["report", "date", "ancestor"])
+
+
 # -- folds of states and change lists --------------------------------------------------------------
 
 GRID = grid_operations()
@@ -357,23 +374,52 @@ def metric_data_scan(t: Tables) -> DataFrame:
         "date", *METRIC, "timestamp", "status")
 
 
-@register("""SELECT service, metric, count(*) AS n, min(date) AS first_date FROM md GROUP BY service, metric""")
-def register_tables(t: Tables) -> DataFrame:
-    root = jobs.scratch(t.spark, "tables")
-    landed = t.metric_data().drop("second").withColumn("tags", F.lit(None).cast("map<string,string>"))
-    store.write_landing(landed, f"{root}/metric_data")
+ROWS_OF_TABLES = """SELECT 'metric_data' AS name, count(*) AS n, count(DISTINCT date) AS days FROM md
+    UNION ALL SELECT 'endpoint_groups', count(*), 1 FROM eg UNION ALL SELECT 'group_groups', count(*), 1 FROM gg
+    UNION ALL SELECT 'metric_profiles', count(*), 1 FROM mp UNION ALL SELECT 'downtimes', count(*), 1 FROM down
+    UNION ALL SELECT 'weights', count(*), 1 FROM wt"""
+
+
+def land_tables(t: Tables, root: str) -> DataFrame:
+    """The dimensions of one report as they are ingested; returns the probe results, which are not landed yet."""
+    none = F.lit(None).cast(schemas.TAGS)
     day = F.lit(t.days[0]).cast("date")
     for name, table in {"endpoint_groups": t.endpoint_groups(), "group_groups": t.group_groups(),
-                        "metric_profiles": t.metric_profiles().withColumn("tags", F.lit(None).cast(schemas.TAGS)),
+                        "metric_profiles": t.metric_profiles().withColumn("tags", none),
                         "downtimes": t.downtimes().select(
                             "hostname", "service", F.col("start_ts").cast("string").alias("start_time"),
                             F.col("end_ts").cast("string").alias("end_time")),
                         "weights": t.weights()}.items():
         store.write_landing(table.withColumns({"date": day, "report": F.lit("R1")}), f"{root}/{name}",
                             per_report=True)
-    src.register_tables(t.spark, root)
-    return t.spark.sql("SELECT service, metric, count(*) AS n, min(date) AS first_date "
-                       "FROM metric_data GROUP BY service, metric")
+    return t.metric_data().drop("second").withColumn("tags", none)
+
+
+def rows_of_tables(t: Tables, names: list[str]) -> DataFrame:
+    parts = [f"SELECT '{n.rsplit('.', 1)[-1]}' AS name, count(*) AS n, count(DISTINCT date) AS days FROM {n}" for n in names]
+    return t.spark.sql(" UNION ALL ".join(parts))
+
+
+@register(ROWS_OF_TABLES)
+def register_tables(t: Tables) -> DataFrame:
+    """All six ingested tables, by name."""
+    root = jobs.scratch(t.spark, "tables")
+    store.write_landing(land_tables(t, root), f"{root}/metric_data")
+    return rows_of_tables(t, src.register_tables(t.spark, root))
+
+
+@register(ROWS_OF_TABLES)
+def catalog_tables(t: Tables) -> DataFrame:
+    """The six tables of the catalog; the later days of probe results land after they were made and read."""
+    root = jobs.scratch(t.spark, "catalog")
+    md = land_tables(t, root)
+    first = F.col("date") == F.lit(t.days[0]).cast("date")
+    store.write_landing(md.where(first), f"{root}/metric_data")
+    names = src.create_tables(t.spark, root, f"ingested_{uuid.uuid4().hex}")
+    rows_of_tables(t, names).collect()
+    store.write_landing(md.where(~first), f"{root}/metric_data")
+    src.repair_tables(t.spark, names)
+    return rows_of_tables(t, names)
 
 
 # -- jobs ------------------------------------------------------------------------------------------

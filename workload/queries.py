@@ -23,8 +23,7 @@ DAY_COLUMNS = {name: ("date",) for name in """
     with_carry_in missing_items with_downtimes with_downtimes_all with_recomputations
     period_moves_of_downtimes apply_op apply_op_by_table asof_state metric_data_scan
     ingest_landing""".split()}
-DAY_COLUMNS |= {"timestamp_functions": ("ts_date", "previous_day"),
-                "register_tables": ("first_date",)}
+DAY_COLUMNS |= {"timestamp_functions": ("ts_date", "previous_day")}
 
 
 def register(sql: str | None = None):
