@@ -83,8 +83,9 @@ def n_words(text: str = "text") -> F.Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about limit bytes of text; a longer text is a piece by itself."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = 512 << 10) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about limit bytes of text; a longer text is a piece by itself. What is
+    computed on a piece takes some hundred bytes for each of its own."""
     ends = offsets(batch.column(column))
     start = 0
     while start < batch.num_rows:
@@ -92,6 +93,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # a worker serves many tasks; what it keeps is the next one's
 
 
 def offsets(column: pa.Array) -> np.ndarray:

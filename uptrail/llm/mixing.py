@@ -137,11 +137,12 @@ def mixed(docs: DataFrame, levels: list[F.Column], key: str = "doc_id", tokens:
     levels: from the root down, for instance domain, language, source. A leaf is taken whole as
     many epochs as its budget holds; then a prefix of the next epoch, in an order given by seed,
     epoch and key. copies counts the epochs a document is in, with the last begun one.
-    tokens_taken adds up to the budget of the leaf: of the document where the prefix ends, only the
+    tokens_taken adds up to the budget of the leaf where keys are unique: of the document where the prefix ends, only the
     first tokens count.
 
     A null level is a group of its own. A null text or one without tokens counts 0 and is taken
-    where its place comes. Rows that repeat a key share one place. Empty tables give no rows.
+    where its place comes. Rows that repeat a key share one place; where the prefix ends at such a place, each
+    of them gives its first tokens, and the sum can pass the budget. Empty tables give no rows.
     """
     n = F.coalesce(tokens, F.lit(0)).cast("long")
     taken = plan(docs, levels, key, n, mix)

@@ -15,6 +15,7 @@ Scores and the choice among phrases are joins on the tables of frequent phrases.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -384,7 +385,7 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", depth: int
         else:
             found = found.mapInArrow(phrase_rows, "number long, left long, right long, a long")
         levels.append(written(found, "phrases-found"))
-        following = None
+        back = following = None
         if h < depth:
             back = asked.where("kind = 'state'").unionByName(counted.where("kind = 'answer'"))
             following = written(back.groupBy("shard").applyInArrow(longer_of(miner, h), ROWS), "phrases-asked")
@@ -393,10 +394,18 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", depth: int
         discard(counted)
         discard_folder(spark, f"{folder}/words" if h == 1 else f"{folder}/ranges-{h - 1}")
         asked = following
+        del counted, found, back, following
+        released(spark)
     discard_folder(spark, folder)
     return totals, levels
 
 
+def released(spark) -> None:
+    """Lets Spark delete the shuffle files of jobs that are over: it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def counts_of(miner: Miner, h: int):
     def run(group: pa.Table) -> pa.Table:
         return miner.count_words(group) if h == 1 else miner.count_phrases(group)

@@ -29,7 +29,7 @@ ROLL = Rolling(7)
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 MASK = (1 << 64) - 1
 #: Edges of lattices that a Python worker keeps before it starts afresh.
-MEMORY = 5_000_000
+MEMORY = 3_000_000
 
 
 @dataclass(frozen=True)
