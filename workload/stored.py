@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from uptrail import schemas
 from uptrail.functions import clock
 from uptrail.operators import results
-from uptrail.plans import jobs, refresh
+from uptrail.plans import jobs, legacy, refresh
 from uptrail.sinks import store
-from uptrail.sources import documents, tables as src
+from uptrail.sources import documents, legacy as old, tables as src
 from uptrail.sources.defaults import TENANT_ORDERS
 from workload import oracle as o
 from workload.core import RATES
@@ -153,3 +153,35 @@ def refresh_group_ar(t: Tables) -> DataFrame:
 def refresh_service_ar(t: Tables) -> DataFrame:
     return store.read_results(t.spark, refreshed(t), "service_ar").select(
         "report", "date", "name", "supergroup", *results.RATES)
+
+
+# -- older logs: readers, parts of a log, rows without a ROC ----------------------------------------
+
+
+@register(f"""SELECT "timestamp" AS ts, roc, monitoring_host AS mb, metric AS mn, service AS sf, hostname AS sh, status AS s, vo,
+                     concat('/', vo, '/Role=NULL') AS vof, summary AS sum, message AS msg, {o.date_int('date')} AS di,
+                     CAST(hour(t) * 10000 + minute(t) * 100 + second(t) AS INTEGER) AS ti FROM l_rows""")
+def legacy_detail_reader(t: Tables) -> DataFrame:
+    """The detail log written with its separators and read back, all columns."""
+    path = jobs.scratch(t.spark, "detail")
+    columns = [F.coalesce(F.col(c), F.lit("")) for c in schemas.LEGACY_DETAIL.names]
+    t.legacy_detail().select(F.concat_ws(old.SEPARATOR, *columns)).write.text(path)
+    return old.read_detail_log(t.spark, path)
+
+
+@register("SELECT * FROM l_endpoint_points WHERE CAST(substr(hostname, 6) AS BIGINT) % 7 <> 3")
+def legacy_status_without_roc(t: Tables) -> DataFrame:
+    """Hosts whose rows have an empty ROC are left out."""
+    log = t.legacy_detail()
+    blank = F.expr("CAST(substr(hostname, 6) AS BIGINT) % 7 = 3")
+    rows = legacy.previous_state(log.withColumn("roc", F.when(blank, "").otherwise(F.col("roc"))), t.sites(), *t.days)
+    return legacy.status_levels(rows, OPERATIONS)[0].drop("prev")
+
+
+@register("SELECT date::VARCHAR AS date, vo, hostname, service AS service_flavour, 'P1' AS profile FROM l_vo")
+def legacy_united_logs(t: Tables) -> DataFrame:
+    """The log of the last day united with the days before."""
+    logs = t.legacy_logs()
+    today = F.col("date") == F.lit(t.days[1]).cast("date")
+    both = legacy.union_logs(logs.where(today), logs.where(~today))
+    return legacy.host_vos(both, *t.days).withColumn("date", F.col("date").cast("string"))
