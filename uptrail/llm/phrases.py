@@ -385,17 +385,18 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", depth: int
         else:
             found = found.mapInArrow(phrase_rows, "number long, left long, right long, a long")
         levels.append(written(found, "phrases-found"))
-        back = following = None
-        if h < depth:
-            back = asked.where("kind = 'state'").unionByName(counted.where("kind = 'answer'"))
-            following = written(back.groupBy("shard").applyInArrow(longer_of(miner, h), ROWS), "phrases-asked")
-        # what the next round does not read
+        # what later steps do not read goes before the next one writes
+        states = written(asked.where("kind = 'state'"), "phrases-states")
         discard(asked)
+        del found
+        released(spark)
+        if h < depth:
+            back = states.unionByName(counted.where("kind = 'answer'"))
+            asked = written(back.groupBy("shard").applyInArrow(longer_of(miner, h), ROWS), "phrases-asked")
+            del back
+        discard(states)
         discard(counted)
         discard_folder(spark, f"{folder}/words" if h == 1 else f"{folder}/ranges-{h - 1}")
-        asked = following
-        del counted, found, back, following
-        released(spark)
     discard_folder(spark, folder)
     return totals, levels
 
