@@ -67,3 +67,12 @@ def test_like_all_pairs(spark, seed, join):
 
 def test_empty_table(spark):
     assert jaccard.joined(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_words_made_to_collide(spark):
+    """Two words of 1024 letters that polynomials modulo 2^64 cannot tell apart, whatever the base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: "b", 98: "a"})
+    df = spark.createDataFrame([(1, word), (2, word.translate({97: "b", 98: "a"})), (3, word)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.joined(df).collect()} == {1: 1, 2: 2, 3: 1}

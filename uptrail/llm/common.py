@@ -124,31 +124,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+PRIME = np.uint64((1 << 31) - 1)
+#: The bases of the two polynomials.
+BASES = (1_481_765_933, 1_085_377_743)
+BLOCK = 1 << 14
+#: The powers of the bases and of their inverses, for all hashes of a process.
+POWERS: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """Below 2^33, and the same modulo PRIME."""
+    return (x & PRIME) + (x >> np.uint64(31))
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo PRIME."""
+    x = folded(folded(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """At least n powers of each base and of its inverse."""
+    for i, base in enumerate(BASES):
+        if len(POWERS[i][0]) < n:
+            both = []
+            for b, known in zip((base, pow(base, -1, int(PRIME))), POWERS[i], strict=True):
+                while len(known) < n:  # what is known, times the power that comes next
+                    more = reduced(known.astype(np.uint64) * np.uint64(pow(b, len(known), int(PRIME)))).astype(np.uint32)
+                    known = np.concatenate([known, more])
+                both.append(known)
+            POWERS[i] = tuple(both)
+    return POWERS
+
+
 class Rolling:
-    """64-bit hashes of any byte ranges of a buffer, equal for equal bytes wherever they stand."""
+    """Hashes of any byte ranges of a buffer, equal for equal bytes wherever they stand: two polynomials
+    modulo 2^31 - 1, a prime. (Modulo a power of two, some plain words share their hash for every base.)"""
 
     def __init__(self, seed: int):
-        rng = np.random.default_rng(seed)
-        self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1, 1 << 62)) * 8 + 5
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def powers(self, n: int) -> None:
-        if len(self.up) < n:
-            for name, base in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
-                steps = np.full(n, base % (1 << 64), np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+        self.values = np.random.default_rng(seed).integers(1, int(PRIME), (2, 256), dtype=np.uint64)
 
     def sums(self, data: np.ndarray) -> np.ndarray:
-        self.powers(len(data) + 1)
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.values[data] * self.up[:len(data)], out=out[1:])
+        n = len(data)
+        out = np.zeros((2, n + 1), np.uint64)
+        for values, into, (up, _) in zip(self.values, out, powers(n + 1), strict=True):
+            for a in range(0, n, BLOCK):  # so much stays in the cache
+                b = min(a + BLOCK, n)
+                terms = values[data[a:b]]
+                terms *= up[a:b]
+                high = terms >> np.uint64(31)
+                terms &= PRIME
+                terms += high
+                terms[0] += into[a]
+                np.cumsum(terms, out=into[a + 1:b + 1])
         return out
 
     def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self.powers(len(sums))
-        return mix((sums[end] - sums[start]) * self.down[start])
+        high, low = (reduced(reduced(s[end] - s[start]) * down[start]) for s, (_, down) in zip(sums, powers(sums.shape[1]), strict=True))
+        return mix(high << np.uint64(31) | low)
 
 
 SPACE = np.zeros(256, bool)
