@@ -34,9 +34,8 @@ BACK = pow(0xD1342543DE82EF95, -1, 1 << 64)
 SHARD_BYTES = 6 << 20
 #: Bytes of n-gram codes that count as one row of a block.
 ROW_BYTES = 8192
-#: Up to so many bytes of text, the first look takes half of each code: what it counts too often, it only
-#: lets through to the second look.
-SHORT_CODES = 1 << 32
+#: The first look takes half of each code: what it counts too often, it only lets through to the second look.
+SHORT = np.uint32
 
 
 @dataclass(frozen=True)
@@ -321,11 +320,9 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Join
     keyed = docs.drop("n_shingles", "component_id")
     slim = keyed.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn(
         "_hash", F.unhex(F.md5("_text")))
-    small = (slim.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) <= SHORT_CODES
-    kind = np.uint32 if small else np.uint64
-    coded = written(sets(slim, ["_id", "_hash"], join, join.part, kind), "jaccard-sets")
+    coded = written(sets(slim, ["_id", "_hash"], join, join.part, SHORT), "jaccard-sets")
     made = written(coded.drop("_codes"), "jaccard-names")
-    roots = resolved(coded, made, slim, join, kind)
+    roots = resolved(coded, made, slim, join)
     least = made.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_least"))
     whole = roots.join(least.withColumnRenamed("_set", "node"), "node").groupBy("root").agg(F.min("_least").alias("_whole"))
     whole = written(roots.join(whole, "root").select("node", "root", "_whole"), "jaccard-components")
@@ -364,7 +361,7 @@ def one_each(docs: DataFrame, text: str = "text", key: str = "doc_id", join: Joi
     return alone.union(tied).union(bare).select(*names)
 
 
-def resolved(coded: DataFrame, made: DataFrame, slim: DataFrame, join: Join, kind: type) -> DataFrame:
+def resolved(coded: DataFrame, made: DataFrame, slim: DataFrame, join: Join) -> DataFrame:
     """node, root: components of the different sets that link with another."""
     spark = made.sparkSession
 
@@ -375,7 +372,7 @@ def resolved(coded: DataFrame, made: DataFrame, slim: DataFrame, join: Join, kin
 
     classes = coded.where("_n > 0").groupBy("_set", "_n").agg(F.first("_codes").alias("_codes"))
     total = int((made.agg(F.sum("_n")).first()[0] or 0) / join.part)
-    some = with_frequencies(classes, "jaccard-part", passing, "_kept binary", total, kind)
+    some = with_frequencies(classes, "jaccard-part", passing, "_kept binary", total, SHORT)
     discard(coded)
     texts = made.where("_n > 0").groupBy("_set").agg(F.min("_hash").alias("_h"))
     wanted = written(texts.join(some, F.col("_set") == F.col("_kept")).select("_h"), "jaccard-wanted")
