@@ -79,3 +79,10 @@ def test_stripped_and_empty(spark):
 def test_bands_for_recall():
     b = Banding()
     assert 1 - (1 - 0.8 ** b.band) ** b.bands >= b.recall > 1 - (1 - 0.8 ** b.band) ** (b.bands - 1)
+
+
+def test_stripped_where_rows_repeat_a_key(spark):
+    rows = [(0, "x " * 30), (1, "x " * 30), (1, " ".join(f"y{i}" for i in range(30))), (None, "x " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in paragraphs.stripped(df).collect()]
+    assert sorted(got, key=str) == sorted([(0, ""), (1, ""), rows[2], rows[3]], key=str)

@@ -208,10 +208,12 @@ def read_ids(data: bytes) -> list:
 
 def stripped(docs: DataFrame, text: str = "text", key: str = "doc_id", b: Banding = Banding()) -> DataFrame:
     """The rows with their texts without the lines that go, and then without the passages that go; a
-    text of which all stays is as it was."""
-    gone = clusters(docs, text, key, b).where("removed").groupBy(F.col(key).alias("_paragraph_key")).agg(F.collect_set("paragraph").alias("_paragraph_gone"))
-    out = docs.join(written(gone, "paragraph-gone"), docs[key].eqNullSafe(F.col("_paragraph_key")), "left")
+    text of which all stays is as it was. Rows that repeat a key lose their own lines only."""
+    numbered = written(docs.withColumn("_paragraph_row", F.struct(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"))), "paragraph-rows")
+    lines_gone = clusters(numbered, text, "_paragraph_row", b).where("removed")
+    gone = lines_gone.groupBy(F.col("_paragraph_row.row").alias("_paragraph_lost")).agg(F.collect_set("paragraph").alias("_paragraph_gone"))
+    out = numbered.join(written(gone, "paragraph-gone"), F.col("_paragraph_row.row") == F.col("_paragraph_lost"), "left")
     left = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("_paragraph_gone", i.cast("long")))
-    lines = out.select(*[F.when(F.col("_paragraph_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else docs[c]
+    lines = out.select(*[F.when(F.col("_paragraph_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else F.col(c)
                         for c in docs.columns])
     return without_passages(lines, text, key)
