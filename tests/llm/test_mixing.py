@@ -98,3 +98,18 @@ def test_repeated_rows_and_empty_table(spark):
     ids = [r["doc_id"] for r in got]
     assert ids.count(1) in (0, 2) and 3 not in ids
     assert mixing.mixed(df.limit(0), [F.col("s")], "doc_id", F.col("n"), Mix()).collect() == []
+
+
+@pytest.mark.parametrize("budget", [7, 20])
+@pytest.mark.parametrize("chunk", [2])
+def test_rows_with_one_key_share_the_budget(spark, monkeypatch, budget, chunk):
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    rows = [(1, "x", 3, {"a": 1})] * 5 + [(1, "x", 3, None), (1, "x", 1, {"a": 2}), (1, None, 2, {})]
+    df = spark.createDataFrame(rows, "doc_id long, s string, n int, m map<string,int>")
+    for epochs in (1, 3):
+        got = mixing.mixed(df, [F.lit("all")], "doc_id", F.col("n"), Mix(budget=budget, epochs=epochs)).collect()
+        assert sum(r["tokens_taken"] for r in got) == min(budget, 21 * epochs)
+        assert all(r["n"] * (r["copies"] - 1) <= r["tokens_taken"] <= r["n"] * r["copies"] for r in got)
+        # no row is made up: each kind is there as often as in the table, or less often
+        kinds = [str((r["doc_id"], r["s"], r["n"], r["m"])) for r in got]
+        assert all(kinds.count(k) <= [str(x) for x in rows].count(k) for k in kinds)

@@ -94,42 +94,85 @@ def place_in_epoch(mix: Mix, epoch: F.Column, key: F.Column) -> F.Column:
     return F.md5(F.concat_ws(":", F.lit(str(mix.seed)), epoch.cast("string"), F.coalesce(key.cast("string"), F.lit("-"))))
 
 
+def content(docs: DataFrame) -> F.Column:
+    """128 bits of a row, as a text; rows that are equal have the same."""
+    plain = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema]
+    # a null leaves a hash as it was, so where the nulls are counts too
+    parts = [*plain, F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in docs.columns])]
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(i), *parts)), 16, "0") for i in range(2)])
+
+
+def reached(parts: DataFrame, spot: list[str], name: str) -> DataFrame:
+    """For each leaf where its prefix of `rest` tokens ends, in the order of spot: _cut, _before (the
+    tokens that come before), _many (rows there), _row (the smallest content there).
+
+    The first of spot is a hash as a hexadecimal text. It cuts a leaf's rows into `bins` bins; the
+    sums of the bins give that in which the prefix ends, and only its rows are put in order.
+    """
+    bin_of = F.floor(F.conv(F.substring(spot[0], 1, 8), 16, 10).cast("long") * F.col("bins") / (1 << 32)).cast("long")
+    parts = parts.withColumn("_bin", bin_of)
+    sums = parts.groupBy("_leaf", "rest", "_bin").agg(F.sum("_n").alias("_sum"))
+    past = Window.partitionBy("_leaf").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_past", F.coalesce(F.sum("_sum").over(past), F.lit(0)))
+    last = written(sums.where("_past < rest AND _past + _sum >= rest").select(
+        F.col("_leaf").alias("_l"), F.col("_bin").alias("_b"), "_past"), f"mix-{name}")
+    edge = parts.join(last, (F.col("_leaf") == F.col("_l")) & (F.col("_bin") == F.col("_b")))
+    edge = edge.groupBy("_leaf", "_past", "rest", F.struct(*spot).alias("_spot")).agg(
+        F.sum("_n").alias("_n"), F.count("*").alias("_many"), F.min("_row").alias("_row"))
+    inside = Window.partitionBy("_leaf").orderBy("_spot").rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.withColumn("_before", F.col("_past") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return edge.where("_before < rest").groupBy("_leaf").agg(
+        F.max("_spot").alias("_cut"), *[F.max_by(c, "_spot").alias(c) for c in ("_before", "_many", "_row")])
+
+
 def plan(docs: DataFrame, levels: list[F.Column], key: str, tokens: F.Column, mix: Mix) -> DataFrame:
     """For each leaf: budget, whole epochs, and where in the order of the next epoch its prefix ends.
 
-    _cut: the last place (hash, key) that the prefix reaches, null if it takes none; _before: the
-    tokens that come before that place. A leaf's documents are cut by their hash into about sqrt(n)
-    bins of about sqrt(n) documents; the sums of the bins give the bin in which the prefix ends, and
-    only its rows are put in order. No leaf is brought together in one task.
+    _cut: the last place (hash, key) and row (content) that the prefix reaches, null if it takes none; _before: the
+    tokens that come before; _many: the equal rows there. A leaf's documents are cut by their hash into about sqrt(n)
+    bins of about sqrt(n) documents, and rows that share the key at the cut by their content in the
+    same way. No leaf and no key is brought together in one task.
     """
     k = len(levels)
     named = {f"_v{i + 1}": path_of([c]) for i, c in enumerate(levels)} | {
         f"_p{i + 1}": path_of(levels[:i + 1]) for i in range(k)}
-    rows = docs.select(*[c.alias(n) for n, c in named.items()], F.col(key).alias("_key"), tokens.alias("_n"))
+    rows = docs.select(*[c.alias(n) for n, c in named.items()], F.col(key).alias("_key"), tokens.alias("_n"), content(docs).alias("_row"))
     rows = written(rows, "mix-rows")
     leaves = written(rows.groupBy(*named).agg(F.count("*").alias("docs"), F.sum("_n").alias("tokens")), "mix-leaves")
     wanted = budgets(leaves, k, mix).withColumns({
         "epochs": F.when(F.col("tokens") > 0, F.expr("budget DIV tokens")).otherwise(0).cast("long"),
         "bins": F.ceil(F.sqrt("docs")).cast("long")}).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     wanted = written(wanted, "mix-budgets")
-    parts = rows.join(wanted.where("rest > 0"), rows[f"_p{k}"] == wanted["_leaf"]).select("_leaf", "_key", "_n", "bins", "rest",
-                      place_in_epoch(mix, F.col("epochs"), F.col("_key")).alias("_place"))
-    bin_of = F.floor(F.conv(F.substring("_place", 1, 8), 16, 10).cast("long") * F.col("bins") / (1 << 32)).cast("long")
-    parts = parts.withColumn("_bin", bin_of)
-    sums = parts.groupBy("_leaf", "rest", "_bin").agg(F.sum("_n").alias("_sum"))
-    past = Window.partitionBy("_leaf").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_past", F.coalesce(F.sum("_sum").over(past), F.lit(0)))
-    last = written(sums.where("_past < rest AND _past + _sum >= rest").select(
-        F.col("_leaf").alias("_l"), F.col("_bin").alias("_b"), "_past"), "mix-bins")
-    edge = parts.join(last, (F.col("_leaf") == F.col("_l")) & (F.col("_bin") == F.col("_b")))
-    spot = F.struct("_place", F.coalesce(F.col("_key").cast("string"), F.lit("")).alias("_k")).alias("_spot")
-    edge = edge.groupBy("_leaf", "_l", "_past", "rest", spot).agg(F.sum("_n").alias("_n"))
-    inside = Window.partitionBy("_leaf").orderBy("_spot").rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.withColumn("_before", F.col("_past") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    ends = edge.where("_before < rest").groupBy("_leaf").agg(F.max("_spot").alias("_cut"), F.max_by("_before", "_spot").alias("_before"))
+    parts = rows.join(wanted.where("rest > 0"), rows[f"_p{k}"] == wanted["_leaf"]).select(
+        "_leaf", "_n", "_row", "bins", "rest", place_in_epoch(mix, F.col("epochs"), F.col("_key")).alias("_place"),
+        F.coalesce(F.col("_key").cast("string"), F.lit("")).alias("_k"))
+    ends = written(reached(parts, ["_place", "_k"], "bins"), "mix-ends")
+    shared = ends.where("_many > 1").select(F.col("_leaf").alias("_s"), F.col("_cut").alias("_at"), F.col("_before").alias("_first"), F.col("_many").alias("_all"))
+    tied = parts.join(shared, (F.col("_leaf") == F.col("_s")) & (F.struct("_place", "_k") == F.col("_at"))).select(
+        "_leaf", "_n", "_row", (F.col("rest") - F.col("_first")).alias("rest"), F.ceil(F.sqrt("_all")).cast("long").alias("bins"))
+    inner = reached(tied, ["_row"], "tied").select(F.col("_leaf").alias("_i"), F.col("_cut._row").alias("_ir"), F.col("_before").alias("_ib"), F.col("_many").alias("_im"))
+    ends = ends.join(inner, F.col("_leaf") == F.col("_i"), "left").select(
+        "_leaf", F.when(F.col("_cut").isNotNull(), F.struct("_cut._place", "_cut._k", F.coalesce("_ir", "_row").alias("_row"))).alias("_cut"),
+        (F.col("_before") + F.coalesce("_ib", F.lit(0))).alias("_before"), F.coalesce("_im", F.lit(1)).cast("long").alias("_many"))
     return written(wanted.join(ends, "_leaf", "left"), "mix-plan")
 
 
+#: Equal rows at a cut are numbered in chunks of so many.
+CHUNK = 4096
+
+
+def numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows with _mix_i. Equal rows at the cut of a leaf are numbered from 0, all others have 0."""
+    at_cut = F.col("_mix_end") & (F.col("_mix_many") > 1)
+    one = rows.where(~at_cut).withColumn("_mix_i", F.lit(0).cast("long"))
+    many = rows.where(at_cut).groupBy("_mix_leaf").agg(F.first(F.struct(*columns)).alias("_mix_r"), F.count("*").alias("_mix_c"))
+    last = F.floor((F.col("_mix_c") - 1) / CHUNK).cast("long")
+    many = many.withColumn("_mix_k", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("_mix_leaf", "_mix_k")
+    end = F.least(F.col("_mix_c"), (F.col("_mix_k") + 1) * CHUNK) - 1
+    many = many.withColumn("_mix_i", F.explode(F.sequence(F.col("_mix_k") * CHUNK, end)))
+    return one.select(*columns, "_mix_i").union(many.select(*[F.col("_mix_r")[c].alias(c) for c in columns], "_mix_i"))
+
+
 def mixed(docs: DataFrame, levels: list[F.Column], key: str = "doc_id", tokens: F.Column | None = None, mix: Mix = Mix()) -> DataFrame:
     """The documents taken, with budget (of the leaf), copies and tokens_taken; columns of these
     names are replaced.
@@ -137,24 +180,30 @@ def mixed(docs: DataFrame, levels: list[F.Column], key: str = "doc_id", tokens:
     levels: from the root down, for instance domain, language, source. A leaf is taken whole as
     many epochs as its budget holds; then a prefix of the next epoch, in an order given by seed,
     epoch and key. copies counts the epochs a document is in, with the last begun one.
-    tokens_taken adds up to the budget of the leaf where keys are unique: of the document where the prefix ends, only the
+    tokens_taken adds up to the budget of the leaf: of the document where the prefix ends, only the
     first tokens count.
 
     A null level is a group of its own. A null text or one without tokens counts 0 and is taken
-    where its place comes. Rows that repeat a key share one place; where the prefix ends at such a place, each
-    of them gives its first tokens, and the sum can pass the budget. Empty tables give no rows.
+    where its place comes. Rows that repeat a key stand side by side, in an order given by their
+    content; of equal rows at the end of the prefix, as many are taken as it reaches. Empty tables give no rows.
     """
     n = F.coalesce(tokens, F.lit(0)).cast("long")
     taken = plan(docs, levels, key, n, mix)
     named = docs.drop("budget", "copies", "tokens_taken")
     mine = lambda c: F.col(f"_mix_{c}")
-    rows = named.withColumns({"_mix_leaf": path_of(levels), "_mix_n": n})
-    taken = taken.select(*[F.col(c).alias(f"_mix_{new}") for c, new in (("_leaf", "l"), ("budget", "budget"), ("epochs", "epochs"), ("rest", "rest"),
-                                                                       ("_cut", "cut"), ("_before", "before"))])
+    rows = docs.withColumns({"_mix_leaf": path_of(levels), "_mix_n": n, "_mix_row": content(docs)})
+    tied = not taken.where("_many > 1").isEmpty()
+    taken = taken.select(*[F.col(c).alias(f"_mix_{new}") for c, new in (
+        ("_leaf", "l"), ("budget", "budget"), ("epochs", "epochs"), ("rest", "rest"), ("_cut", "cut"), ("_before", "before"), ("_many", "many"))])
     rows = rows.join(taken, mine("leaf") == mine("l"))
-    spot = F.struct(place_in_epoch(mix, mine("epochs"), F.col(key)).alias("_place"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"))
+    spot = F.struct(place_in_epoch(mix, mine("epochs"), F.col(key)).alias("_place"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_k"),
+                    mine("row").alias("_row"))
     rows = rows.withColumns({"_mix_in": F.coalesce(spot <= mine("cut"), F.lit(False)), "_mix_end": F.coalesce(spot == mine("cut"), F.lit(False))})
-    part = F.when(mine("end"), F.least(mine("n"), mine("rest") - mine("before"))).when(mine("in"), mine("n")).otherwise(0)
-    copies = mine("epochs") + mine("in").cast("long")
+    columns = [*named.columns, *(f"_mix_{c}" for c in ("budget", "epochs", "n", "rest", "before", "in", "end"))]
+    rows = numbered(rows, columns) if tied else rows.select(*columns, F.lit(0).cast("long").alias("_mix_i"))
+    left = mine("rest") - mine("before") - mine("i") * mine("n")
+    inside = mine("in") & (~mine("end") | (left > 0))
+    part = F.when(inside & mine("end"), F.least(mine("n"), left)).when(inside, mine("n")).otherwise(0)
+    copies = mine("epochs") + inside.cast("long")
     return rows.where(copies > 0).select(*named.columns, mine("budget").alias("budget"), copies.alias("copies"),
                                          (mine("epochs") * mine("n") + part).alias("tokens_taken"))
