@@ -6,7 +6,7 @@ No join here carries a broadcast hint: Spark broadcasts a side when its size is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from uptrail.functions import clock
 from uptrail.functions.tags import tags_pass
@@ -17,6 +17,9 @@ METRIC = ["service", "hostname", "metric"]
 MISSING_HOST = "none"
 MISSING_TEXT = "missing"
 
+# Exclusions are joined by cells of the day of this length.
+X_CELL, X_SECONDS = "_x_cell", 600
+
 
 def trim_metric_data(md: DataFrame, text: bool = False) -> DataFrame:
     """The columns a job needs; ``text`` keeps summary and message."""
@@ -58,14 +61,45 @@ def exclude_monitoring(md: DataFrame, exclusions: DataFrame, report: str | None
         exclusions = exclusions.where(F.col("report") == report)
     # the day is part of the key, so that a host's whole history is not one key
     days = clock.day_range(F.to_date("start_ts"), F.to_date("end_ts"))
-    exclusions = exclusions.where("start_ts <= end_ts").select(
+    spans = exclusions.where("start_ts <= end_ts").select(
         F.col("monitoring_host").alias("_x_host"), "start_ts", "end_ts", F.explode(days).alias("_x_day"))
+    spans = merged(spans.select("_x_host", "_x_day", "end_ts", F.greatest(
+        "start_ts", F.col("_x_day").cast("timestamp_ntz")).alias("start_ts")), ["_x_host", "_x_day"], "start_ts", "end_ts")
+    until = F.when(F.to_date("end_ts") > F.col("_x_day"), clock.DAY_SECONDS).otherwise(clock.second_of(F.col("end_ts")))
+    exclusions = in_cells(spans, clock.second_of(F.col("start_ts")), until)
     ts = clock.parse_ts(md.timestamp)
     hit = ((md.monitoring_host == exclusions["_x_host"]) & (F.to_date(ts) == exclusions["_x_day"])
+           & (cell_at(clock.second_of(ts)) == exclusions[X_CELL])
            & (ts >= exclusions.start_ts) & (ts <= exclusions.end_ts))
     return md.join(exclusions, hit, "left_anti")
 
 
+def merged(spans: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Spans (both ends included) of each key as the fewest that hold the same points: keys, start, end.
+
+    Spans that begin at one point are one before the shuffle; those left are read in order. However
+    many requests exclude the same hours, a row then meets one span.
+    """
+    one = spans.where(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias(end))
+    ordered = Window.partitionBy(*keys).orderBy(start)
+    reached = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = one.withColumn("_fresh", F.coalesce(F.col(start) > reached, F.lit(True)).cast("int"))
+    islands = fresh.withColumn("_island", F.sum("_fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    return (islands.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end))
+            .drop("_island"))
+
+
+def cell_at(second: Column) -> Column:
+    """The cell of the day a second lies in, a key for joins with spans of seconds."""
+    return F.floor(second / X_SECONDS).cast("int")
+
+
+def in_cells(spans: DataFrame, start: Column, end: Column) -> DataFrame:
+    """A span for each cell of the day it touches; a cell has at most half as many merged spans as seconds."""
+    last = F.least(cell_at(end), F.lit(clock.DAY_SECONDS // X_SECONDS - 1))
+    return spans.withColumn(X_CELL, F.explode(F.sequence(cell_at(start), last)))
+
+
 def semi_availability(md: DataFrame, profile: DataFrame) -> DataFrame:
     """Rows whose service is in the availability profile."""
     return md.join(profile.select("service"), "service", "left_semi")

@@ -87,6 +87,16 @@ def excluded_spans(dims: Dimensions) -> DataFrame:
          .otherwise(clock.second_of(F.col("end_ts"))).alias("x_to"), "from_date", "to_date")
 
 
+def excluded_cells(dims: Dimensions) -> DataFrame:
+    """Exclusions per report, host, day of a row and day ``x_on`` it is placed on (its own or the next),
+    merged, for each cell of the day."""
+    keys = ["x_report", "x_host", "x_date", "x_on"]
+    on = F.explode(F.array(F.col("x_date"), F.date_add("x_date", 1)))
+    spans = excluded_spans(dims).withColumn("x_on", on).where(F.col("x_on").between(F.col("from_date"), F.col("to_date")))
+    one = selection.merged(spans, keys, "x_from", "x_to")
+    return selection.in_cells(one, F.col("x_from"), F.col("x_to"))
+
+
 def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, options: Options,
                 discrete: bool, second: Column | None = None) -> DataFrame:
     """Reduced rows on the days and for the reports they matter for, exclusions taken out.
@@ -101,10 +111,11 @@ def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, optio
         rows = rows.withColumn("report", F.explode(F.array(*[F.lit(r.config.id) for r in dims.reports])))
     placed = slots.on_days(rows, options, dims.first, dims.last, discrete, seeds=discrete and not options.strict)
     if excludes(dims, options):
-        x = excluded_spans(dims)
+        x = excluded_cells(dims)
         hit = ((F.col("report") == F.col("x_report")) & (F.col(HOST) == F.col("x_host"))
-               & (F.col("row_date") == F.col("x_date")) & F.col("second").between(F.col("x_from"), F.col("x_to"))
-               & F.col("date").between(F.col("from_date"), F.col("to_date")))
+               & (F.col("row_date") == F.col("x_date")) & (F.col("date") == F.col("x_on"))
+               & (selection.cell_at(F.col("second")) == F.col(selection.X_CELL))
+               & F.col("second").between(F.col("x_from"), F.col("x_to")))
         placed = placed.join(x, hit, "left_anti")
     return placed
 
