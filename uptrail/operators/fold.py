@@ -102,7 +102,17 @@ def dealt_anew(united: DataFrame, keys: list[str]) -> DataFrame:
     needs no shuffle for what follows. But adaptive execution merges small partitions of each side by
     itself, and rows of one key end up apart.
     """
-    return united.repartition(*keys)
+    return spread(united, keys)
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows by the keys, in twice as many tasks as the session has shuffle partitions.
+
+    Without a number, adaptive execution merges partitions up to its advisory size of compressed bytes,
+    and the sorts and aggregates of the steps that follow hold some thirty times that in one task. With the
+    session's own number, Spark leaves the shuffle out over a union whose sides have this partitioning.
+    """
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _sweep(member_moves: DataFrame, keys: list[str], operations: Operations, ops: set[str],

@@ -12,7 +12,7 @@ from uptrail.config import Options
 from uptrail.functions import clock
 from uptrail.functions.truth import Operations
 from uptrail.operators import integrate, slots
-from uptrail.operators.fold import fold, intervals, moves, period_moves
+from uptrail.operators.fold import fold, intervals, moves, period_moves, spread
 from uptrail.operators.selection import with_time
 
 HOST = ["date", "hostname", "service_flavour", "profile"]
@@ -34,7 +34,7 @@ def host_timetables(logs: DataFrame, checks: DataFrame, downtimes: DataFrame | N
 
     ``checks`` has profile, service_flavour, metric: the metrics a profile calls for. Hosts are those
     with a log row on the day or the day before. Downtimes act on the flavours of these profiles. The log is
-    read once: a reduced row brings the seeds of its host with it, which combine before the shuffle.
+    read once: a reduced row brings the seeds of its host with it, which combine in the task of the host.
     """
     rows = with_time(logs.withColumnRenamed("time_stamp", "timestamp"))
     rows = rows.withColumn("code", operations.state_code(F.col("status")))
@@ -42,8 +42,9 @@ def host_timetables(logs: DataFrame, checks: DataFrame, downtimes: DataFrame | N
     missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
     called = (checks.select("profile", "service_flavour", "metric").distinct()
               .groupBy("profile", "service_flavour").agg(F.collect_list("metric").alias("_called")))
-    placed = slots.on_days(slots.latest(rows, key, operations, options), options, first, last)
-    placed = placed.withColumn("packed", slots.without_effect(operations)).join(called, ["profile", "service_flavour"], "left")
+    reduced = slots.latest(rows, key, operations, options).join(called, ["profile", "service_flavour"], "left")
+    placed = slots.on_days(spread(reduced, ["hostname", "service_flavour"]), options, first, last)
+    placed = placed.withColumn("packed", slots.without_effect(operations))
     # a row brings the seeds of its own metric and of all that the profile calls for
     names = F.array_union(F.coalesce("_called", F.array().cast("array<string>")), F.array("metric"))
     entry = F.struct(F.col("metric"), F.col("pos"), F.col("packed"))
@@ -58,7 +59,7 @@ def host_timetables(logs: DataFrame, checks: DataFrame, downtimes: DataFrame | N
             *HOST, F.lit(None).cast("string").alias("metric"), "pos",
             F.lit(None).cast("int").alias("packed"), "cover")
         everything = everything.unionByName(covers)
-    changes = slots.settle(everything.repartition(*HOST), key, operations, options).select(
+    changes = slots.settle(spread(everything, HOST), key, operations, options).select(
         *HOST, F.col("metric").alias("member"), operations.op_code(METRIC_OP).alias("op"), "pos",
         "new", "old", "cover")
     return fold(changes, HOST, operations, {METRIC_OP}, cover_code=operations.down_code)
