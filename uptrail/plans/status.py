@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from uptrail.config import Options, ReportInputs
 from uptrail.functions.truth import Operations
 from uptrail.operators import changes, results, selection, slots
-from uptrail.operators.fold import fold, moves
+from uptrail.operators.fold import fold, moves, spread
 from uptrail.operators.slots import CARRY, SEED
 from uptrail.plans import availability as ar, dimensions, rows
 from uptrail.plans.availability import GROUP, SERVICE
@@ -78,11 +78,11 @@ def metric_events(md: DataFrame, dims: Dimensions, operations: Operations,
         seeds = seeds.withColumns({
             "second": F.lit(0), "code": F.lit(operations.missing_code), "status": F.lit(operations.missing),
             "monitoring_host": F.lit(selection.MISSING_HOST), "summary": text, "message": text})
-        events = rows.detailed(md, dims, operations, options).unionByName(seeds).repartition(*PLACE)
+        events = spread(rows.detailed(md, dims, operations, options).unionByName(seeds), PLACE)
     else:
         missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
         states = rows.states(md, dims, operations, options, discrete=False)
-        placed = states.unionByName(seeds.withColumn("packed", missing)).repartition(*PLACE)
+        placed = spread(states.unionByName(seeds.withColumn("packed", missing)), PLACE)
         events = changes.with_state(placed.groupBy(*KEY, "pos").agg(F.max("packed").alias("packed")), operations)
     known = changes.with_previous(events, KEY, operations.missing)
     return known.withColumn("emitted", (F.col("pos") > CARRY) | F.col("alone"))
