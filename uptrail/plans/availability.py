@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from uptrail.config import Options, ReportInputs
 from uptrail.functions.truth import Operations
 from uptrail.operators import integrate, results, slots
-from uptrail.operators.fold import fold, moves, period_moves
+from uptrail.operators.fold import fold, moves, period_moves, spread
 from uptrail.plans import dimensions, rows
 from uptrail.plans.dimensions import SCOPE, Dimensions
 from uptrail.plans.rows import KEY, PLACE
@@ -86,7 +86,7 @@ def metric_changes(md: DataFrame, dims: Dimensions, operations: Operations,
     covers = downtime_covers(dims, options)
     if covers is not None:
         everything = everything.unionByName(covers)
-    one = everything.repartition(*PLACE).groupBy(*KEY, "pos").agg(
+    one = spread(everything, PLACE).groupBy(*KEY, "pos").agg(
         F.max("packed").alias("packed"), F.sum("cover").cast("int").alias("cover"))
     return slots.settle(one, KEY, operations, options)
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from uptrail.config import PROFILE_COLUMNS, Options, ReportInputs, literal_frame
 from uptrail.functions.tags import tags_agree, wanted_tags
 from uptrail.operators import slots
+from uptrail.operators.fold import spread
 from uptrail.operators.selection import ENDPOINT
 from uptrail.sources.snapshots import daily_snapshots
 
@@ -161,7 +162,7 @@ def checks_of(profiles: DataFrame, reports: list[ReportInputs], calendar: Calend
 def places_of(eg: DataFrame, reports: list[ReportInputs], calendar: Calendar) -> DataFrame:
     """(report, date, service, hostname, group) of the reports' grouping types, tags not looked at."""
     rows = eg if "date" not in eg.columns else calendar.of(eg)
-    rows = rows.select(*kept(rows, "type", *ENDPOINT, "group")).distinct()
+    rows = spread(rows.select(*kept(rows, "type", *ENDPOINT, "group")), ENDPOINT).distinct()  # before days and reports multiply them
     rows = with_settings(rows, reports, type=lambda r: r.config.egroup)
     return (rows if "date" in eg.columns else calendar.every_day(rows)).select(*SCOPE, *ENDPOINT, "group")
 
