@@ -132,6 +132,34 @@ def test_random_folds(spark, monkeypatch, ops, op):
     assert got == want
 
 
+def test_keys_of_few_members_in_one_pass(spark, monkeypatch):
+    """Order-dependent and order-free keys and covers together, from one read of the moves."""
+    monkeypatch.setattr(fo, "RUN_ROWS", 40)
+    rng = random.Random(11)
+    data, want = [], {}
+    for k in range(14):
+        op = ("AND", "OR")[k % 2]
+        members = {f"m{m}": [(p, rng.randrange(-1, 6)) for p in sorted({0, *(rng.randrange(1, 288) for _ in range(rng.randint(0, 8)))})]
+                   for m in range(rng.randint(1, 6))}
+        want[k] = model.fold_lists(GRID, op, members)
+        data += [(k, m, GRID.op_number(op), p, c) for m, cs in members.items() for p, c in cs]
+    df = fo.compact(spark.createDataFrame(data, "k int, m string, o int, pos int, code int"), ["k", "m"])
+    moved = fo.moves(df, ["k"], "m", F.col("o"))
+    for more, code in ((moved, None), (fo.moves(df, ["k"], "m", F.col("o")).withColumn("cover", F.lit(0)).unionByName(
+            fo.period_moves(spark.createDataFrame([(1, 5, 9), (2, 0, 300), (99, 1, 2)], "k int, pos_from int, pos_to int"), ["k"], 288)), 4)):
+        out = fo.fold(more, ["k"], GRID, {"AND", "OR"}, cover_code=code, few=True)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == (1 if code is None else 2)  # and the covers
+        same = fo.fold(more, ["k"], GRID, {"AND", "OR"}, cover_code=code)
+        assert sorted(out.collect()) == sorted(same.select(*out.columns).collect())
+        if code is None:
+            got = {}
+            for r in out.orderBy("k", "pos").collect():
+                got.setdefault(r.k, []).append((r.pos, r.code))
+            assert got == want
+    only = moved.where(F.col("op") == GRID.op_number("OR"))
+    assert sorted(fo.fold(only, ["k"], GRID, {"OR"}, few=True).collect()) == sorted(fo.fold(only, ["k"], GRID, {"OR"}).collect())
+
+
 def test_overlay_of_periods(spark):
     tl = spark.createDataFrame([("k", 0, 0, None), ("k", 100, 4, 0)],
                                "k string, pos int, code int, prev int")

@@ -47,17 +47,20 @@ def compact(df: DataFrame, keys: list[str], state: str = "code") -> DataFrame:
 
 
 def fold(member_moves: DataFrame, keys: list[str], operations: Operations, ops: set[str],
-         place: list[str] | None = None, cover_code: int | None = None) -> DataFrame:
+         place: list[str] | None = None, cover_code: int | None = None, few: bool = False) -> DataFrame:
     """Fold members into one timeline per key: keys, pos, code, prev.
 
     ``ops`` are the operations that may occur in the op column. ``place`` is the set of columns to
     partition by after pre-aggregation (default: the keys), a subset of the keys, so that later
     steps on those columns need no further shuffle. ``cover_code`` is the state of positions under
-    a cover (see ``period_moves``).
+    a cover (see ``period_moves``). ``few`` says that the members of a key are bounded by a profile, so
+    that a key whose order matters is one piece of work; its input is then read once.
     """
     free = {op for op in ops if operations.kinds[op] != "ordered"}
     if free == ops:
         return _sweep(member_moves, keys, operations, free, place, cover_code)
+    if few:
+        return _sweep(whole_keys(member_moves, keys, operations, ops - free, free), keys, operations, free, place, cover_code)
     covers = None
     if cover_code is not None:
         covers = member_moves.where("cover <> 0")
@@ -254,6 +257,50 @@ def ordered_fold(member_moves: DataFrame, keys: list[str], operations: Operation
     return compact(joined.where(F.col("code") >= UNDEFINED), keys)
 
 
+def whole_keys(member_moves: DataFrame, keys: list[str], operations: Operations, ops: set[str], free: set[str]) -> DataFrame:
+    """Moves with those of keys with one of the order-dependent ``ops`` replaced by the moves of their fold.
+
+    A fold is then the only member of its key, and any of the order-free tables ``free`` keeps its state.
+    Other moves and covers pass. A key is in one task, as a run of whole members of few members.
+    """
+    size, numbers = operations.size, [operations.op_number(op) for op in sorted(ops)]
+    stacked = np.zeros((max(numbers) + 1, size + 1, size + 2), np.int8)
+    for op, number in zip(sorted(ops), numbers):
+        stacked[number] = _step_maps(operations, op)
+    single = min(map(operations.op_number, free), default=None)
+    columns = ["member", "op", "pos", "new", "old", *(["cover"] if "cover" in member_moves.columns else [])]
+    moved = member_moves.select(*keys, *columns)
+    later = F.col("old").isNotNull()
+    if "cover" in columns:
+        moved = moved.where("new IS NOT NULL OR cover <> 0").withColumn("cover", F.col("cover").cast("long"))
+    else:
+        moved = moved.where("new IS NOT NULL")
+    moved = moved.withColumns({c: F.col(c).cast("int") for c in ("op", "pos", "new", "old")})
+
+    def fold_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_groups(batches, keys, RUN_ROWS):
+            mine = pa.compute.and_(pa.compute.is_valid(part.column("new")),
+                                   pa.compute.fill_null(pa.compute.is_in(part.column("op"), pa.array(numbers, pa.int32())), False))
+            nullable = pa.schema([f.with_nullable(True) for f in part.schema])
+            yield from part.filter(pa.compute.invert(mine)).cast(nullable).to_batches()
+            part = part.filter(mine).cast(nullable)
+            if not part.num_rows:
+                continue
+            key, member = _numbered(part, keys), _numbered(part, [*keys, "member"])
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            maps = stacked[part.column("op").to_numpy(), part.column("new").to_numpy() + 1]
+            key, pos, maps = _composed(key, member - member[first][key], part.column("pos").to_numpy().astype(np.int64), maps)
+            new, start = maps[:, 0].astype(np.int32) - 2, np.diff(key, prepend=-1) != 0
+            old = pa.array(np.append(np.int32(0), new[:-1]), pa.int32(), mask=start)
+            n = len(pos)
+            made = {"member": pa.nulls(n, pa.string()), "op": pa.array([single] * n, pa.int32()), "pos": pa.array(pos, pa.int32()),
+                    "new": pa.array(new, pa.int32()), "old": old, "cover": pa.array(np.zeros(n), pa.int64())}
+            yield from _result(part, keys, first[key], {c: made[c] for c in columns})
+
+    runs = spread(moved, keys).sortWithinPartitions(*keys, "member", "pos", later)
+    return spread(runs.mapInArrow(fold_keys, moved.schema), keys)
+
+
 def _result(rows: pa.Table, keys: list[str], source: np.ndarray, more: dict[str, pa.Array]) -> list[pa.RecordBatch]:
     taken = rows.select(keys).take(pa.array(source))
     for name, column in more.items():

@@ -107,7 +107,7 @@ def endpoint_timelines(md: DataFrame, dims: Dimensions, operations: Operations,
         *PLACE, F.col("metric").alias("member"), op.alias("op"), "pos", "new", "old", "cover")
     ops = {r.profile.metric_op for r in dims.reports}
     cover_code = operations.down_code if dims.downtimes is not None else None
-    return fold(changes, PLACE, operations, ops, cover_code=cover_code)
+    return fold(changes, PLACE, operations, ops, cover_code=cover_code, few=True)
 
 
 def service_timelines(endpoints: DataFrame, dims: Dimensions, operations: Operations) -> DataFrame:
@@ -131,15 +131,15 @@ def group_timelines(services: DataFrame, dims: Dimensions, operations: Operation
                             ["report", "service"])
     ops = {op for r in dims.reports for op, _ in r.profile.groups.values()}
     parts = fold(moves(with_op, ag, "service", operations.op_code(F.col("group_op"))), ag,
-                 operations, ops, place=GROUP)
+                 operations, ops, place=GROUP, few=True)
     total = dims.per_report(lambda r: operations.op_number(r.profile.total_op))
     parts = moves(parts, GROUP, "ag_group", total)
     total_ops = {r.profile.total_op for r in dims.reports}
     if options is None or dims.group_exclusions is None:
-        return fold(parts, GROUP, operations, total_ops)
+        return fold(parts, GROUP, operations, total_ops, few=True)
     covers = period_moves(exclusion_slots(dims, options), GROUP, options.slots)
     parts = parts.withColumn("cover", F.lit(0)).unionByName(covers)
-    return fold(parts, GROUP, operations, total_ops, cover_code=operations.unknown_code)
+    return fold(parts, GROUP, operations, total_ops, cover_code=operations.unknown_code, few=True)
 
 
 def exclusion_slots(dims: Dimensions, options: Options) -> DataFrame:
