@@ -88,6 +88,25 @@ def test_status_timelines_are_folded_without_texts_and_sorts(spark, fx, tmp_path
         assert "SortAggregate" not in plan and "message" not in plan and "summary" not in plan
 
 
+def test_rows_of_other_endpoints_go_before_days_multiply_them(spark, fx):
+    for df in (status(spark, fx.md, [fx.report], fx.ops, P, D).metrics, availability(spark, fx.md, [fx.report], fx.ops, P, D).endpoints):
+        assert re.search(r"Join \[(?=[^\]]*report#)(?=[^\]]*hostname#)(?![^\]]*date#)[^\n]*LeftSemi", text(df))
+
+
+def test_rows_with_texts_are_dealt_once_after_their_reduction(spark, fx):
+    """The state of a second is found where the rows of the endpoint's day are anyway."""
+    plan = text(status(spark, fx.md, [fx.report], fx.ops, P, D).metrics)
+    assert not re.search(r"hashpartitioning\(report#\d+[^)]*, pos#", plan)
+
+
+def test_endpoints_are_distinct_before_days_multiply_them(spark, fx):
+    from uptrail.config import Options
+    from uptrail.plans import dimensions, rows
+    dims = dimensions.build(spark, [fx.report], P, D, Options())
+    plan = text(rows.expected(dims, Options()))
+    assert "Aggregate" not in plan[:plan.index("Generate explode")]
+
+
 def test_excluded_hosts_meet_reduced_rows_only(spark, fx, tmp_path):
     """Without broadcasts, raw rows reach the first aggregate before they are dealt by anything."""
     path = str(tmp_path / "md")

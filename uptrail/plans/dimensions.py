@@ -35,7 +35,9 @@ class Dimensions:
     checks: DataFrame         # report, date, service, metric: the metric profile
     mapping: DataFrame        # report, service, ag_group, svc_op, group_op
     places: DataFrame         # report, date, service, hostname, group: the whole topology
+    endpoints: DataFrame      # report, date, service, hostname: its endpoints, each once
     selected: DataFrame       # report, date, service, hostname: inside the tag filters
+    chosen: DataFrame | None  # the same without date, where all days have the same ones
     downtimes: DataFrame | None
     group_exclusions: DataFrame | None
     monitor_exclusions: DataFrame | None
@@ -127,21 +129,26 @@ def build(spark: SparkSession, reports: list[ReportInputs], first: str, last: st
     calendar = Calendar([t for r in reports for t in (r.metric_profiles, r.endpoint_groups, r.group_groups,
                                                       r.weights, r.downtimes)], first, last)
     mapping = [(r.config.id, *row) for r in reports for row in r.profile.rows()]
-    places = over_tables(reports, lambda r: (r.endpoint_groups,), lambda *a: places_of(*a, calendar))
+    places = over_tables(reports, lambda r: (r.endpoint_groups,), lambda *a: places_of(*a, calendar, "group"))
+    endpoints = over_tables(reports, lambda r: (r.endpoint_groups,), lambda *a: places_of(*a, calendar))
+    any_dated = any("date" in t.columns for r in reports for t in (r.endpoint_groups, r.group_groups))
+    selected = over_tables(reports, lambda r: (r.endpoint_groups, r.group_groups), lambda *a: selected_of(*a, calendar, any_dated))
+    chosen = None
+    if not any_dated:
+        chosen, selected = selected, calendar.every_day(selected).select(*SCOPE, *ENDPOINT)
 
     def downtimes_of(downtimes: DataFrame, mine: list[ReportInputs]) -> DataFrame:
         """Downtime slots of the reports' endpoints, per day."""
         if "date" in downtimes.columns:
             downtimes = calendar.of(downtimes)  # a day's snapshot lists the downtimes of that day only
         spans = slots.with_downtimes(downtimes, first, last, options)
-        known = places.where(F.col("report").isin([r.config.id for r in mine])).select(*SCOPE, *ENDPOINT).distinct()
+        known = endpoints.where(F.col("report").isin([r.config.id for r in mine]))
         return spans.join(known, [*(c for c in ("report",) if c in spans.columns), "date", *ENDPOINT])
 
     return Dimensions(
         reports, first, last,
         over_tables(reports, lambda r: (r.metric_profiles,), lambda *a: checks_of(*a, calendar)),
-        literal_frame(spark, mapping, "report", *PROFILE_COLUMNS), places,
-        over_tables(reports, lambda r: (r.endpoint_groups, r.group_groups), lambda *a: selected_of(*a, calendar)),
+        literal_frame(spark, mapping, "report", *PROFILE_COLUMNS), places, endpoints, selected, chosen,
         over_tables(reports, lambda r: (r.downtimes,), downtimes_of),
         over_tables(reports, lambda r: (r.group_exclusions,), own_requests),
         over_tables(reports, lambda r: (r.monitor_exclusions,), own_requests), calendar)
@@ -159,17 +166,17 @@ def checks_of(profiles: DataFrame, reports: list[ReportInputs], calendar: Calend
     return with_settings(rows, reports, profile=lambda r: r.profile.metric_profile).select(*SCOPE, "service", "metric")
 
 
-def places_of(eg: DataFrame, reports: list[ReportInputs], calendar: Calendar) -> DataFrame:
-    """(report, date, service, hostname, group) of the reports' grouping types, tags not looked at."""
+def places_of(eg: DataFrame, reports: list[ReportInputs], calendar: Calendar, *columns: str) -> DataFrame:
+    """(report, date, service, hostname, columns) of the reports' grouping types, each once, tags not looked at."""
     rows = eg if "date" not in eg.columns else calendar.of(eg)
-    rows = spread(rows.select(*kept(rows, "type", *ENDPOINT, "group")), ENDPOINT).distinct()  # before days and reports multiply them
+    rows = spread(rows.select(*kept(rows, "type", *ENDPOINT, *columns)).distinct(), ENDPOINT)  # before days and reports multiply them
     rows = with_settings(rows, reports, type=lambda r: r.config.egroup)
-    return (rows if "date" in eg.columns else calendar.every_day(rows)).select(*SCOPE, *ENDPOINT, "group")
+    return (rows if "date" in eg.columns else calendar.every_day(rows)).select(*SCOPE, *ENDPOINT, *columns)
 
 
-def selected_of(eg: DataFrame, gg: DataFrame, reports: list[ReportInputs], calendar: Calendar) -> DataFrame:
-    """(report, date, service, hostname) of endpoints that pass the tag filters of a report and whose
-    group is a subgroup of any group that passes them.
+def selected_of(eg: DataFrame, gg: DataFrame, reports: list[ReportInputs], calendar: Calendar, any_dated: bool) -> DataFrame:
+    """(report, service, hostname) of endpoints that pass the tag filters of a report and whose
+    group is a subgroup of any group that passes them; with date, if a table of any report has one.
 
     Snapshots are chosen before tags are looked at: a snapshot may have no row that passes.
     """
@@ -186,7 +193,9 @@ def selected_of(eg: DataFrame, gg: DataFrame, reports: list[ReportInputs], calen
     for c in kept(gg):
         hit = hit & (F.col(c) == F.col(f"_{c}"))
     found = rows.join(groups, hit, "left_semi").select(*kept(rows, *ENDPOINT)).distinct()
-    return (found if dated else calendar.every_day(found)).select(*SCOPE, *ENDPOINT)
+    if not dated and any_dated:
+        found = calendar.every_day(found)
+    return found.select(*kept(found, *ENDPOINT))
 
 
 def own_requests(exclusions: DataFrame, reports: list[ReportInputs]) -> DataFrame:

@@ -92,7 +92,9 @@ def touched_groups(moved: DataFrame, dims: Dimensions, root: str) -> DataFrame:
 def restricted(dims: Dimensions, touched: DataFrame) -> Dimensions:
     """The dimensions with the endpoints of these groups only."""
     places = dims.places.join(touched, [*SCOPE, "group"], "left_semi")
-    return replace(dims, places=places, selected=dims.selected.join(places, [*SCOPE, *ENDPOINT], "left_semi"))
+    by = [*SCOPE, *ENDPOINT]
+    return replace(dims, places=places, endpoints=dims.endpoints.join(places, by, "left_semi"),
+                   selected=dims.selected.join(places, by, "left_semi"), chosen=None)
 
 
 def replace_results(spark: SparkSession, state: DataFrame, dims: Dimensions, touched: DataFrame, operations: Operations, root: str,

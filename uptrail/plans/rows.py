@@ -101,6 +101,7 @@ def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, optio
                 discrete: bool, second: Column | None = None) -> DataFrame:
     """Reduced rows on the days and for the reports they matter for, exclusions taken out.
 
+    Where all days have the same selected endpoints, rows of others are gone.
     ``second`` is the second of a row's day, by default that of its packed state.
     """
     second = slots.second_of(F.col("packed"), operations) if second is None else second
@@ -109,6 +110,8 @@ def for_reports(rows: DataFrame, dims: Dimensions, operations: Operations, optio
         rows = rows.join(counted(dims), ["service", "metric"])
     else:
         rows = rows.withColumn("report", F.explode(F.array(*[F.lit(r.config.id) for r in dims.reports])))
+    if dims.chosen is not None:  # before days multiply the rows
+        rows = rows.join(dims.chosen, ["report", *ENDPOINT], "left_semi")
     placed = slots.on_days(rows, options, dims.first, dims.last, discrete, seeds=discrete and not options.strict)
     if excludes(dims, options):
         x = excluded_cells(dims)
@@ -149,15 +152,14 @@ def states(md: DataFrame | Reduced, dims: Dimensions, operations: Operations, op
 def detailed(md: DataFrame, dims: Dimensions, operations: Operations, options: Options) -> DataFrame:
     """``states`` per second with all columns of a row: KEY..., pos, second, code, DETAIL.
 
-    Of the rows of one second the highest state counts, then host and texts.
+    Of the rows of one second the highest state counts, then host and texts; hosts are still apart.
     """
     keys = [*ROW, *([HOST] if excludes(dims, options) else [])]
     texts = [c for c in DETAIL if c not in keys]
     rows = usable(md, dims, operations).withColumn("pos", F.col("second"))
     rows = rows.groupBy(*keys).agg(F.max(F.struct("code", *texts)).alias("_row")).select(*keys, "_row.*")
     placed = for_reports(rows, dims, operations, options, False, F.col("pos"))
-    latest = F.max(F.struct("second", "code", *DETAIL)).alias("_row")
-    return in_selected(placed.groupBy(*KEY, "pos").agg(latest).select(*KEY, "pos", "_row.*"), dims, options)
+    return in_selected(placed.select(*KEY, "pos", "second", "code", *DETAIL), dims, options)
 
 
 def unreadable_rows(md: DataFrame) -> DataFrame:
@@ -166,8 +168,9 @@ def unreadable_rows(md: DataFrame) -> DataFrame:
 
 
 def in_selected(df: DataFrame, dims: Dimensions, options: Options) -> DataFrame:
-    """Rows of selected endpoints, and of metrics in that day's profile."""
-    df = df.join(dims.selected, PLACE, "left_semi")
+    """Rows of ``for_reports`` of selected endpoints, and of metrics in that day's profile."""
+    if dims.chosen is None:
+        df = df.join(dims.selected, PLACE, "left_semi")
     if options.strict and any("date" in r.metric_profiles.columns for r in dims.reports):
         df = df.join(dims.checks, ["report", "date", "service", "metric"], "left_semi")
     return df
@@ -175,6 +178,5 @@ def in_selected(df: DataFrame, dims: Dimensions, options: Options) -> DataFrame:
 
 def expected(dims: Dimensions, options: Options) -> DataFrame:
     """Metrics that should report, per report and day."""
-    places = dims.selected if options.scope == "selected" else dims.places
-    endpoints = places.select(*PLACE).distinct()
+    endpoints = dims.selected if options.scope == "selected" else dims.endpoints
     return endpoints.join(dims.checks, ["report", "date", "service"]).select(*KEY)

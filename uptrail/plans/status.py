@@ -78,7 +78,9 @@ def metric_events(md: DataFrame, dims: Dimensions, operations: Operations,
         seeds = seeds.withColumns({
             "second": F.lit(0), "code": F.lit(operations.missing_code), "status": F.lit(operations.missing),
             "monitoring_host": F.lit(selection.MISSING_HOST), "summary": text, "message": text})
-        events = spread(rows.detailed(md, dims, operations, options).unionByName(seeds), PLACE)
+        placed = spread(rows.detailed(md, dims, operations, options).unionByName(seeds), PLACE)
+        latest = F.max(F.struct("second", "code", *changes.DETAIL)).alias("_row")
+        events = placed.groupBy(*KEY, "pos").agg(latest).select(*KEY, "pos", "_row.*")
     else:
         missing = slots.pack(F.lit(0), F.lit(operations.missing_code), operations)
         states = rows.states(md, dims, operations, options, discrete=False)
@@ -105,7 +107,7 @@ def endpoint_timelines(metrics: DataFrame, dims: Dimensions, operations: Operati
         options.anchor)
     op = dims.per_report(lambda r: operations.op_number(r.profile.metric_op))
     ops = {r.profile.metric_op for r in dims.reports}
-    return fold(moves(timeline, PLACE, "metric", op), PLACE, operations, ops)
+    return fold(moves(timeline, PLACE, "metric", op), PLACE, operations, ops, few=True)
 
 
 __all__ = ["GROUP", "SERVICE", "StatusPlan", "status"]
