@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
 
 from uptrail.llm import bwt
+from uptrail.llm.queries import op4_repeated_bytes
 
 
 def plain(texts, length):
@@ -69,3 +71,57 @@ def test_production_length_and_empty_tables(spark):
     assert bwt.stripped(df.limit(0)).collect() == []
     assert [tuple(r) for r in bwt.stripped(spark.createDataFrame([(None, None)], "doc_id long, text string")).collect()] == [
         (None, None, 0, 0, 0, hashlib.sha256(b"").hexdigest())]
+
+
+def plain_passages(texts, words):
+    """The spans of each text, from the counts of all its windows of words."""
+    found = [list(re.finditer(rb"[^\x20\x09-\x0D]+", bytes(b + 32 if 65 <= b <= 90 else b for b in (t or "").encode()))) for t in texts]
+    windows = [[tuple(m.group() for m in f[i:i + words]) for i in range(len(f) - words + 1)] for f in found]
+    counts = Counter(w for x in windows for w in x)
+    out = []
+    for f, x in zip(found, windows):
+        gone = sorted({i + k for i, w in enumerate(x) if counts[w] > 1 for k in range(words)})
+        out.append([(f[i].start(), f[j].end()) for i, j in zip(
+            [i for i in gone if i - 1 not in gone], [i for i in gone if i + 1 not in gone])])
+    return out
+
+
+def worded(seed, words):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4)))
+    line = lambda n: [word() for _ in range(n)]
+    known = [line(words + n) for n in (-1, 0, 1, 2, 9, 80)]
+    texts = [None, "", " \n ", "a " * (3 * words), "a b " * words, word()]
+    for _ in range(40):
+        own = line(rng.randint(0, 3 * words))
+        for _ in range(rng.randint(0, 2)):
+            p = rng.choice(known)
+            at = rng.randint(0, len(own))
+            own[at:at] = p[rng.randint(0, 2):]
+        own = [w.upper() if rng.random() < 0.2 else w for w in own]
+        texts.append("".join(rng.choice([" ", " ", "\t", "  ", "\n"]) + w for w in own))
+    return texts + [texts[8], texts[8], texts[9] + " x", "  " + " ".join(known[2]) + " \n", "  " + " ".join(known[2]) + " \n"]
+
+
+@pytest.mark.parametrize("seed,words,size", [(1, 50, 900), (2, 50, 10 ** 6), (3, 13, 2000), (4, 3, 700)])
+def test_passages_like_counting_all_windows_of_words(spark, monkeypatch, seed, words, size):
+    monkeypatch.setattr(bwt, "SHARD_BYTES", size)
+    texts = worded(seed, words)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {bytes(r["_key"]): [*zip(r["starts"], r["ends"])] for r in bwt.passages(df, "text", words).collect()}
+    assert [got.get(hashlib.sha256((t or "").encode()).digest(), []) for t in texts] == plain_passages(texts, words)
+    counts = {r["text_sha256"]: (r["n_passages"], r["n_passage_bytes"]) for r in bwt.passage_counts(df, "text", words).collect()}
+    assert counts == {k.hex(): (len(x), sum(b - a for a, b in x)) for k, x in got.items()}
+    assert bwt.passages(df.limit(0)).collect() == []
+
+
+def test_query_shows_a_passage_of_less_than_400_bytes(spark, tmp_path):
+    rng = random.Random(5)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage = line(52)
+    texts = [f"{line(80)} {passage} {line(80)}", f"{line(60)}\n{passage} {line(90)}", line(200), None, "", f"{passage[:100]} {line(100)}", passage]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in op4_repeated_bytes(spark, str(tmp_path)).collect()}
+    assert [(rows[i]["n_bytes"], rows[i]["n_removed"], rows[i]["n_spans"], rows[i]["kept_sha256"]) for i in range(7)] == plain(texts, 400)
+    assert [(rows[i]["n_removed"], rows[i]["n_passages"], rows[i]["n_passage_bytes"]) for i in range(7)] == [
+        (0, 1, 259), (0, 1, 259), (0, 0, 0), (0, 0, 0), (0, 0, 0), (0, 0, 0), (0, 1, 259)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -70,6 +71,12 @@ def discard_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs that are over: it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def place(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path in the shared folder, and the path in it."""
     return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
@@ -164,13 +171,17 @@ class Rolling:
     def __init__(self, seed: int):
         self.values = np.random.default_rng(seed).integers(1, int(PRIME), (2, 256), dtype=np.uint64)
 
+    def terms(self, data: np.ndarray, which: int) -> np.ndarray:
+        """What the symbols stand for in one of the polynomials: numbers below PRIME, in a new array."""
+        return self.values[which][data]
+
     def sums(self, data: np.ndarray) -> np.ndarray:
         n = len(data)
         out = np.zeros((2, n + 1), np.uint64)
-        for values, into, (up, _) in zip(self.values, out, powers(n + 1), strict=True):
+        for which, (into, (up, _)) in enumerate(zip(out, powers(n + 1), strict=True)):
             for a in range(0, n, BLOCK):  # so much stays in the cache
                 b = min(a + BLOCK, n)
-                terms = values[data[a:b]]
+                terms = self.terms(data[a:b], which)
                 terms *= up[a:b]
                 high = terms >> np.uint64(31)
                 terms &= PRIME
@@ -180,10 +191,25 @@ class Rolling:
         return out
 
     def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        high, low = (reduced(reduced(s[end] - s[start]) * down[start]) for s, (_, down) in zip(sums, powers(sums.shape[1]), strict=True))
+        return self.joined([(s[end] - s[start]) for s in sums], [down[start] for _, down in powers(sums.shape[1])])
+
+    def windows(self, sums: np.ndarray, length: int) -> np.ndarray:
+        """Those of all ranges of one length, in order: as of() gives them."""
+        n = max(0, sums.shape[1] - length)
+        return self.joined([s[length:] - s[:n] for s in sums], [down[:n] for _, down in powers(sums.shape[1])])
+
+    def joined(self, parts: list[np.ndarray], down: list[np.ndarray]) -> np.ndarray:
+        high, low = (reduced(folded(folded(x)) * d) for x, d in zip(parts, down, strict=True))
         return mix(high << np.uint64(31) | low)
 
 
+class RollingCodes(Rolling):
+    """The same for buffers of 64-bit codes, each half of which is a number of one polynomial."""
+
+    def terms(self, data: np.ndarray, which: int) -> np.ndarray:
+        return reduced(data >> np.uint64(32) if which else data & np.uint64(0xFFFFFFFF))
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

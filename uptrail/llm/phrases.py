@@ -15,7 +15,6 @@ Scores and the choice among phrases are joins on the tables of frequent phrases.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from uptrail.llm.bwt import load, save
-from uptrail.llm.common import LOWER, bounded_batches, discard, discard_folder, mix, scratch, slices, utf8, written
+from uptrail.llm.common import LOWER, bounded_batches, discard, discard_folder, mix, released, scratch, slices, utf8, written
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 8 << 20
@@ -401,12 +400,6 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", depth: int
     return totals, levels
 
 
-def released(spark) -> None:
-    """Lets Spark delete the shuffle files of jobs that are over: it does so when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def counts_of(miner: Miner, h: int):
     def run(group: pa.Table) -> pa.Table:
         return miner.count_words(group) if h == 1 else miner.count_phrases(group)
