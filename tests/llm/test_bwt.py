@@ -125,3 +125,29 @@ def test_query_shows_a_passage_of_less_than_400_bytes(spark, tmp_path):
     assert [(rows[i]["n_bytes"], rows[i]["n_removed"], rows[i]["n_spans"], rows[i]["kept_sha256"]) for i in range(7)] == plain(texts, 400)
     assert [(rows[i]["n_removed"], rows[i]["n_passages"], rows[i]["n_passage_bytes"]) for i in range(7)] == [
         (0, 1, 259), (0, 1, 259), (0, 0, 0), (0, 0, 0), (0, 0, 0), (0, 0, 0), (0, 1, 259)]
+
+
+def test_bytes_and_words_share_their_rounds(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(bwt, "SHARD_BYTES", 900)
+    monkeypatch.setattr(bwt, "PIECE_SYMBOLS", 200)
+    monkeypatch.setattr(bwt, "written", lambda df, name, f=bwt.written: names.append(name) or f(df, name))
+    texts = worded(7, 13)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in bwt.stripped(df, "text", 40, 13).collect()}
+    assert [(rows[i]["n_bytes"], rows[i]["n_removed"], rows[i]["n_spans"], rows[i]["kept_sha256"]) for i in range(len(texts))] == plain(texts, 40)
+    assert [(rows[i]["n_passages"], rows[i]["n_passage_bytes"]) for i in range(len(texts))] == [
+        (len(x), sum(b - a for a, b in x)) for x in plain_passages(texts, 13)]
+    assert rows[0]["text"] is None and rows[2]["text"] == texts[2]
+    assert names.count("bwt-texts") == names.count("bwt-1") == names.count("bwt-marks") == 1
+
+
+def test_codes_are_equal_for_equal_bytes_only():
+    rng = random.Random(3)
+    strings = [b"", b"\0", b"\0\0", b"a", b"a\0", *(bytes(rng.choice(b"ab") for _ in range(n)) for n in (7, 8, 9, 16, 17, 511, 512, 513, 520, 3000))]
+    strings += [s[:-1] + b"c" for s in strings[5:]] + [b"c" + s[1:] for s in strings[5:]]
+    order = [s for s in strings * 2 for _ in range(2)]
+    rng.shuffle(order)
+    ends = bwt.np.cumsum([len(s) for s in order])
+    codes = bwt.codes_of(bwt.np.frombuffer(b"".join(order), bwt.np.uint8), ends - [len(s) for s in order], ends).tolist()
+    assert len(set(codes)) == len(set(strings)) == len(set(zip(codes, order)))

@@ -210,6 +210,40 @@ class RollingCodes(Rolling):
         return reduced(data >> np.uint64(32) if which else data & np.uint64(0xFFFFFFFF))
 
 
+ROLL = Rolling(4)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a range that is read in blocks of eight; of longer ones the rolling sums are taken.
+SHORT = 1 << 9
+#: The bytes of a block that belong to a range of which 0 to 8 are left.
+LEFT = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def codes_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Codes of byte ranges of a buffer, equal for equal bytes wherever they stand: a block of all ranges at a time."""
+    out = np.empty(len(start), np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+    for i in range(0, len(start), 1 << 15):  # so much stays in the cache
+        at = start[i:i + (1 << 15)]
+        size = end[i:i + (1 << 15)] - at
+        code = mix(size.astype(np.uint64) * STEP)
+        code ^= blocks[at] & LEFT[np.minimum(size, 8)]
+        code = mix(code * STEP)
+        more = np.flatnonzero((size > 8) & (size <= SHORT))
+        for done in range(8, SHORT, 8):
+            more = more[size[more] > done]
+            if not len(more):
+                break
+            code[more] = mix((code[more] ^ blocks[at[more] + done] & LEFT[np.minimum(size[more] - done, 8)]) * STEP)
+        out[i:i + (1 << 15)] = code
+    long = np.flatnonzero(end - start > SHORT)
+    if len(long):
+        size = np.cumsum(np.append(0, (end - start)[long]))
+        parts = np.concatenate([data[a:z] for a, z in zip(start[long].tolist(), end[long].tolist(), strict=True)])
+        out[long] = ROLL.of(ROLL.sums(parts), size[:-1], size[1:])
+    return out
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -173,10 +173,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also n_passages and n_passage_bytes: passages of 50 words and more that are repeated, of any number of bytes."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    found = bwt.passage_counts(docs, "text", 50)
-    return bwt.stripped(docs, "text", 400).join(found, "text_sha256", "left").select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_passages", "n_passage_bytes")])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bwt.stripped(docs, "text", 400, 50).drop("text")
 
 
 # --- quality rules ------------------------------------------------------------------------------
